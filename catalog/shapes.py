@@ -264,6 +264,25 @@ def erp_staging(d: Dialect) -> str:
     """
 
 
+def sales_lines(d: Dialect) -> str:
+    """Stored POS sales detail, the columns the reports read."""
+    half = "CAST(0.5 AS DECIMAL(2,1))"
+    return f"""
+    SELECT o.dataareaid, o.store_branch_extcode AS axcode, s.channel, s.main_channel, s.city,
+      CAST(o.time_created AS DATE) AS order_create_date,
+      CASE WHEN o.order_total_product = 7 THEN 'undetected' ELSE o.product_barcode END AS codebars,
+      o.product_barcode AS productdata_barcode, o.order_number AS ordernumber,
+      o.order_product_quantity AS quantity, o.order_product_total AS cust_paid_peritem,
+      CAST(o.product_price * {half} * o.order_product_quantity AS DECIMAL(18,2)) AS hpp_total,
+      CASE WHEN o.promotion_id = 0 THEN 'regular' ELSE 'P' || CAST(o.promotion_id AS STRING) END AS promocode,
+      COALESCE(o.promotion_description, 'Regular') AS remarks,
+      CASE WHEN o.order_status = 7 THEN '0' ELSE '1' END AS istransaction,
+      o.order_issettled AS issettled, o.order_status AS status_order
+    FROM {{pos_orders}} o JOIN {{stores}} s
+      ON o.store_branch_extcode = s.axcode AND o.dataareaid = s.dataareaid
+    """
+
+
 def pattern(d: Dialect) -> str:
     """Every order date with its counterparts four and fifty-two weeks back."""
     return f"""
@@ -538,7 +557,7 @@ SHAPES = {
     f.__name__: f
     for f in (
         pos_orders, pos_payments, stores, products, match_items, legacy_items, item_stops, receipts,
-        brand_margins, promotions, erp_staging, pattern, online_base, online_lines, margins,
+        brand_margins, promotions, erp_staging, sales_lines, pattern, online_base, online_lines, margins,
         raw_shopee, raw_lazada, raw_tiktok, raw_shopify, raw_tokopedia, raw_zalora, raw_blibli,
     )
 }
