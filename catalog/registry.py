@@ -13,6 +13,8 @@ from .shapes import Shapes, duck
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
+# Rounded as decimals: a quotient such as 0.00125 is then a tie for both engines or for neither.
+FINE = "decimal(28,8)"
 DIGITS = 4
 
 
@@ -22,13 +24,13 @@ def comparable(df: DataFrame) -> DataFrame:
     for field in df.schema.fields:
         column = F.col(f"`{field.name}`")
         if isinstance(field.dataType, (T.DecimalType, T.DoubleType, T.FloatType)):
-            column = F.round(column.cast("double"), DIGITS)
+            column = F.round(column.cast("double").cast(FINE), DIGITS).cast("double")
         out.append(column.alias(field.name))
     return df.select(*out)
 
 
 def r(sql: str) -> str:
-    return f"round(CAST({sql} AS DOUBLE), {DIGITS})"
+    return f"CAST(round(CAST(CAST({sql} AS DOUBLE) AS {FINE}), {DIGITS}) AS DOUBLE)"
 
 
 def rs(names: str) -> str:
