@@ -19,16 +19,22 @@ DIGITS = 4
 
 
 def comparable(df: DataFrame) -> DataFrame:
-    """Decimals and doubles as doubles of four digits, the form the SQL side returns."""
+    """Numbers as doubles of four digits and times as text, the form the SQL side returns."""
     out = []
     for field in df.schema.fields:
         column = F.col(f"`{field.name}`")
         if isinstance(field.dataType, (T.DecimalType, T.DoubleType, T.FloatType)):
             column = F.round(column.cast("double").cast(FINE), DIGITS).cast("double")
+        elif isinstance(field.dataType, T.TimestampType):
+            column = F.date_format(column, "yyyy-MM-dd HH:mm:ss")
         out.append(column.alias(field.name))
     return df.select(*out)
 
 
+def ts(sql: str) -> str:
+    return f"strftime({sql}, '%Y-%m-%d %H:%M:%S')"
+
+
 def r(sql: str) -> str:
     return f"CAST(round(CAST(CAST({sql} AS DOUBLE) AS {FINE}), {DIGITS}) AS DOUBLE)"
 
