@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lapak.operators.marketplaces import (
     PRICE_COLUMNS,
     normalise,
+    normalise_all,
     processed_matcher,
     staging_matcher,
 )
@@ -21,7 +22,6 @@ from lapak.plans.online_detail import (
     ONLINE_LINE,
     add_product_group,
     online_sales_detail,
-    union_marketplaces,
 )
 
 from .joins import cascade_code, cascade_joins, cascade_pick
@@ -486,7 +486,7 @@ DETAIL_NUMBERS = {*UNITS, "existing_hpp_11", "dpp", "gross_profit_hpp11", "gross
 def _online_sales_detail(s):
     """The canonical online line over all marketplaces."""
     exports = {m: getattr(s, f"own_{m}") for m in MARKETS}
-    lines = union_marketplaces(exports, processed_matcher(s.match_items))
+    lines = normalise_all(exports, processed_matcher(s.match_items))
     return online_sales_detail(lines, s.products, s.margins).select(*DETAIL_OUT)
 
 

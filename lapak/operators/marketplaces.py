@@ -1,8 +1,9 @@
 """Seven marketplace export layouts to one online sales line.
 
-Each function takes the export as landed (text columns under the marketplace's own headings,
-plus ``brand``) and a code matcher, and returns ``NORMALISED`` columns. Unit prices are in the
-file or come from the product match; ``existing_x`` is always x times the quantity sold.
+Each layout function takes the export as landed (text columns under the marketplace's own
+headings, plus ``brand``) and returns ``LINE`` columns. ``match_and_price`` then attaches the
+product and the prices that depend on it, so any number of layouts can be united first and
+joined with the products once. ``existing_x`` is always x times the quantity sold.
 
 Two generations of some formulas exist. ``variant="processed"`` is the default;
 ``variant="staging"`` is the older one.
@@ -11,6 +12,7 @@ Two generations of some formulas exist. ``variant="processed"`` is the default;
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +38,11 @@ PRICE_COLUMNS = (
     "existing_discount", "existing_voucher", "existing_net_sales", "value_after_voucher",
     "existing_hpp", "delivery_fee",
 )
+# Before the product match; ``master_priced`` lines take their basic price from the product.
+LINE = (
+    "brand", "marketplace", "date", "ship_date", "delivered_date", *TEXT_COLUMNS, "barcode",
+    "qty_sold", "master_priced", *(c for c in PRICE_COLUMNS if c != "existing_hpp"),
+)
 NORMALISED = (
     "brand", "marketplace", "date", "ship_date", "delivered_date", *TEXT_COLUMNS, "barcode",
     "codebars", *MATCHED_ATTRIBUTES, "qty_sold", *PRICE_COLUMNS,
@@ -117,23 +124,45 @@ def _text(df: DataFrame, names: Mapping[str, str]) -> dict[str, Column]:
     }
 
 
-def _finish(df: DataFrame, marketplace: str, prices: Mapping[str, Column]) -> DataFrame:
-    """Price columns in dependency order, then the canonical projection."""
-    df = df.withColumn("marketplace", F.lit(marketplace))
-    for name, column in prices.items():
-        df = df.withColumn(name, column.cast("double"))
-    if "existing_hpp" not in prices:
-        df = df.withColumn("existing_hpp", F.col("hpp").cast("double") * F.col("qty_sold"))
-    missing = F.lit(None).cast("double")
-    for name in PRICE_COLUMNS:
-        if name not in df.columns:
-            df = df.withColumn(name, missing)
-    return df.select(*NORMALISED)
+def _line(
+    df: DataFrame, marketplace: str, prices: Mapping[str, Column], master_priced: bool = False
+) -> DataFrame:
+    """The uniform line; prices the export does not give stay NULL."""
+    missing = F.lit(None)
+    own = {
+        "marketplace": F.lit(marketplace),
+        "master_priced": F.lit(master_priced),
+        **{c: prices.get(c, missing).cast("double") for c in PRICE_COLUMNS},
+    }
+    return df.select(*[own[c].alias(c) if c in own else F.col(c) for c in LINE])
 
 
 C = F.col
 
-def shopee(raw: DataFrame, match: Matcher, variant: str = "processed") -> DataFrame:
+
+def match_and_price(lines: DataFrame, match: Matcher) -> DataFrame:
+    """Product attributes, prices based on the product's basic price, and cost."""
+    priced = match(lines).withColumn("__basic", C("basicprice").cast("double"))
+    basic, qty = C("__basic"), C("qty_sold")
+    discount = basic - C("net_sales")
+    net = F.coalesce("existing_net_sales", basic * qty - discount * qty)
+    from_master = {
+        "basic_price": basic,
+        "discount": discount,
+        "existing_basic_price": basic * qty,
+        "existing_discount": discount * qty,
+        "existing_net_sales": net,
+        "value_after_voucher": net - C("existing_voucher"),
+    }
+    return priced.withColumns(
+        {
+            **{n: F.when(C("master_priced"), c).otherwise(C(n)) for n, c in from_master.items()},
+            "existing_hpp": C("hpp").cast("double") * qty,
+        }
+    ).select(*NORMALISED)
+
+
+def shopee(raw: DataFrame, variant: str = "processed") -> DataFrame:
     sku = _raw("Nomor Referensi SKU").cast("string")
     first_line = part_of(sku, "\n", 0)
     sku = F.when(sku.startswith("\n"), delete(sku, "\n")).otherwise(
@@ -165,24 +194,29 @@ def shopee(raw: DataFrame, match: Matcher, variant: str = "processed") -> DataFr
         whole_number(_raw("Perkiraan Ongkos Kirim")).alias("freight"),
     ).withColumn("order_status", F.upper("order_status"))
 
+    qty = C("qty_sold")
+
     def own_part(name: str) -> Column:
-        return ratio(C(name), C("in_order")) * C("qty_sold")
+        return ratio(C(name), C("in_order")) * qty
 
-    value = C("existing_net_sales") - C("existing_voucher") + C("subsidy")
+    voucher = ratio(C("seller_voucher"), C("in_order"))
+    discount = ratio(C("existing_discount"), qty)
+    net = C("basic_price") * qty - C("existing_discount")
+    value = net - voucher * qty + C("subsidy")
     if variant == "staging":
-        value = value + C("delivery_fee") + own_part("shipping_cut") - own_part("freight")
-    return _finish(match(lines), "SHOPEE", {
+        value = value + own_part("fee") + own_part("shipping_cut") - own_part("freight")
+    return _line(lines, "SHOPEE", {
         "basic_price": C("basic_price"),
+        "discount": discount,
+        "voucher": voucher,
+        "net_sales": C("basic_price") - discount,
         "subsidy": C("subsidy"),
-        "voucher": ratio(C("seller_voucher"), C("in_order")),
-        "existing_basic_price": C("basic_price") * C("qty_sold"),
-        "discount": ratio(C("existing_discount"), C("qty_sold")),
-        "existing_voucher": C("voucher") * C("qty_sold"),
-        "net_sales": C("basic_price") - C("discount"),
-        "existing_net_sales": C("existing_basic_price") - C("existing_discount"),
+        "existing_basic_price": C("basic_price") * qty,
         "existing_discount": C("existing_discount"),
-        "delivery_fee": own_part("fee"),
+        "existing_voucher": voucher * qty,
+        "existing_net_sales": net,
         "value_after_voucher": value,
+        "delivery_fee": own_part("fee"),
     })
 
 
@@ -191,7 +225,7 @@ def iso_date(name: str) -> Column:
     return parse_date(F.substring(_raw(name).cast("string"), 1, 10), "yyyy-MM-dd")
 
 
-def lazada(raw: DataFrame, match: Matcher, variant: str = "processed") -> DataFrame:
+def lazada(raw: DataFrame, variant: str = "processed") -> DataFrame:
     def date(name: str) -> Column:
         text = _raw(name).cast("string")
         return F.coalesce(
@@ -218,21 +252,16 @@ def lazada(raw: DataFrame, match: Matcher, variant: str = "processed") -> DataFr
     ).withColumns(
         {"order_status": F.upper("order_status"), "cancel_status": F.upper("cancel_status")}
     )
-    return _finish(match(lines), "LAZADA", {
-        "basic_price": C("basicprice"),
+    return _line(lines, "LAZADA", {
         "net_sales": C("net_sales"),
         "voucher": C("voucher"),
-        "discount": C("basic_price") - C("net_sales"),
-        "existing_basic_price": C("basic_price") * C("qty_sold"),
-        "existing_discount": C("discount") * C("qty_sold"),
         "existing_net_sales": C("net_sales") * C("qty_sold"),
         "existing_voucher": C("voucher") * C("qty_sold"),
-        "value_after_voucher": C("existing_net_sales") - C("existing_voucher"),
         "delivery_fee": C("delivery_fee"),
-    })
+    }, master_priced=True)
 
 
-def tiktok(raw: DataFrame, match: Matcher, variant: str = "processed") -> DataFrame:
+def tiktok(raw: DataFrame, variant: str = "processed") -> DataFrame:
     def amount(name: str) -> Column:
         return zero_if_null(whole_number(_raw(name), "IDR "))
 
@@ -267,7 +296,7 @@ def tiktok(raw: DataFrame, match: Matcher, variant: str = "processed") -> DataFr
             "recipient_address": delete("recipient_address", "="),
         }
     )
-    return _finish(match(lines), "TIKTOK", {
+    return _line(lines, "TIKTOK", {
         **{n: C(n) for n in (
             "basic_price", "existing_basic_price", "existing_net_sales", "existing_discount",
             "subsidy", "delivery_fee",
@@ -276,7 +305,7 @@ def tiktok(raw: DataFrame, match: Matcher, variant: str = "processed") -> DataFr
         "existing_voucher": F.lit(0),
         "discount": ratio(C("existing_discount"), C("qty_sold")),
         "net_sales": ratio(C("existing_net_sales"), C("qty_sold")),
-        "value_after_voucher": C("existing_net_sales") - C("existing_voucher") + C("subsidy"),
+        "value_after_voucher": C("existing_net_sales") + C("subsidy"),
     })
 
 
@@ -288,7 +317,7 @@ SHOPIFY_HEADER = (
 
 
 def shopify(
-    raw: DataFrame, match: Matcher, variant: str = "processed", keep_incomplete: bool = False
+    raw: DataFrame, variant: str = "processed", keep_incomplete: bool = False
 ) -> DataFrame:
     """Header fields stand on an order's first line only.
 
@@ -348,20 +377,15 @@ def shopify(
         "net_sales",
         "voucher",
     )
-    return _finish(match(lines), "SHOPIFY", {
-        "basic_price": C("basicprice"),
+    return _line(lines, "SHOPIFY", {
         "net_sales": C("net_sales"),
         "voucher": C("voucher"),
         "existing_net_sales": C("net_sales") * C("qty_sold"),
-        "existing_basic_price": C("basic_price") * C("qty_sold"),
         "existing_voucher": C("voucher") * C("qty_sold"),
-        "discount": C("basic_price") - C("net_sales"),
-        "existing_discount": C("discount") * C("qty_sold"),
-        "value_after_voucher": C("existing_net_sales") - C("existing_voucher"),
-    })
+    }, master_priced=True)
 
 
-def tokopedia(raw: DataFrame, match: Matcher, variant: str = "processed") -> DataFrame:
+def tokopedia(raw: DataFrame, variant: str = "processed") -> DataFrame:
     status = _raw("Status Terakhir").cast("string")
     reason = F.when(status.contains(" -\n"), part_of(status, "-\n", 1)).otherwise(F.lit(""))
     lines = raw.where(_raw("Nomor Invoice").isNotNull()).select(
@@ -384,30 +408,30 @@ def tokopedia(raw: DataFrame, match: Matcher, variant: str = "processed") -> Dat
         try_money(_raw("Jumlah Subsidi Tokopedia (IDR)")).alias("subsidy"),
         try_money(_raw("Nilai Kupon Toko Terpakai (IDR)")).alias("total_voucher"),
     )
-    value = C("existing_net_sales") - C("existing_voucher")
+    basic, net, qty = C("basic_price"), C("net_sales"), C("qty_sold")
+    existing_net = basic * qty - (basic - net) * qty
     if variant == "staging":
         mean = ratio(F.sum("total_voucher"), F.count("total_voucher"))
-        lines = attach_totals(
-            lines, ["order_no"], {"voucher": ratio(mean, F.sum("qty_sold"))}
-        )
+        lines = attach_totals(lines, ["order_no"], {"voucher": ratio(mean, F.sum("qty_sold"))})
+        value = existing_net.cast("double") - C("voucher") * qty
     else:
-        lines = lines.withColumn("voucher", ratio(C("total_voucher"), C("qty_sold")))
-        value = value + C("subsidy")
-    return _finish(match(lines), "TOKOPEDIA", {
-        "basic_price": C("basic_price"),
-        "net_sales": C("net_sales"),
-        "subsidy": C("subsidy"),
+        lines = lines.withColumn("voucher", ratio(C("total_voucher"), qty))
+        value = existing_net.cast("double") - C("voucher") * qty + C("subsidy")
+    return _line(lines, "TOKOPEDIA", {
+        "basic_price": basic,
+        "discount": basic - net,
         "voucher": C("voucher"),
-        "discount": C("basic_price") - C("net_sales"),
-        "existing_basic_price": C("basic_price") * C("qty_sold"),
-        "existing_discount": C("discount") * C("qty_sold"),
-        "existing_voucher": C("voucher") * C("qty_sold"),
-        "existing_net_sales": C("existing_basic_price") - C("existing_discount"),
+        "net_sales": net,
+        "subsidy": C("subsidy"),
+        "existing_basic_price": basic * qty,
+        "existing_discount": (basic - net) * qty,
+        "existing_voucher": C("voucher") * qty,
+        "existing_net_sales": existing_net,
         "value_after_voucher": value,
     })
 
 
-def zalora(raw: DataFrame, match: Matcher, variant: str = "processed") -> DataFrame:
+def zalora(raw: DataFrame, variant: str = "processed") -> DataFrame:
     lines = raw.select(
         "brand",
         *[c.alias(n) for n, c in _text(raw, {
@@ -431,21 +455,15 @@ def zalora(raw: DataFrame, match: Matcher, variant: str = "processed") -> DataFr
         ).alias("voucher"),
         try_money(_raw("Shipping Fee")).alias("delivery_fee"),
     ).withColumn("order_status", F.upper("order_status"))
-    return _finish(match(lines), "ZALORA", {
-        "basic_price": C("basicprice"),
+    return _line(lines, "ZALORA", {
         "net_sales": C("net_sales"),
         "voucher": C("voucher"),
-        "delivery_fee": C("delivery_fee"),
         "existing_voucher": C("voucher") * C("qty_sold"),
-        "discount": C("basic_price") - C("net_sales"),
-        "existing_basic_price": C("basic_price") * C("qty_sold"),
-        "existing_discount": C("discount") * C("qty_sold"),
-        "existing_net_sales": C("existing_basic_price") - C("existing_discount"),
-        "value_after_voucher": C("existing_net_sales") - C("existing_voucher"),
-    })
+        "delivery_fee": C("delivery_fee"),
+    }, master_priced=True)
 
 
-def blibli(raw: DataFrame, match: Matcher, variant: str = "processed") -> DataFrame:
+def blibli(raw: DataFrame, variant: str = "processed") -> DataFrame:
     voucher = try_money(_raw("Voucher seller"))
     lines = raw.select(
         "brand",
@@ -462,20 +480,22 @@ def blibli(raw: DataFrame, match: Matcher, variant: str = "processed") -> DataFr
         try_money(_raw("Diskon")).alias("discount"),
         (voucher if variant == "staging" else F.abs(voucher)).alias("voucher"),
     ).withColumn("order_status", F.upper("order_status"))
-    return _finish(match(lines), "BLIBLI", {
+    qty = C("qty_sold")
+    net = C("existing_basic_price") - C("discount") * qty
+    return _line(lines, "BLIBLI", {
         "basic_price": C("basic_price"),
-        "existing_basic_price": C("existing_basic_price"),
         "discount": C("discount"),
         "voucher": C("voucher"),
         "net_sales": C("basic_price") - C("discount"),
-        "existing_discount": C("discount") * C("qty_sold"),
-        "existing_net_sales": C("existing_basic_price") - C("existing_discount"),
-        "existing_voucher": C("voucher") * C("qty_sold"),
-        "value_after_voucher": C("existing_net_sales") - C("existing_voucher"),
+        "existing_basic_price": C("existing_basic_price"),
+        "existing_discount": C("discount") * qty,
+        "existing_voucher": C("voucher") * qty,
+        "existing_net_sales": net,
+        "value_after_voucher": net - C("voucher") * qty,
     })
 
 
-NORMALISERS: dict[str, Callable[..., DataFrame]] = {
+LAYOUTS: dict[str, Callable[..., DataFrame]] = {
     "blibli": blibli,
     "lazada": lazada,
     "shopee": shopee,
@@ -486,8 +506,23 @@ NORMALISERS: dict[str, Callable[..., DataFrame]] = {
 }
 
 
+def layout(marketplace: str, raw: DataFrame, variant: str = "processed") -> DataFrame:
+    """The uniform line of an export, by marketplace name in any letter case."""
+    return LAYOUTS[marketplace.lower()](raw, variant=variant)
+
+
 def normalise(
     marketplace: str, raw: DataFrame, match: Matcher, variant: str = "processed"
 ) -> DataFrame:
-    """Normalise one export by marketplace name, in any letter case."""
-    return NORMALISERS[marketplace.lower()](raw, match, variant=variant)
+    """One export to normalised, matched and priced lines."""
+    return match_and_price(layout(marketplace, raw, variant), match)
+
+
+def normalise_all(
+    exports: Mapping[str, DataFrame], match: Matcher, variant: str = "processed"
+) -> DataFrame:
+    """All exports united by column name, matched in a single join."""
+    lines = [layout(m, raw, variant) for m, raw in exports.items()]
+    return match_and_price(
+        reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), lines), match
+    )
