@@ -13,8 +13,8 @@ from lapak.operators.accumulating import (
     PRODUCT_COLUMNS,
     PROMO_STORE_COLUMNS,
     STORE_COLUMNS,
+    align_periods,
     category_year_report,
-    compare_periods,
     daily_store_report,
     month_to_date,
     mtd_ytd_report,
@@ -29,6 +29,7 @@ from lapak.operators.accumulating import (
 )
 from lapak.operators.aggregating import group_sum
 from lapak.operators.calendar import calendar_pattern, date_dimension
+from lapak.operators.joining import present_in
 from lapak.operators.online_reports import (
     DELIVERY_LINE,
     SETTLEMENT_LINE,
@@ -162,6 +163,14 @@ AKUM_COLUMNS = [
 AKUM_SHAPES = BOTH_SHAPES + " pattern products"
 
 
+def used_pattern(s):
+    """Calendar rows whose own date had sales on either channel."""
+    offline = valid_sales(s.sales_lines).select("order_create_date")
+    online = online_as_sales(s.online_lines, s.stores).where("dataareaid IS NOT NULL")
+    dates = offline.unionByName(online.select("order_create_date")).distinct()
+    return present_in(s.pattern, dates, {"pattern_date": "order_create_date"})
+
+
 def report(s):
     return accumulation_report(s.sales_lines, s.online_lines, s.stores, s.products, s.pattern)
 
@@ -303,8 +312,7 @@ def mtd_ytd_daily(s):
 )
 def _per_day_comparison(s):
     """Day totals of three periods with counterpart dates and daily target."""
-    sold = both_channels(s)
-    return per_day_comparison(compare_periods(sold, sold, sold, s.pattern), s.pattern, s.stores)
+    return per_day_comparison(align_periods(both_channels(s), used_pattern(s)), s.pattern, s.stores)
 
 
 @query(

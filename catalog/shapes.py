@@ -591,22 +591,29 @@ def duck(*names: str) -> str:
     return ", ".join(f"{n} AS ({s})" for n, s in done.items())
 
 
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table or a shape as a DataFrame."""
-    if name in TABLES:
-        df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-        # The files carry zone-less times; they are UTC.
-        naive = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampNTZType)]
-        return df.withColumns({c: F.col(c).cast("timestamp") for c in naive}) if naive else df
-    sql = SHAPES[name](SPARK)
-    return spark.sql(sql, **{n: load(spark, sf_dir, n) for n in _needs(sql)})
+def load(
+    spark: SparkSession, sf_dir: str, name: str, loaded: dict[str, DataFrame] | None = None
+) -> DataFrame:
+    """A driver table or a shape as a DataFrame; ``loaded`` keeps the ones already built."""
+    loaded = {} if loaded is None else loaded
+    if name not in loaded:
+        if name in TABLES:
+            df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+            # The files carry zone-less times; they are UTC.
+            naive = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampNTZType)]
+            loaded[name] = df.withColumns({c: F.col(c).cast("timestamp") for c in naive}) if naive else df
+        else:
+            sql = SHAPES[name](SPARK)
+            parts = {n: load(spark, sf_dir, n, loaded) for n in _needs(sql)}
+            loaded[name] = spark.sql(sql, **parts)
+    return loaded[name]
 
 
 class Shapes:
     """Shapes of one folder as attributes."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self._spark, self._dir = configure(spark), sf_dir
+        self._spark, self._dir, self._loaded = configure(spark), sf_dir, {}
 
     def __getattr__(self, name: str) -> DataFrame:
-        return load(self._spark, self._dir, name)
+        return load(self._spark, self._dir, name, self._loaded)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import rename_all, report_title
 from ..functions.numbers import ratio
 from ..functions.text import part_of
-from ..functions.values import differs, is_in, not_in, sum0, zero_if_null
+from ..functions.values import all_present, differs, is_in, sum0, zero_if_null
 from .aggregating import group_sum, running_total
 from .calendar import calendar_pattern, date_dimension, shift_dates
 from .dedup import derepeat
@@ -23,7 +23,9 @@ UNDETECTED = ("undetected", "Undetected")
 VOID_STATUS = 7
 
 MEASURES = ("ordernumber", "quantity", "cust_paid_peritem", "hpp_total")
+EXACT_MEASURES = ("cust_paid_peritem", "hpp_total")
 PERIODS = ("", "_lm", "_ly")
+PERIOD_DATES = {"": "pattern_date", "_lm": "pattern_lm", "_ly": "pattern_last_year"}
 PRODUCT_COLUMNS = (
     "dataareaid", "codebars", "itemid", "umbrellabrand", "subbrand", "world", "category", "subcategory",
 )
@@ -92,11 +94,13 @@ def online_as_sales(lines: DataFrame, stores: DataFrame) -> DataFrame:
     return keep_facts(sold, store, ["brand", "marketplace"]).drop("brand", "marketplace")
 
 
-def unified_sales(offline: DataFrame, online: DataFrame | None = None) -> DataFrame:
-    """Sales per company, store, date and barcode over both channels.
+SALES_GRAIN = ("dataareaid", "axcode", "order_create_date", "codebars")
+
+
+def unified_lines(offline: DataFrame, online: DataFrame | None = None) -> DataFrame:
+    """Lines of both channels that have the whole grain.
 
-    A barcode the master does not know falls back to the scanned one. Orders are distinct
-    within the grain; adding them up over barcodes counts a mixed order more than once.
+    A barcode the master does not know falls back to the scanned one.
     """
     sales = offline
     if online is not None:
@@ -105,13 +109,30 @@ def unified_sales(offline: DataFrame, online: DataFrame | None = None) -> DataFr
     codebars = F.when(
         is_in("codebars", UNDETECTED) & scanned.isNotNull(), scanned
     ).otherwise(F.col("codebars"))
+    return (
+        sales.withColumn("codebars", codebars)
+        .select(*SALES_GRAIN, "ordernumber", "quantity", *EXACT_MEASURES)
+        .where(all_present(SALES_GRAIN))
+    )
+
+
+def unified_sales(offline: DataFrame, online: DataFrame | None = None) -> DataFrame:
+    """Sales per company, store, date and barcode over both channels.
+
+    Orders are distinct within the grain; adding them up over barcodes counts a mixed order
+    more than once.
+    """
+    return sum_lines(unified_lines(offline, online))
+
+
+def sum_lines(lines: DataFrame) -> DataFrame:
+    """Unified lines at their grain. Money is summed as decimals, so the order of rows and
+    partial sums does not show in the result."""
+    exact = {
+        m: F.bround(sum0(F.col(m).cast("decimal(28,6)")), 2) for m in EXACT_MEASURES
+    }
     return group_sum(
-        sales.withColumn("codebars", codebars),
-        ["dataareaid", "axcode", "order_create_date", "codebars"],
-        "quantity",
-        ordernumber=F.count_distinct("ordernumber"),
-        cust_paid_peritem=F.bround(sum0("cust_paid_peritem"), 2),
-        hpp_total=F.bround(sum0("hpp_total"), 2),
+        lines, SALES_GRAIN, "quantity", ordernumber=F.count_distinct("ordernumber"), **exact
     )
 
 
@@ -141,22 +162,43 @@ def compare_periods(
     )
 
 
+def align_periods(sold: DataFrame, pattern: DataFrame) -> DataFrame:
+    """Sales of a date beside those of its counterparts, in one pass over ``sold``.
+
+    The calendar is turned into one row per date and role (this month, last month, last year);
+    a sale meets each role its date plays and is summed into that role's columns. The result is
+    that of outer-joining three separately prepared frames, without preparing or joining them.
+    """
+    roles = F.array(
+        *[
+            F.struct(F.lit(p).alias("role"), F.col(d).alias("__date"))
+            for p, d in PERIOD_DATES.items()
+        ]
+    )
+    # Three rows per calendar date.
+    calendar = calendar_pattern(pattern).select("id", F.inline(roles))
+    met = sold.join(calendar, F.col("order_create_date") == F.col("__date"), "inner")
+    return group_sum(
+        met,
+        ["dataareaid", "axcode", "id", "codebars"],
+        **{
+            m + p: sum0(F.when(F.col("role") == p, F.col(m))) for p in PERIODS for m in MEASURES
+        },
+    )
+
+
 def sales_accumulation(
-    this_month: DataFrame,
-    last_month: DataFrame,
-    last_year: DataFrame,
-    pattern: DataFrame,
-    stores: DataFrame,
-    products: DataFrame,
+    sold: DataFrame, pattern: DataFrame, used: DataFrame, stores: DataFrame, products: DataFrame
 ) -> DataFrame:
     """The accumulation report: store, day and category grain, three periods, targets.
 
-    The daily target spreads the store target by day weight. Targets repeat on every row of a
-    store, so each is kept on its first row only.
+    ``sold`` holds the unified sales of all dates ``pattern`` names, ``used`` the pattern rows
+    whose own date has sales; the month weight counts all rows of ``pattern``.
     """
-    wide = compare_periods(this_month, last_month, last_year, pattern)
-    rows = calendar_pattern(pattern)
-    days = date_dimension(rows).withColumnRenamed("pattern_date", "order_create_date")
+    wide = align_periods(sold, used)
+    days = date_dimension(calendar_pattern(pattern)).withColumnRenamed(
+        "pattern_date", "order_create_date"
+    )
     dated = keep_facts(wide, days, ["id"])
     attributes = [c for c in PRODUCT_COLUMNS if c not in ("dataareaid", "codebars")]
     detailed = keep_facts(dated, products, ["dataareaid", "codebars"])
@@ -166,19 +208,23 @@ def sales_accumulation(
 
 
 def with_targets(grouped: DataFrame, stores: DataFrame) -> DataFrame:
-    """Store attributes and de-repeated targets on accumulated rows."""
+    """Store attributes and targets on accumulated rows.
+
+    The daily target spreads the store target by day weight. Targets repeat on every row of a
+    store (and day), so each is kept on its first row only.
+    """
     joined = keep_facts(
-        grouped, stores.select(*STORE_COLUMNS, "target"), ["dataareaid", "axcode"], suffix="_store"
+        grouped, stores.select(*STORE_COLUMNS, "target"), ["dataareaid", "axcode"]
     )
     daily = ratio("target", "month_score") * F.col("day_score")
-    joined = joined.withColumn("target_daily", daily)
     report = derepeat(
-        joined,
+        joined.withColumn("target_daily", daily),
         {
-            "target": ["dataareaid", "axcode"],
             "target_daily": ["dataareaid", "axcode", "order_create_date"],
+            "target": ["dataareaid", "axcode"],
         },
         DAY_GRAIN,
+        spread=["order_create_date"],
     )
     return report.select(
         *STORE_COLUMNS,
@@ -306,6 +352,7 @@ def category_year_report(report: DataFrame, months: DataFrame) -> DataFrame:
         joined,
         {"cust_paid_peritem_ytd": keys, "cust_paid_peritem_ly_ytd": keys},
         [*keys, *order],
+        spread=["order_create_date"],
     )
 
 

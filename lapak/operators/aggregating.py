@@ -8,14 +8,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import snake
-from ..functions.values import sum0
+from ..functions.values import all_present, sum0
 from .joining import keep_facts
 
 
 def group_sum(df: DataFrame, keys: Sequence[str], *measures: str, **aggregates: Column) -> DataFrame:
     """Sums (0 for all-NULL groups) and named aggregates; rows with a NULL key are left out."""
     columns = [sum0(m).alias(m) for m in measures] + [c.alias(n) for n, c in aggregates.items()]
-    return df.dropna(subset=list(keys)).groupBy(*keys).agg(*columns)
+    return df.where(all_present(keys)).groupBy(*keys).agg(*columns)
 
 
 def pivot_sum(
@@ -25,7 +25,7 @@ def pivot_sum(
 
     Conditional sums need one shuffle; ``pivot`` would aggregate twice.
     """
-    return df.dropna(subset=list(keys)).groupBy(*keys).agg(
+    return df.where(all_present(keys)).groupBy(*keys).agg(
         *[sum0(F.when(F.col(pivot) == v, F.col(value))).alias(snake(v)) for v in values]
     )
 

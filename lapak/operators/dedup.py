@@ -6,7 +6,7 @@ columns, so results do not depend on how rows were distributed.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,35 +46,32 @@ def latest_two_stage(
 
 
 def derepeat(
-    df: DataFrame, measures: dict[str, Sequence[str]], order: Sequence[str]
+    df: DataFrame,
+    measures: Mapping[str, Sequence[str]],
+    order: Sequence[str],
+    spread: Sequence[str] = (),
 ) -> DataFrame:
     """Keep each measure on the first row of its group, put 0 on the others.
 
-    ``measures`` maps a measure to the columns of its group; the measure itself is added to
-    the group. ``order`` must identify a row. The first row of each group is found by a
-    partially aggregated minimum and compared on every row, so no group is gathered.
+    ``measures`` maps a measure to the columns of its group; name the measure among them where
+    it is not the same throughout. ``order`` must identify a row.
+
+    ``spread`` splits large groups: the first row of each sub-group is found beforehand, and
+    only these leaders are compared within the whole group, while the other rows stay in their
+    sub-groups. A window then holds one sub-group, or one leader per sub-group.
     """
-    mark = F.struct(*[F.col(c) for c in order])
-    # Keeping all columns in the aggregate's input lets Spark reuse the shuffle under ``df``.
-    row = F.struct(*[F.col(c) for c in [*order, *_ties(df, order)]])
-    out = df
+    by = [F.col(f"`{c}`") for c in order]
     for measure, group in measures.items():
-        keys = list(dict.fromkeys([*group, measure]))
-        first = df.groupBy(*keys).agg(F.min(row).alias("__row"))
-        first = first.select(
-            *[F.col(k).alias(f"__g_{k}") for k in keys],
-            F.struct(*[F.col(f"__row.{c}").alias(c) for c in order]).alias(f"__first_{measure}"),
-        )
-        on = {k: f"__g_{k}" for k in keys}
-        out = keep_facts(out, first, on, null_safe=True)
-    return out.withColumns(
-        {
-            m: F.when(mark.eqNullSafe(F.col(f"__first_{m}")), F.col(m)).otherwise(
-                F.lit(0).cast(df.schema[m].dataType)
-            )
-            for m in measures
-        }
-    ).drop(*[f"__first_{m}" for m in measures])
+        finer = [c for c in spread if c not in group]
+        first = F.row_number().over(Window.partitionBy(*group, *finer).orderBy(*by)) == 1
+        if finer:
+            df = df.withColumn("__lead", first)
+            place = [F.when(~F.col("__lead"), F.col(c)) for c in finer]
+            whole = Window.partitionBy(*group, "__lead", *place).orderBy(*by)
+            first = F.col("__lead") & (F.row_number().over(whole) == 1)
+        zero = F.lit(0).cast(df.schema[measure].dataType)
+        df = df.withColumn(measure, F.when(first, F.col(measure)).otherwise(zero)).drop("__lead")
+    return df
 
 
 def with_duplicate_flag(

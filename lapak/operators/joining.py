@@ -8,7 +8,7 @@ on the left, so their side is the one that may be split.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -21,11 +21,16 @@ def _pairs(on: Keys) -> list[tuple[str, str]]:
     return list(on.items()) if isinstance(on, Mapping) else [(k, k) for k in on]
 
 
-def _condition(left: DataFrame, right: DataFrame, on: Keys, null_safe: bool) -> Column:
+def _quoted(names: Iterable[str]) -> list[Column]:
+    return [F.col(f"`{n}`") for n in names]
+
+
+def _equal(pairs: Iterable[tuple[str, str]], null_safe: bool) -> Column:
+    """Equality of left and (renamed, so unambiguous) right key columns."""
     tests = []
-    for a, b in _pairs(on):
-        a, b = left[f"`{a}`"], right[f"`{b}`"]
-        tests.append(a.eqNullSafe(b) if null_safe else a == b)
+    for a, b in pairs:
+        left, right = F.col(f"`{a}`"), F.col(f"`{b}`")
+        tests.append(left.eqNullSafe(right) if null_safe else left == right)
     return reduce(lambda x, y: x & y, tests)
 
 
@@ -42,52 +47,50 @@ def keep_facts(
     ``suffix`` renames dimension columns that collide; ``flag`` adds a boolean match column.
     """
     pairs = _pairs(on)
-    keys = {b for _, b in pairs}
-    names = {c: f"__k_{c}" for c in keys}
-    extra = {
-        c: (c + suffix if suffix and c in facts.columns else c)
-        for c in dimension.columns
-        if c not in keys
+    keys = {b: f"__k_{b}" for _, b in pairs}
+    fact_names = facts.columns
+    renamed = {
+        c: keys.get(c) or (c + suffix if c in fact_names else c) for c in dimension.columns
     }
-    right = dimension.withColumnsRenamed({**names, **extra})
+    extra = [n for c, n in renamed.items() if c not in keys]
+    if clash := set(extra) & set(fact_names):
+        raise ValueError(f"columns on both sides: {sorted(clash)}")
+    right = dimension.withColumnsRenamed(renamed)
     if flag:
         right = right.withColumn(flag, F.lit(True))
-    joined = facts.join(
-        right, _condition(facts, right, {a: names[b] for a, b in pairs}, null_safe), "left"
-    )
-    out = [facts[f"`{c}`"] for c in facts.columns] + [right[f"`{c}`"] for c in extra.values()]
+    joined = facts.join(right, _equal([(a, keys[b]) for a, b in pairs], null_safe), "left")
+    out = _quoted([*fact_names, *extra])
     if flag:
-        out.append(F.coalesce(right[flag], F.lit(False)).alias(flag))
+        out.append(F.coalesce(F.col(flag), F.lit(False)).alias(flag))
     return joined.select(*out)
 
 
 def full_outer(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """Full outer equi-join in which NULL keys match; each key appears once."""
     names = {c: f"__k_{c}" for c in on}
-    right = right.withColumnsRenamed(names)
-    joined = left.join(right, _condition(left, right, names, True), "full")
-    keys = [F.coalesce(left[k], right[names[k]]).alias(k) for k in on]
-    rest = [left[f"`{c}`"] for c in left.columns if c not in on]
-    rest += [right[f"`{c}`"] for c in right.columns if c not in names.values()]
-    return joined.select(*keys, *rest)
+    others = [c for c in right.columns if c not in names]
+    joined = left.join(right.withColumnsRenamed(names), _equal(names.items(), True), "full")
+    keys = [F.coalesce(*_quoted([k, n])).alias(k) for k, n in names.items()]
+    rest = [c for c in left.columns if c not in names] + others
+    return joined.select(*keys, *_quoted(rest))
 
 
-def _key_side(other: DataFrame, on: Keys) -> tuple[DataFrame, dict[str, str]]:
+def _key_side(other: DataFrame, on: Keys) -> tuple[DataFrame, list[tuple[str, str]]]:
     pairs = _pairs(on)
     keys = other.select(*[F.col(f"`{b}`").alias(f"__k_{b}") for _, b in pairs])
-    return keys, {a: f"__k_{b}" for a, b in pairs}
+    return keys, [(a, f"__k_{b}") for a, b in pairs]
 
 
 def present_in(df: DataFrame, other: DataFrame, on: Keys) -> DataFrame:
     """Rows whose key exists in ``other``."""
-    keys, names = _key_side(other, on)
-    return df.join(keys, _condition(df, keys, names, False), "left_semi")
+    keys, pairs = _key_side(other, on)
+    return df.join(keys, _equal(pairs, False), "left_semi")
 
 
 def absent_from(df: DataFrame, other: DataFrame, on: Keys, null_safe: bool = False) -> DataFrame:
     """Rows whose key does not exist in ``other``."""
-    keys, names = _key_side(other, on)
-    return df.join(keys, _condition(df, keys, names, null_safe), "left_anti")
+    keys, pairs = _key_side(other, on)
+    return df.join(keys, _equal(pairs, null_safe), "left_anti")
 
 
 def attach_totals(

@@ -21,7 +21,7 @@ from ..functions.columns import col_or
 from ..functions.dates import parse_date
 from ..functions.numbers import ratio, try_money
 from ..functions.text import delete, part_of, unquote, whole_number
-from ..functions.values import replace_values, sum0, zero_if_null
+from ..functions.values import all_present, replace_values, sum0, zero_if_null
 from .aggregating import header_totals
 from .joining import attach_totals, keep_facts, with_leading_zero_retry
 from .products import MATCHED_ATTRIBUTES, current_products, match_online_codes, online_company
@@ -337,7 +337,7 @@ def shopify(
     name = plain["Name"]
     if keep_incomplete:
         others = [p for p in plain.values() if p != name]
-        headers = source.dropna(subset=[name]).groupBy(name).agg(
+        headers = source.where(all_present([name])).groupBy(name).agg(
             *[F.max(p).alias(p) for p in others], sum0("order_discount").alias("order_discount")
         )
     else:

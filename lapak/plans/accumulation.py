@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.accumulating import (
+    PERIOD_DATES,
+    PERIODS,
     PRODUCT_COLUMNS,
     online_as_sales,
     promo_sales,
     sales_accumulation,
-    unified_sales,
+    sum_lines,
+    unified_lines,
     valid_sales,
 )
 from ..operators.aggregating import control_total
@@ -32,9 +36,9 @@ def month_pattern(pattern: DataFrame, month: dt.date) -> DataFrame:
     return pattern.where(F.trunc("pattern_date", "month") == F.lit(month.replace(day=1)))
 
 
-def on_dates(sales: DataFrame, pattern: DataFrame, column: str) -> DataFrame:
+def on_dates(sales: DataFrame, dates: DataFrame, column: str) -> DataFrame:
     """Sales on the dates a calendar column names; the calendar side is one row per date."""
-    return present_in(sales, pattern.select(column).distinct(), {"order_create_date": column})
+    return present_in(sales, dates.select(column).distinct(), {"order_create_date": column})
 
 
 def accumulation_report(
@@ -46,29 +50,29 @@ def accumulation_report(
 ) -> AccumulationReport:
     """Everything the monthly report delivers, from sales lines of all periods.
 
-    The reference dates come from the calendar, so last month and last year need no loop over
-    months, and January finds December of the year before.
+    The dates to read come from the calendar, so last month and last year need no loop over
+    months, and January finds December of the year before. Lines of all periods are read and
+    summed once.
     """
     kept = valid_sales(offline)
     sold = None if online is None else online_as_sales(online, stores)
-
-    def period(column: str) -> DataFrame:
-        return unified_sales(
-            on_dates(kept, pattern, column),
-            None if sold is None else on_dates(sold, pattern, column),
-        )
-
-    this, last_month, last_year = (
-        period(c) for c in ("pattern_date", "pattern_lm", "pattern_last_year")
+    lines = unified_lines(kept, sold)
+    named = F.array(*PERIOD_DATES.values())
+    lines = on_dates(lines, pattern.select(F.explode(named).alias("__any")), "__any")
+    used = present_in(
+        pattern, lines.select("order_create_date").distinct(), {"pattern_date": "order_create_date"}
     )
+    sold = sum_lines(lines)
     report = sales_accumulation(
-        this, last_month, last_year, pattern, stores, report_products(products, PRODUCT_COLUMNS)
+        sold, pattern, used, stores, report_products(products, PRODUCT_COLUMNS)
     )
     value = "cust_paid_peritem"
-    checks = (
-        control_total(this, value, report, value, "this month")
-        .unionByName(control_total(last_month, value, report, value + "_lm", "last month"))
-        .unionByName(control_total(last_year, value, report, value + "_ly", "last year"))
+    checks = reduce(
+        DataFrame.unionByName,
+        [
+            control_total(on_dates(sold, pattern, PERIOD_DATES[p]), value, report, value + p, name)
+            for p, name in zip(PERIODS, ("this month", "last month", "last year"))
+        ],
     )
     promotions = promo_sales(on_dates(kept, pattern, "pattern_date"), stores)
     return AccumulationReport(report, promotions, checks)
