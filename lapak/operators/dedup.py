@@ -109,6 +109,8 @@ def number_rows(
     shifts = counts.select(
         "__piece", *group, F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__shift")
     )
-    numbered = ranged.withColumn("__n", F.row_number().over(within))
+    numbered = ranged.withColumn("__within", F.row_number().over(within))
     joined = keep_facts(numbered, shifts, ["__piece", *group], null_safe=True)
-    return joined.withColumn(name, F.col("__n") + F.col("__shift")).drop("__piece", "__n", "__shift")
+    return joined.withColumn(name, F.col("__within") + F.col("__shift")).drop(
+        "__piece", "__within", "__shift"
+    )

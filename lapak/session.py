@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,17 +47,28 @@ def local_session(app: str = "lapak", cores: int | str = "*", **extra: str) -> S
     return spark
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and read it back.
+def shared_folder(spark: SparkSession) -> str:
+    """Folder every executor can reach: the one the cluster names in ``spark.checkpoint.dir``.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; only where that
-    is unset (tests, single machine) is a scratch folder made.
+    Only where that is unset on a single machine (tests) a scratch folder is made.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        named = context.getConf().get("spark.checkpoint.dir")
-        if named is None and not context.master.startswith("local"):
+    folder = context.getCheckpointDir() or context.getConf().get("spark.checkpoint.dir")
+    if folder is None:
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="lapak-checkpoint-"))
+        folder = tempfile.mkdtemp(prefix="lapak-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
+    return folder
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A fresh path below the shared folder."""
+    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back, so its content is fixed."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
