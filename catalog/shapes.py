@@ -150,7 +150,7 @@ def stores(d: Dialect) -> str:
     nth = d.intdiv("s_suppkey", "4")
     brand = _pick(f"({nth} % 5)", BRANDS)
     market = _pick(f"({d.intdiv(nth, '5')} % 7)", MARKETPLACES)
-    channel = "CASE s_suppkey % 4 WHEN 0 THEN 'ONLINE' WHEN 1 THEN 'KEY ACCOUNT' ELSE 'SHOWROOM' END"
+    channel = CHANNEL
     key = "CAST(s_suppkey AS STRING)"
     return f"""
     SELECT {COMPANY} AS dataareaid, 'CF' || {key} AS cfcode, 'CS' || {key} AS cscode,
@@ -264,22 +264,31 @@ def erp_staging(d: Dialect) -> str:
     """
 
 
+CHANNEL = "CASE s_suppkey % 4 WHEN 0 THEN 'ONLINE' WHEN 1 THEN 'KEY ACCOUNT' ELSE 'SHOWROOM' END"
+
+
 def sales_lines(d: Dialect) -> str:
     """Stored POS sales detail, the columns the reports read."""
-    half = "CAST(0.5 AS DECIMAL(2,1))"
+    store = d.intdiv(*STORE_OF_ORDER)
+    created = d.add_hours("o_orderdate", "CAST(o_custkey % 24 AS INT)")
+    quantity = f"CAST({SIGN} * CAST(l_quantity AS INT) AS INT)"
+    half = "CAST(p_retailprice AS DECIMAL(18,2)) * CAST(0.5 AS DECIMAL(2,1))"
+    code = CODE.format("l_partkey")
     return f"""
-    SELECT o.dataareaid, o.store_branch_extcode AS axcode, s.channel, s.main_channel, s.city,
-      CAST(o.time_created AS DATE) AS order_create_date,
-      CASE WHEN o.order_total_product = 7 THEN 'undetected' ELSE o.product_barcode END AS codebars,
-      o.product_barcode AS productdata_barcode, o.order_number AS ordernumber,
-      o.order_product_quantity AS quantity, o.order_product_total AS cust_paid_peritem,
-      CAST(o.product_price * {half} * o.order_product_quantity AS DECIMAL(18,2)) AS hpp_total,
-      CASE WHEN o.promotion_id = 0 THEN 'regular' ELSE 'P' || CAST(o.promotion_id AS STRING) END AS promocode,
-      COALESCE(o.promotion_description, 'Regular') AS remarks,
-      CASE WHEN o.order_status = 7 THEN '0' ELSE '1' END AS istransaction,
-      o.order_issettled AS issettled, o.order_status AS status_order
-    FROM {{pos_orders}} o JOIN {{stores}} s
-      ON o.store_branch_extcode = s.axcode AND o.dataareaid = s.dataareaid
+    SELECT {COMPANY} AS dataareaid, CAST(s_suppkey AS STRING) AS axcode, {CHANNEL} AS channel,
+      CAST({created} AS DATE) AS order_create_date,
+      CASE WHEN l_linenumber = 7 THEN 'undetected' ELSE {code} END AS codebars,
+      {code} AS productdata_barcode, 'SO' || CAST(l_orderkey AS STRING) AS ordernumber,
+      {quantity} AS quantity, CAST({SIGN} * {LINE_TOTAL} AS DECIMAL(18,2)) AS cust_paid_peritem,
+      CAST({half} * {quantity} AS DECIMAL(18,2)) AS hpp_total,
+      CASE WHEN {PCT} = 0 THEN 'regular' ELSE 'P' || CAST({PCT} AS STRING) END AS promocode,
+      CASE WHEN {PCT} > 0 THEN 'Disc ' || CAST({PCT} AS STRING) ELSE 'Regular' END AS remarks,
+      CASE WHEN o_orderstatus = 'P' THEN '0' ELSE '1' END AS istransaction,
+      (l_linestatus = 'F' OR l_tax > 0.025) AS issettled,
+      CASE o_orderstatus WHEN 'F' THEN 6 WHEN 'O' THEN 5 ELSE 7 END AS status_order
+    FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey
+    JOIN {{supplier}} ON s_suppkey = {store} JOIN {{nation}} ON s_nationkey = n_nationkey
+    JOIN {{part}} ON l_partkey = p_partkey
     """
 
 
