@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import rename_all, report_title
 from ..functions.numbers import ratio
@@ -33,6 +34,10 @@ DAY_GRAIN = (
     "dataareaid", "axcode", "order_create_date", "day", "day_name", "day_score", "week", "month",
     "month_score", "itemid", "umbrellabrand", "subbrand", "world", "category", "subcategory",
 )
+# Identifies an accumulated row of a store; the other grain columns follow from the date.
+ROW_ORDER = (
+    "order_create_date", "itemid", "umbrellabrand", "subbrand", "world", "category", "subcategory",
+)
 STORE_COLUMNS = (
     "dataareaid", "brand", "channel", "deptstore", "groupstore", "cscode", "axcode", "whcode",
     "stdname", "sqm", "sssg", "openstatus", "so_dept_head", "area_head", "city_head",
@@ -128,11 +133,14 @@ def unified_sales(offline: DataFrame, online: DataFrame | None = None) -> DataFr
 def sum_lines(lines: DataFrame) -> DataFrame:
     """Unified lines at their grain. Money is summed as decimals, so the order of rows and
     partial sums does not show in the result."""
-    exact = {
-        m: F.bround(sum0(F.col(m).cast("decimal(28,6)")), 2) for m in EXACT_MEASURES
-    }
+
+    def exact(name: str) -> Column:
+        is_exact = isinstance(lines.schema[name].dataType, T.DecimalType)
+        return F.col(name) if is_exact else F.col(name).cast("decimal(28,6)")
+
+    sums = {m: F.bround(sum0(exact(m)), 2) for m in EXACT_MEASURES}
     return group_sum(
-        lines, SALES_GRAIN, "quantity", ordernumber=F.count_distinct("ordernumber"), **exact
+        lines, SALES_GRAIN, "quantity", ordernumber=F.count_distinct("ordernumber"), **sums
     )
 
 
@@ -146,8 +154,8 @@ def compare_periods(
     """
     keys = ["dataareaid", "axcode", "id", "codebars"]
     rows = calendar_pattern(pattern)
-    sold_dates = this_month.select("order_create_date")
-    used = present_in(rows, sold_dates, {"pattern_date": "order_create_date"})
+    sold_dates = this_month.select("order_create_date").distinct()
+    used = present_in(rows, sold_dates, {"pattern_date": "order_create_date"}, bounded=True)
     frames = []
     for sales, column, suffix in zip(
         (this_month, last_month, last_year),
@@ -162,12 +170,10 @@ def compare_periods(
     )
 
 
-def align_periods(sold: DataFrame, pattern: DataFrame) -> DataFrame:
-    """Sales of a date beside those of its counterparts, in one pass over ``sold``.
+def _in_roles(sold: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Each sale once per role its date plays: this month, last month, last year.
 
-    The calendar is turned into one row per date and role (this month, last month, last year);
-    a sale meets each role its date plays and is summed into that role's columns. The result is
-    that of outer-joining three separately prepared frames, without preparing or joining them.
+    ``calendar`` holds the three dates of a row and whatever is to be attached.
     """
     roles = F.array(
         *[
@@ -175,16 +181,25 @@ def align_periods(sold: DataFrame, pattern: DataFrame) -> DataFrame:
             for p, d in PERIOD_DATES.items()
         ]
     )
-    # Three rows per calendar date.
-    calendar = calendar_pattern(pattern).select("id", F.inline(roles))
-    met = sold.join(calendar, F.col("order_create_date") == F.col("__date"), "inner")
-    return group_sum(
-        met,
-        ["dataareaid", "axcode", "id", "codebars"],
-        **{
-            m + p: sum0(F.when(F.col("role") == p, F.col(m))) for p in PERIODS for m in MEASURES
-        },
-    )
+    kept = [c for c in calendar.columns if c not in PERIOD_DATES.values()]
+    meant = calendar.select(*kept, F.col("pattern_date").alias("__day"), F.inline(roles))
+    # Three rows per calendar date, so broadcast whatever the amount of sales.
+    met = sold.join(F.broadcast(meant), F.col("order_create_date") == F.col("__date"), "inner")
+    return met.withColumn("order_create_date", F.col("__day")).drop("__day", "__date")
+
+
+def _role_sums() -> dict[str, Column]:
+    return {m + p: sum0(F.when(F.col("role") == p, F.col(m))) for p in PERIODS for m in MEASURES}
+
+
+def align_periods(sold: DataFrame, pattern: DataFrame) -> DataFrame:
+    """Sales of a date beside those of its counterparts, in one pass over ``sold``.
+
+    A sale is summed into the columns of each role its date plays. The result is that of
+    outer-joining three separately prepared frames, without preparing or joining them.
+    """
+    met = _in_roles(sold, calendar_pattern(pattern))
+    return group_sum(met, ["dataareaid", "axcode", "id", "codebars"], **_role_sums())
 
 
 def sales_accumulation(
@@ -193,17 +208,14 @@ def sales_accumulation(
     """The accumulation report: store, day and category grain, three periods, targets.
 
     ``sold`` holds the unified sales of all dates ``pattern`` names, ``used`` the pattern rows
-    whose own date has sales; the month weight counts all rows of ``pattern``.
+    whose own date has sales; the month weight counts all rows of ``pattern``. Sums are
+    additive, so sales go straight to the category grain in one aggregation.
     """
-    wide = align_periods(sold, used)
-    days = date_dimension(calendar_pattern(pattern)).withColumnRenamed(
-        "pattern_date", "order_create_date"
-    )
-    dated = keep_facts(wide, days, ["id"])
+    days = date_dimension(calendar_pattern(pattern)).drop("pattern_date")
+    calendar = keep_facts(calendar_pattern(used), days, ["id"], bounded=True).drop("id")
     attributes = [c for c in PRODUCT_COLUMNS if c not in ("dataareaid", "codebars")]
-    detailed = keep_facts(dated, products, ["dataareaid", "codebars"])
-    detailed = detailed.fillna("Undetected", attributes)
-    grouped = group_sum(detailed, DAY_GRAIN, *[m + s for s in PERIODS for m in MEASURES])
+    detailed = keep_facts(_in_roles(sold, calendar), products, ["dataareaid", "codebars"])
+    grouped = group_sum(detailed.fillna("Undetected", attributes), DAY_GRAIN, **_role_sums())
     return with_targets(grouped, stores)
 
 
@@ -223,7 +235,7 @@ def with_targets(grouped: DataFrame, stores: DataFrame) -> DataFrame:
             "target_daily": ["dataareaid", "axcode", "order_create_date"],
             "target": ["dataareaid", "axcode"],
         },
-        DAY_GRAIN,
+        ROW_ORDER,
         spread=["order_create_date"],
     )
     return report.select(
@@ -321,9 +333,10 @@ def per_day_comparison(wide: DataFrame, pattern: DataFrame, stores: DataFrame) -
     """Day totals of all three periods with the counterpart dates and the daily target."""
     rows = calendar_pattern(pattern)
     days = date_dimension(rows).select("id", "pattern_date", "day_score", "month_score")
-    dated = keep_facts(
-        keep_facts(wide, days, ["id"]), rows.select("id", "pattern_lm", "pattern_last_year"), ["id"]
+    days = keep_facts(
+        days, rows.select("id", "pattern_lm", "pattern_last_year"), ["id"], bounded=True
     )
+    dated = keep_facts(wide, days, ["id"], bounded=True)
     measures = [m + s for s in PERIODS for m in MEASURES if m != "hpp_total"]
     grouped = group_sum(
         dated.withColumnRenamed("pattern_date", "order_create_date"),
@@ -347,11 +360,10 @@ def category_year_report(report: DataFrame, months: DataFrame) -> DataFrame:
         months, keys, **{f"{m}_ytd": sum0(m) for m in ("cust_paid_peritem", "cust_paid_peritem_ly")}
     )
     joined = full_outer(report, year, keys)
-    order = [c for c in DAY_GRAIN if c not in keys]
     return derepeat(
         joined,
         {"cust_paid_peritem_ytd": keys, "cust_paid_peritem_ly_ytd": keys},
-        [*keys, *order],
+        ROW_ORDER,
         spread=["order_create_date"],
     )
 

@@ -1,4 +1,8 @@
-"""Business calendar: each date with its counterpart last month and last year."""
+"""Business calendar: each date with its counterpart last month and last year.
+
+A calendar holds one row per date, so its side of a join is broadcast: its size does not grow
+with the sales.
+"""
 
 from __future__ import annotations
 
@@ -31,7 +35,7 @@ def date_dimension(pattern: DataFrame) -> DataFrame:
     period = F.trunc("pattern_date", "month")
     months = days.groupBy(period.alias("__period")).agg(F.sum("day_score").alias("month_score"))
     return keep_facts(
-        days.withColumn("__period", period), months, ["__period"], null_safe=True
+        days.withColumn("__period", period), months, ["__period"], null_safe=True, bounded=True
     ).drop("__period")
 
 
@@ -41,5 +45,5 @@ def shift_dates(sales: DataFrame, pattern: DataFrame, date: str, pattern_date: s
     Sales outside the calendar are left out; one sale counts for every row naming its date.
     """
     rows = pattern.select("id", F.col(pattern_date).alias("__date"))
-    joined = sales.join(rows, sales[date] == rows["__date"], "inner")
+    joined = sales.join(F.broadcast(rows), F.col(date) == F.col("__date"), "inner")
     return joined.drop("__date")

@@ -99,7 +99,7 @@ def replace_by_date(existing: DataFrame, arrived: DataFrame, date: str) -> DataF
     """A re-delivered date replaces all rows of that date; other dates stay."""
     # At most one row per calendar date, so this side stays small however much arrives.
     dates = arrived.select(date).distinct()
-    return absent_from(existing, dates, [date]).unionByName(arrived, allowMissingColumns=True)
+    return absent_from(existing, dates, [date], bounded=True).unionByName(arrived, allowMissingColumns=True)
 
 
 STORE_VERSION = ("start_date", "end_date", "create_date", "update_date", "current_status")

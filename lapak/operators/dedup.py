@@ -60,15 +60,19 @@ def derepeat(
     only these leaders are compared within the whole group, while the other rows stay in their
     sub-groups. A window then holds one sub-group, or one leader per sub-group.
     """
-    by = [F.col(f"`{c}`") for c in order]
+
+    def first_of(*partition: str | Column, known: Sequence[str]) -> Column:
+        by = [F.col(f"`{c}`") for c in order if c not in known]
+        return F.row_number().over(Window.partitionBy(*partition).orderBy(*(by or [F.lit(1)]))) == 1
+
     for measure, group in measures.items():
         finer = [c for c in spread if c not in group]
-        first = F.row_number().over(Window.partitionBy(*group, *finer).orderBy(*by)) == 1
+        first = first_of(*group, *finer, known=[*group, *finer])
         if finer:
             df = df.withColumn("__lead", first)
             place = [F.when(~F.col("__lead"), F.col(c)) for c in finer]
-            whole = Window.partitionBy(*group, "__lead", *place).orderBy(*by)
-            first = F.col("__lead") & (F.row_number().over(whole) == 1)
+            whole = first_of(*group, "__lead", *place, known=group)
+            first = F.col("__lead") & whole
         zero = F.lit(0).cast(df.schema[measure].dataType)
         df = df.withColumn(measure, F.when(first, F.col(measure)).otherwise(zero)).drop("__lead")
     return df

@@ -1,9 +1,10 @@
 """Join shapes.
 
-No join here carries a broadcast hint: Spark broadcasts a side only when its statistics
-(or, at run time, the measured stage size) are under ``spark.sql.autoBroadcastJoinThreshold``,
-and otherwise shuffles both sides, splitting hot keys of the preserved side. Facts are always
-on the left, so their side is the one that may be split.
+Dimensions carry no broadcast hint: Spark broadcasts a side only when its statistics (or, at
+run time, the measured stage size) are under ``spark.sql.autoBroadcastJoinThreshold``, and
+otherwise shuffles both sides, splitting hot keys of the preserved side. Facts are always on
+the left, so their side is the one that may be split. Only calendar sides, which hold a few
+rows per calendar date whatever the amount of sales, are marked with ``bounded=True``.
 """
 
 from __future__ import annotations
@@ -41,10 +42,12 @@ def keep_facts(
     null_safe: bool = False,
     suffix: str = "",
     flag: str | None = None,
+    bounded: bool = False,
 ) -> DataFrame:
     """Left join that returns the fact columns, then the dimension's non-key columns.
 
-    ``suffix`` renames dimension columns that collide; ``flag`` adds a boolean match column.
+    ``suffix`` renames dimension columns that collide; ``flag`` adds a boolean match column;
+    ``bounded`` asks for a broadcast and is only for sides whose size cannot grow with the data.
     """
     pairs = _pairs(on)
     keys = {b: f"__k_{b}" for _, b in pairs}
@@ -58,6 +61,8 @@ def keep_facts(
     right = dimension.withColumnsRenamed(renamed)
     if flag:
         right = right.withColumn(flag, F.lit(True))
+    if bounded:
+        right = F.broadcast(right)
     joined = facts.join(right, _equal([(a, keys[b]) for a, b in pairs], null_safe), "left")
     out = _quoted([*fact_names, *extra])
     if flag:
@@ -81,16 +86,18 @@ def _key_side(other: DataFrame, on: Keys) -> tuple[DataFrame, list[tuple[str, st
     return keys, [(a, f"__k_{b}") for a, b in pairs]
 
 
-def present_in(df: DataFrame, other: DataFrame, on: Keys) -> DataFrame:
+def present_in(df: DataFrame, other: DataFrame, on: Keys, bounded: bool = False) -> DataFrame:
     """Rows whose key exists in ``other``."""
     keys, pairs = _key_side(other, on)
-    return df.join(keys, _equal(pairs, False), "left_semi")
+    return df.join(F.broadcast(keys) if bounded else keys, _equal(pairs, False), "left_semi")
 
 
-def absent_from(df: DataFrame, other: DataFrame, on: Keys, null_safe: bool = False) -> DataFrame:
+def absent_from(
+    df: DataFrame, other: DataFrame, on: Keys, null_safe: bool = False, bounded: bool = False
+) -> DataFrame:
     """Rows whose key does not exist in ``other``."""
     keys, pairs = _key_side(other, on)
-    return df.join(keys, _equal(pairs, null_safe), "left_anti")
+    return df.join(F.broadcast(keys) if bounded else keys, _equal(pairs, null_safe), "left_anti")
 
 
 def attach_totals(

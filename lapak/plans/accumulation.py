@@ -38,7 +38,8 @@ def month_pattern(pattern: DataFrame, month: dt.date) -> DataFrame:
 
 def on_dates(sales: DataFrame, dates: DataFrame, column: str) -> DataFrame:
     """Sales on the dates a calendar column names; the calendar side is one row per date."""
-    return present_in(sales, dates.select(column).distinct(), {"order_create_date": column})
+    named = dates.select(column).distinct()
+    return present_in(sales, named, {"order_create_date": column}, bounded=True)
 
 
 def accumulation_report(
@@ -59,8 +60,9 @@ def accumulation_report(
     lines = unified_lines(kept, sold)
     named = F.array(*PERIOD_DATES.values())
     lines = on_dates(lines, pattern.select(F.explode(named).alias("__any")), "__any")
+    sold_dates = lines.select("order_create_date").distinct()
     used = present_in(
-        pattern, lines.select("order_create_date").distinct(), {"pattern_date": "order_create_date"}
+        pattern, sold_dates, {"pattern_date": "order_create_date"}, bounded=True
     )
     sold = sum_lines(lines)
     report = sales_accumulation(

@@ -22,6 +22,19 @@ def read_table(
     return reader.parquet(*paths)
 
 
+def spread_scan(df: DataFrame, *by: str) -> DataFrame:
+    """The scan, over at least as many tasks as the session runs at once.
+
+    Parquet is split at row groups, so a table in a few large row groups keeps most cores idle
+    through every map-side step. A scan with enough partitions, the normal case for a large
+    table, is returned as it is. ``by`` names columns that together nearly identify a row: rows
+    are spread by their content, so a repeated task puts them in the same place again. Filters
+    and column pruning still reach the files.
+    """
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted, *by)
+
+
 def period_filter(months: Sequence[dt.date], year: str = "year", month: str = "month") -> Column:
     """Predicate on the partition columns, pruned before any file is opened."""
     wanted = F.lit(False)

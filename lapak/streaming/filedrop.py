@@ -16,7 +16,7 @@ def newest_delivery(df: DataFrame, date: str, arrived: str = "arrived_at", file:
     The choice is made per date on aggregated (date, file) pairs; rows are never gathered.
     """
     files = df.groupBy(date).agg(F.max(F.struct(arrived, file)).alias("__newest"))
-    marked = keep_facts(df, files, [date], null_safe=True)
+    marked = keep_facts(df, files, [date], null_safe=True, bounded=True)
     return marked.where(F.struct(arrived, file) == F.col("__newest")).drop("__newest")
 
 
