@@ -52,11 +52,12 @@ def read_partitions(
 ) -> DataFrame:
     """Folders ``<source>/<company>/<channel>/year=YYYY/month=MM`` below ``root``.
 
-    ``year`` and ``month`` are discovered as partitions; the bare path segments are read from
-    the file path. Segments asked for by value narrow the path pattern, so other folders are
-    not listed.
+    All segments become columns, read from the file path. Months and segments asked for by
+    value narrow the path pattern, so files of other folders are not opened.
     """
     pattern = "/".join([root.rstrip("/"), *[equal.get(b, "*") for b in bare]])
+    if months is not None:
+        pattern += "/{" + ",".join(f"year={m.year}/month={m:%m}" for m in months) + "}"
     scan = spark.read.option("recursiveFileLookup", "true").parquet(pattern)
     part = r"year=(\d+)/month=(\d+)"
     path = F.col("_metadata.file_path")
@@ -64,14 +65,13 @@ def read_partitions(
     found = {
         b: F.regexp_extract(path, segments + "year=", i + 1) for i, b in enumerate(bare)
     }
-    df = scan.withColumns(
+    return scan.withColumns(
         {
             **found,
             "year": F.regexp_extract(path, part, 1).cast("int"),
             "month": F.regexp_extract(path, part, 2),
         }
     )
-    return df if months is None else df.where(period_filter(months))
 
 
 def read_keyed(
