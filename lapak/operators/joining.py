@@ -39,16 +39,21 @@ def keep_facts(
     facts: DataFrame,
     dimension: DataFrame,
     on: Keys,
-    null_safe: bool = False,
+    null_safe: bool | None = None,
     suffix: str = "",
     flag: str | None = None,
     bounded: bool = False,
 ) -> DataFrame:
     """Left join that returns the fact columns, then the dimension's non-key columns.
 
+    Missing keys match missing keys, unless told otherwise or ``bounded``. This also matters
+    for hot keys: a side that was grouped or deduplicated on the plain key would be joined
+    without another shuffle, and Spark splits a hot key only between two fresh shuffles.
+
     ``suffix`` renames dimension columns that collide; ``flag`` adds a boolean match column;
     ``bounded`` asks for a broadcast and is only for sides whose size cannot grow with the data.
     """
+    null_safe = not bounded if null_safe is None else null_safe
     pairs = _pairs(on)
     keys = {b: f"__k_{b}" for _, b in pairs}
     fact_names = facts.columns

@@ -348,7 +348,7 @@ def shopify(
     headers = headers.withColumnRenamed(name, "__name")
     details = source.select("brand", name, "qty_sold", "net_sales", "barcode")
     # Same rows as headers joined to their lines; the larger side stays on the left.
-    joined = details.join(headers, details[name] == headers["__name"], "inner")
+    joined = details.join(headers, F.col(name).eqNullSafe(F.col("__name")), "inner")
 
     def head(h: str) -> Column:
         return C(plain[h]) if h != "Name" else C("__name")
