@@ -147,12 +147,12 @@ ERP = """erp AS (SELECT 'CS' || k AS mds, 'WH' || k AS wh, k AS code, s_name AS
   SELECT *, CAST(s_suppkey AS VARCHAR) AS k FROM supplier JOIN nation ON s_nationkey = n_nationkey))"""
 PLACES = "CASE n % 5 WHEN 0 THEN 'Jawa Tengah' WHEN 1 THEN 'DKI Jakarta' WHEN 2 THEN 'Sumatera Selatan' WHEN 3 THEN 'Nusa Tenggara' ELSE 'Bali' END"
 STORE_SQL = f"""{ERP},
-dim AS (SELECT CASE WHEN n < 12 THEN 1 ELSE 2 END AS company_key, CASE WHEN s % 4 <> 3 THEN s END AS store_pos_id, CAST(NULL AS VARCHAR) AS store_dynamics_id, wh AS warehouse_key,
-  CASE WHEN s % 4 = 0 THEN 'Close' WHEN s % 4 < 3 THEN 'Open' END AS store_pos_status, CASE WHEN s % 2 = 0 THEN 'Open' ELSE 'Close' END AS store_dynamics_status, 'BR' AS brand_key,
+dim AS (SELECT CASE WHEN n < 12 THEN 1 ELSE 2 END AS company_key, CASE WHEN sqm > 2000 THEN s END AS store_pos_id, CAST(NULL AS VARCHAR) AS store_dynamics_id, wh AS warehouse_key,
+  CASE WHEN sqm <= 2000 THEN NULL WHEN s % 4 = 0 THEN 'Close' ELSE 'Open' END AS store_pos_status, CASE WHEN s % 2 = 0 THEN 'Open' ELSE 'Close' END AS store_dynamics_status, 'BR' AS brand_key,
   code AS store_code, CAST(NULL AS VARCHAR) AS store_invoice_code, mds AS store_mds_code, CASE s % 3 WHEN 0 THEN 'SSSG' WHEN 1 THEN 'Non SSSG' END AS store_sssg, name AS store_name,
   'OFFLINE' AS store_main_channel, 'SHOWROOM' AS store_channel, 'Indonesia' AS store_country, CASE WHEN n % 2 = 0 THEN 'NTT Timur' ELSE 'Jawa' END AS store_region, {PLACES} AS store_province,
   'Bandung-Barat' AS store_city, 'Jalan 1 Blok, ' || code AS store_address, sqm AS store_sqm,
-  CASE WHEN (s % 2 = 0 AND s % 4 = 2) THEN 'Yes' ELSE 'No' END AS store_sync_status, 'current' AS current_status FROM erp)"""
+  CASE WHEN sqm > 2000 AND s % 4 = 2 THEN 'Yes' ELSE 'No' END AS store_sync_status, 'current' AS current_status FROM erp)"""
 
 
 def store_lists(s):
@@ -180,7 +180,7 @@ def store_lists(s):
         F.when(k % 2 == 0, "Open").otherwise("Close").alias("OpenStatus"),
         F.when(k % 3 == 0, 1).when(k % 3 == 1, 0).alias("Sssg"),
     )
-    pos = s.supplier.where("s_suppkey % 4 <> 3").select(
+    pos = s.supplier.where("s_acctbal > 2000").select(
         k.alias("id"), code.alias("extCode"), F.when(k % 4 == 0, 0).otherwise(1).alias("status")
     )
     return erp, pos

@@ -217,7 +217,7 @@ def match_items(d: Dialect) -> str:
     return """
     SELECT dataareaid, codebars, itemid, umbrellabrand, alucode, season, world, category,
       subcategory, pricecategory, monthyear AS yearmonth, hpp, basicprice
-    FROM {products} WHERE recid % 2 = 0
+    FROM {products} WHERE monthyear = DATE '2024-02-01'
     """
 
 
