@@ -26,7 +26,7 @@ def test_query(spark, con, name):
 def test_entry(spark):
     df = entry(spark)
     assert df.count() > 0
-    assert len(df.columns) == 41
+    assert len(df.columns) == 42
 
 
 def test_sql_names_are_registered():
