@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import local_time, month_name
+from ..functions.dates import local_time
 from ..functions.text import delete, keep_alphanumeric, part_of, title_case
 from .dedup import latest_per_key, with_duplicate_flag
 

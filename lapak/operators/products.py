@@ -8,9 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import fill_by_type
-from ..functions.text import zero_toggle
 from ..functions.values import is_in
-from .dedup import first_per_key, latest_per_key, latest_two_stage
+from .dedup import first_per_key, latest_per_key
 from .joining import best_per_code, keep_facts
 
 # Fixed values.
