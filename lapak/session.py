@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,14 +52,12 @@ def local_session(app: str = "lapak", cores: int | str = "*", **extra: str) -> S
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: the one the cluster names in ``spark.checkpoint.dir``.
 
-    Only where that is unset on a single machine (tests) a scratch folder is made.
+    Where that is unset it is a folder below the warehouse, which is shared as well.
     """
     context = spark.sparkContext
-    folder = context.getCheckpointDir() or context.getConf().get("spark.checkpoint.dir")
+    folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        folder = tempfile.mkdtemp(prefix="lapak-")
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/lapak-scratch"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
