@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, sharding
+from . import dac, mixing, packing, quality, sharding, simhash
 from .common import table
 
 
@@ -16,5 +16,23 @@ def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_shard, op3_mix)}
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge_documents(table(spark, sf_dir, "documents"))
+
+
+def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dac.token_documents(table(spark, sf_dir, "documents"))
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.duplicate_documents(table(spark, sf_dir, "documents"))
+
+
+def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    f.__name__: f for f in (op1_shard, op3_mix, op5_quality, op7_token_ids, op9_simhash, op10_pack)
+}
 SQL: dict[str, str] = {}
