@@ -2,10 +2,10 @@
 
 Equal fingerprints are one class. Classes are cut into tiles by the number of set bits; two tiles
 are compared only if these numbers can differ by no more than the radius, since two fingerprints
-differ in at least as many bits as their counts do. A pair of tiles is one task's work of a fixed
-size: exclusive-or and bit counts on arrays. Inside it smaller blocks are skipped in the same way
-by the counts of four quarters. Only links that join separate parts leave the task, so a dense
-group of near copies sends one link per class and tile pair, not all its pairs.
+differ in at least as many bits as their counts do. Two tiles are work of a bounded size:
+exclusive-or and bit counts on arrays. Inside them smaller blocks are skipped in the same way by
+the counts of four quarters. Only links that join separate parts leave a pair of tiles, so a dense
+group of near copies sends one link per class and pair of tiles, not all its pairs.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from .components import components
 
 SHINGLE, RADIUS, SEED = 4, 4, 42
 #: Classes of a tile on average.
-TILE = 16_384
+TILE = 32_768
 #: Rows and columns compared at once.
 ROWS, COLUMNS = 256, 4096
 
@@ -160,19 +160,22 @@ def near_links(prints: DataFrame, radius: int = RADIUS, tile: int = TILE) -> Dat
         per_bits(lambda k: ends[near(k)[0]]).alias("first"),
         per_bits(lambda k: ends[near(k)[-1] + 1] - 1).alias("last"),
     ) if strata else prints.select("fingerprint", *[F.lit(0).cast("long").alias(c) for c in ("tile", "first", "last")])
-    paired = tiled.withColumn("partner", F.explode(F.sequence(F.col("first").cast("long"), F.col("last").cast("long")))).select(
-        F.least("tile", "partner").alias("x"), F.greatest("tile", "partner").alias("y"), "tile", "fingerprint"
+    # A tile travels as one row, so its copies for its partners are few and large.
+    blocks = tiled.groupBy("tile", "first", "last").agg(F.collect_list("fingerprint").alias("prints"))
+    paired = blocks.withColumn("partner", F.explode(F.sequence(F.col("first").cast("long"), F.col("last").cast("long")))).select(
+        F.least("tile", "partner").alias("x"), F.greatest("tile", "partner").alias("y"), "prints"
     )
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        x, y = int(frame["x"].iloc[0]), int(frame["y"].iloc[0])
-        tiles = frame["tile"].to_numpy()
-        values = frame["fingerprint"].to_numpy().view("<u8")
-        found = links_between(values[tiles == x], None if x == y else values[tiles == y], radius)
+        tiles = [np.asarray(p, dtype="<i8").view("<u8") for p in frame["prints"]]
+        found = links_between(tiles[0], tiles[1] if len(tiles) > 1 else None, radius)
         return pd.DataFrame(found.astype("<u8").view("<i8").reshape(-1, 2), columns=["a", "b"])
 
-    # As many groups as tile pairs; all are of about the same size.
-    return paired.groupBy("x", "y").applyInPandas(compare, "a bigint, b bigint")
+    # Every pair of tiles costs about the same, so they are spread by number, not by bytes.
+    pairs = sum(s[2] * (ends[near(k)[-1] + 1] - ends[near(k)[0]]) for k, s in enumerate(strata)) // 2
+    tasks = min(max(1, pairs), 4 * int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    spread = paired.repartition(int(tasks), "x", "y")
+    return spread.groupBy("x", "y").applyInPandas(compare, "a bigint, b bigint")
 
 
 def classes(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
