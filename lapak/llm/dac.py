@@ -36,7 +36,7 @@ MAGIC = b"DAC1"
 #: Bits between entries of the rank directory.
 BLOCK = 512
 #: Ids of a file at most, beyond the document that crosses it.
-FILE_IDS = 1 << 23
+FILE_IDS = 1 << 22
 _MANIFEST = pa.schema(
     [("piece", pa.int32()), ("number", pa.int32()), ("name", pa.string()), ("n_documents", pa.int64()),
      ("n_ids", pa.int64()), ("bytes", pa.int64())]
@@ -181,8 +181,8 @@ def write_ids(docs: DataFrame, folder: str, path: str) -> DataFrame:
             )
 
         for part in tokens.text_batches(batches):
-            piece = part["piece"][0]
-            for doc, ids in zip(part["doc_id"], tokens.documents_ids(part["text"], path)):
+            piece = part["piece"][0].as_py()
+            for doc, ids in zip(part["doc_id"].to_pylist(), tokens.documents_ids(part["text"], path)):
                 names.append(doc)
                 documents.append(ids)
                 held += len(ids)

@@ -67,7 +67,7 @@ def pieces(docs: DataFrame, path: str, length: int = LENGTH, with_ids: bool = Tr
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in tokens.text_batches(batches):
             out: list[list] = [[] for _ in schema]
-            for doc, ids in zip(part["doc_id"], tokens.documents_ids(part["text"], path)):
+            for doc, ids in zip(part["doc_id"].to_pylist(), tokens.documents_ids(part["text"], path)):
                 for start in range(0, len(ids), length):
                     piece = ids[start : start + length]
                     row = (doc, start, len(piece), zlib.crc32(piece), len(ids))

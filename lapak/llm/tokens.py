@@ -8,17 +8,22 @@ remembered; the memory is bounded and starts anew when full.
 from __future__ import annotations
 
 import os
-import re
-from collections.abc import Iterable, Sequence
+import string
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Words a worker remembers (about 200 bytes each).
 REMEMBERED = 1_000_000
 #: Id appended to every document.
 END = 2
 VOCABULARY = "word_bpe_49k.json"
+#: The library splits letters from these, and a run of them is one piece (an apostrophe is not).
+MARKS = string.punctuation.replace("'", "")
+#: Words encoded in one call.
+CALL = 2048
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -27,13 +32,6 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
-def words(text: str) -> list[str]:
-    """Runs without white space. Four control characters are blanks to Python, not to Unicode."""
-    if any(c in text for c in "\x1c\x1d\x1e\x1f"):
-        return re.findall(r"(?:[^\s]|[\x1c-\x1f])+", text)
-    return text.split()
-
-
 class WordEncoder:
     """Encodes texts through a memory of words."""
 
@@ -43,57 +41,104 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        vocabulary = self.tokenizer.get_vocab()
+        #: Ids that end a piece.
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self._forget()
 
     def _forget(self) -> None:
+        #: Number of each known word, and per number where its ids start and how many they are.
         self.index: dict[str, int] = {}
-        self.ids = np.zeros(1 << 16, dtype=np.uint32)
-        self.used = 0
+        self.ids = np.zeros(1 << 16, dtype="<u4")
         self.starts = np.zeros(1 << 14, dtype=np.int64)
         self.counts = np.zeros(1 << 14, dtype=np.int64)
+        self.n = self.used = 0
+
+    def _store(self, words: Sequence[str], ids: np.ndarray, counts: np.ndarray) -> None:
+        while self.n + len(words) > len(self.starts):
+            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
+            self.counts = np.concatenate([self.counts, np.zeros_like(self.counts)])
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[self.used : self.used + len(ids)] = ids
+        at = slice(self.n, self.n + len(words))
+        self.counts[at] = counts
+        self.starts[at] = self.used + np.cumsum(counts) - counts
+        self.index.update(zip(words, range(at.start, at.stop)))
+        self.n += len(words)
+        self.used += len(ids)
+
+    def _gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of numbered words in a row, and how many each has."""
+        counts = self.counts[numbers]
+        ends = np.cumsum(counts)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.ids[np.arange(total) + np.repeat(self.starts[numbers] - (ends - counts), counts)], counts
 
-    def _learn(self, new: Sequence[str]) -> None:
-        """Encode words in one call; ``word_ids`` tells which word each id belongs to."""
-        for at in range(0, len(new), 4096):
-            part = list(new[at : at + 4096])
+    def _any_words(self, words: Sequence[str]) -> None:
+        """``word_ids`` tells which word each id belongs to."""
+        for at in range(0, len(words), CALL):
+            part = list(words[at : at + CALL])
             encoded = self.tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
-            ids = np.array(encoded.ids, dtype=np.uint32)
-            counts = np.bincount(np.array(encoded.word_ids, dtype=np.int64), minlength=len(part)) if len(ids) else np.zeros(len(part), dtype=np.int64)
-            first = len(self.index)
-            while first + len(part) > len(self.starts):
-                self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-                self.counts = np.concatenate([self.counts, np.zeros_like(self.counts)])
-            while self.used + len(ids) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            self.ids[self.used : self.used + len(ids)] = ids
-            self.counts[first : first + len(part)] = counts
-            self.starts[first : first + len(part)] = self.used + np.cumsum(counts) - counts
-            self.used += len(ids)
-            self.index.update(zip(part, range(first, first + len(part))))
-
-    def encode(self, texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray]:
+            owners = np.array(encoded.word_ids, dtype=np.int64)
+            self._store(part, np.array(encoded.ids, dtype="<u4"), np.bincount(owners, minlength=len(part)))
+
+    def _pieces(self, words: Sequence[str]) -> None:
+        """Words that are one piece each: as many ends as words, so every end closes a word."""
+        for at in range(0, len(words), CALL):
+            part = list(words[at : at + CALL])
+            (encoded,) = self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)
+            ids = np.array(encoded.ids, dtype="<u4")
+            last = np.nonzero(self.ends[ids])[0]
+            if len(last) == len(part) and last[-1] == len(ids) - 1:
+                self._store(part, ids, np.diff(last, prepend=-1))
+            else:  # a letter that the library sees otherwise
+                self._any_words(part)
+
+    def _learn(self, new: Sequence[str]) -> None:
+        """A word of letters, with marks behind or not, has the ids of its letters and its marks."""
+        split, letters, marks, others = [], {}, {}, []
+        known = self.index
+        for word in new:
+            head = word.rstrip(MARKS)
+            if head.isalpha():
+                tail = word[len(head) :]
+                if head.isascii():
+                    head = head.lower()
+                split.append((word, head, tail))
+                if head not in known:
+                    letters[head] = None
+                if tail and tail not in known:
+                    marks[tail] = None
+            else:
+                others.append(word)
+        self._pieces(list(letters))
+        self._any_words([w for w in marks if w not in known])
+        self._any_words([w for w in others if w not in known])
+        joined = [(w, known[h], known[t]) for w, h, t in split if t]
+        known.update((w, known[h]) for w, h, t in split if not t)
+        if joined:
+            ids, counts = self._gather(np.array([n for _, h, t in joined for n in (h, t)], dtype=np.int64))
+            self._store([w for w, _, _ in joined], ids, counts.reshape(-1, 2).sum(axis=1))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and the number of ids of each; NULL is an empty text."""
-        split = [words(t) if t else () for t in texts]
-        flat = [w for ws in split for w in ws]
+        split = pc.ascii_split_whitespace(texts)
+        found = split.flatten().dictionary_encode()
+        distinct = found.dictionary.to_pylist()
         if len(self.index) > REMEMBERED or self.used > 8 * REMEMBERED:
             self._forget()
         known = self.index
-        new = list({w for w in flat if w not in known})
+        new = [w for w in distinct if w not in known]
         if new:
             self._learn(new)
-        word = np.fromiter(map(known.__getitem__, flat), dtype=np.int64, count=len(flat))
-        counts = self.counts[word]
-        ends = np.cumsum(counts)
-        total = int(ends[-1]) if len(ends) else 0
-        # Ids of the k-th word stand from its start on: one index for all words at once.
-        place = np.arange(total) + np.repeat(self.starts[word] - (ends - counts), counts)
-        per_text = np.zeros(len(split), dtype=np.int64)
-        lengths = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
-        if len(flat):
-            upto = np.concatenate([[0], ends])
-            last = np.cumsum(lengths)
-            per_text = upto[last] - upto[last - lengths]
-        return self.ids[place], per_text
+        numbers = np.fromiter(map(known.__getitem__, distinct), dtype=np.int64, count=len(distinct))
+        ids, counts = self._gather(numbers[found.indices.to_numpy()])
+        words = pc.fill_null(pc.list_value_length(split), 0).to_numpy(zero_copy_only=False)
+        upto = np.concatenate([[0], np.cumsum(counts)])
+        last = np.cumsum(words)
+        return ids, upto[last] - upto[last - words]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -106,7 +151,7 @@ def encoder(path: str) -> WordEncoder:
     return _ENCODERS[path]
 
 
-def documents_ids(texts: Iterable[str | None], path: str) -> list[np.ndarray]:
+def documents_ids(texts: pa.Array, path: str) -> list[np.ndarray]:
     """Ids of each text with the end id, as unsigned 32-bit little-endian arrays."""
     ids, counts = encoder(path).encode(texts)
     out, at = [], 0
@@ -119,17 +164,13 @@ def documents_ids(texts: Iterable[str | None], path: str) -> list[np.ndarray]:
     return out
 
 
-def text_batches(batches: Iterable[pa.RecordBatch], chars: int = 4_000_000) -> Iterable[dict[str, list]]:
-    """Columns of Arrow batches as lists, cut to about ``chars`` characters of text, or one text.
-
-    Arrow keeps NULL and large ids as they are, which pandas would turn into floating point.
-    """
+def text_batches(batches: Iterable[pa.RecordBatch], size: int = 8_000_000) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut to about ``size`` bytes of text, or one text."""
     for batch in batches:
-        columns = batch.to_pydict()
-        sizes = [len(t) if t else 0 for t in columns["text"]]
-        at = held = 0
-        for i, size in enumerate([*sizes, None]):
-            if held and (size is None or held + size > chars) or size is None and at < i:
-                yield {name: values[at:i] for name, values in columns.items()}
-                at, held = i, 0
-            held += size or 0
+        if not batch.num_rows:
+            continue
+        sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+        block = np.cumsum(sizes, dtype=np.int64) // size
+        cuts = np.nonzero(np.diff(block))[0] + 1
+        for first, last in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+            yield batch.slice(first, last - first)

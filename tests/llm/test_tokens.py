@@ -1,5 +1,6 @@
 import numpy as np
 import odd
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -17,7 +18,7 @@ def whole(text):
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.text(alphabet="aAbB ,.'st\n\t\x0b\x1c\x85\xa0éÉ́Σσ0½ﬁ中あ​😀<|>#", max_size=40), max_size=5))
 def test_words_give_the_ids_of_whole_texts(texts):
-    ids, counts = ENCODER.encode(texts)
+    ids, counts = ENCODER.encode(pa.array(texts, pa.string()))
     at = 0
     for text, n in zip(texts, counts):
         assert ids[at : at + n].tolist() == whole(text)
@@ -28,7 +29,7 @@ def test_words_give_the_ids_of_whole_texts(texts):
 @pytest.mark.parametrize("code", [9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 0x85, 0xA0, 0x1680, 0x2000, 0x2028, 0x202F, 0x3000, 0x200B, 0xFEFF])
 def test_every_kind_of_blank(code):
     for text in (f"ab{chr(code)}cd", f"x{chr(code)}'s", f"{chr(code)}b{chr(code)}{chr(code)}c"):
-        assert ENCODER.encode([text])[0].tolist() == whole(text)
+        assert ENCODER.encode(pa.array([text]))[0].tolist() == whole(text)
 
 
 def test_documents_and_forgetting(monkeypatch):
@@ -37,16 +38,23 @@ def test_documents_and_forgetting(monkeypatch):
     monkeypatch.setattr(tokens, "REMEMBERED", 50)
     fresh = tokens.WordEncoder(tokens.vocabulary_path())
     monkeypatch.setitem(tokens._ENCODERS, "own", fresh)
-    got = [ids for k in range(0, len(texts), 10) for ids in tokens.documents_ids(texts[k : k + 10], "own")]
+    got = [ids for k in range(0, len(texts), 10) for ids in tokens.documents_ids(pa.array(texts[k : k + 10], pa.string()), "own")]
     assert [g.tolist() for g in got] == expected
     assert all(g.dtype == np.dtype("<u4") for g in got)
 
 
-def test_batches_keep_all_rows():
-    import pyarrow as pa
+@pytest.mark.parametrize("word", ["İstanbul.", "ﬁn,", "½", "a½.", "x's.", "don't'", "ª.", "ſt!", "ǅ", "Ω", "aͅb", "ʼn", "A.B.", "a_b_", "_", "''", "中。", "ٲ"])
+def test_single_words(word):
+    fresh = tokens.WordEncoder(tokens.vocabulary_path())
+    texts = [word, word.lower(), f"plain {word} words", word * 2]
+    ids, counts = fresh.encode(pa.array(texts))
+    assert ids.tolist() == [i for t in texts for i in whole(t)]
 
+
+def test_batches_keep_all_rows():
     rows = {"doc_id": [1, None, 2**60 + 1, 4], "text": ["a" * 10, None, "b" * 30, ""]}
-    parts = list(tokens.text_batches([pa.RecordBatch.from_pydict(rows)], chars=12))
-    assert [i for p in parts for i in p["doc_id"]] == rows["doc_id"]
-    assert len(parts) == 3
-    assert list(tokens.text_batches([pa.RecordBatch.from_pydict({"doc_id": [], "text": pa.array([], pa.string())})])) == []
+    parts = list(tokens.text_batches([pa.RecordBatch.from_pydict(rows)], size=12))
+    assert [i for p in parts for i in p["doc_id"].to_pylist()] == rows["doc_id"]
+    assert len(parts) == 2
+    empty = pa.RecordBatch.from_pydict({"doc_id": [], "text": pa.array([], pa.string())})
+    assert list(tokens.text_batches([empty])) == []
