@@ -97,12 +97,11 @@ def _thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
     return written(found, "thresholds")
 
 
-def mix(rows: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = 3) -> DataFrame:
-    """``rows`` (``source``, ``size``, ``hash`` of BITS bits) with source_size, target, copies.
+def mix_plan(rows: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = 3) -> DataFrame:
+    """``of, source_size, target, times, threshold`` per source of ``rows`` (source, size, hash).
 
-    A source with a target of 2.3 times its size gives every row twice and a third time those
-    below its threshold. Rows with equal hashes go together. Sources without words, and an empty
-    table, give no copies beyond 0.
+    A source with a target of 2.3 times its size gives every row twice, and a third time those
+    with a hash below the threshold.
     """
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = written(source_targets(sizes, weights, most), "targets")
@@ -111,18 +110,23 @@ def mix(rows: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = 3) -> D
         "budget", F.col("target") - F.col("times") * F.col("source_size")
     )
     thresholds = _thresholds(rows, shares).withColumnRenamed("source", "of")
-    plan = written(
-        shares.join(thresholds, F.col("source").eqNullSafe(F.col("of")), "left").select(
-            F.col("source").alias("of"), "source_size", "target", "times", "threshold"
-        ),
-        "plan",
-    )
-    extra = F.coalesce((F.col("hash") < F.col("threshold")).cast("long"), F.lit(0))
-    return (
-        rows.join(plan, F.col("source").eqNullSafe(F.col("of")), "left")
-        .withColumn("copies", (F.col("times") + extra))
-        .drop("of", "times", "threshold")
-    )
+    joined = shares.join(thresholds, F.col("source").eqNullSafe(F.col("of")), "left")
+    return written(joined.select(F.col("source").alias("of"), "source_size", "target", "times", "threshold"), "plan")
+
+
+def _copies(hash_: Column) -> Column:
+    return F.col("times") + F.coalesce((hash_ < F.col("threshold")).cast("long"), F.lit(0))
+
+
+def mix(rows: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = 3) -> DataFrame:
+    """``rows`` (``source``, ``size``, ``hash`` of BITS bits) with source_size, target, copies.
+
+    Rows with equal hashes go together. Sources without words give no copies; an empty table gives
+    an empty one.
+    """
+    plan = mix_plan(rows, weights, most)
+    joined = rows.join(plan, F.col("source").eqNullSafe(F.col("of")), "left")
+    return joined.withColumn("copies", _copies(F.col("hash"))).drop("of", "times", "threshold")
 
 
 def word_count(text: Column) -> Column:
@@ -133,19 +137,35 @@ def row_hash(*columns: Column, seed: int) -> Column:
     return F.xxhash64(F.lit(seed), *columns).bitwiseAND(F.lit((1 << BITS) - 1))
 
 
-def mix_documents(docs: DataFrame, seed: int = 7) -> DataFrame:
-    """doc_id, size, source_size, target, taken of every document.
-
-    Size is the number of words (NULL text: none). A document's hash is of its id and text, so
-    runs agree whatever the partitions, and repeated rows are taken together. NULL is a source.
-    """
+def measured(docs: DataFrame, seed: int) -> DataFrame:
+    """doc_id, source, size, hash of every document, written."""
     narrow = docs.select(
         F.col("doc_id"),
         F.col("source").cast("string").alias("source"),
         word_count(F.col("text")).alias("size"),
         row_hash(F.col("doc_id"), F.col("text"), seed=seed).alias("hash"),
     )
-    mixed = mix(written(narrow, "sizes"))
-    return mixed.select(
+    return written(narrow, "sizes")
+
+
+def mix_documents(docs: DataFrame, seed: int = 7) -> DataFrame:
+    """doc_id, size, source_size, target, taken of every document.
+
+    Size is the number of words (NULL text: none). A document's hash is of its id and text, so
+    runs agree whatever the partitions, and repeated rows are taken together. NULL is a source.
+    """
+    return mix(measured(docs, seed)).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken")
     )
+
+
+def take(docs: DataFrame, seed: int = 7) -> DataFrame:
+    """The mixed documents themselves: each as many times as the mix takes it."""
+    plan = mix_plan(measured(docs, seed))
+    wide = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("all"),
+        F.col("source").cast("string").alias("from"),
+        row_hash(F.col("doc_id"), F.col("text"), seed=seed).alias("hash"),
+    )
+    placed = wide.join(plan, F.col("from").eqNullSafe(F.col("of")), "left")
+    return placed.select(F.explode(F.array_repeat("all", _copies(F.col("hash")).cast("int"))).alias("all")).select("all.*")

@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import string
 from collections.abc import Iterable, Iterator, Sequence
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -106,9 +107,10 @@ class WordEncoder:
                 tail = word[len(head) :]
                 if head.isascii():
                     head = head.lower()
-                split.append((word, head, tail))
                 if head not in known:
                     letters[head] = None
+                if head != word:
+                    split.append((word, head, tail))
                 if tail and tail not in known:
                     marks[tail] = None
             else:
@@ -126,14 +128,16 @@ class WordEncoder:
         """Ids of all texts in a row, and the number of ids of each; NULL is an empty text."""
         split = pc.ascii_split_whitespace(texts)
         found = split.flatten().dictionary_encode()
-        distinct = found.dictionary.to_pylist()
+        distinct = found.dictionary.to_numpy(zero_copy_only=False)
         if len(self.index) > REMEMBERED or self.used > 8 * REMEMBERED:
             self._forget()
         known = self.index
-        new = [w for w in distinct if w not in known]
-        if new:
+        numbers = np.fromiter(map(known.get, distinct, repeat(-1)), dtype=np.int64, count=len(distinct))
+        missing = np.nonzero(numbers < 0)[0]
+        if len(missing):
+            new = distinct[missing].tolist()
             self._learn(new)
-        numbers = np.fromiter(map(known.__getitem__, distinct), dtype=np.int64, count=len(distinct))
+            numbers[missing] = np.fromiter(map(known.__getitem__, new), dtype=np.int64, count=len(new))
         ids, counts = self._gather(numbers[found.indices.to_numpy()])
         words = pc.fill_null(pc.list_value_length(split), 0).to_numpy(zero_copy_only=False)
         upto = np.concatenate([[0], np.cumsum(counts)])
