@@ -135,15 +135,25 @@ def _joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def terms_of(text: Column) -> Column:
+    """The different terms of a text."""
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(WORDS), F.lit(0)))
+
+
 def scan(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """text_id, base (spans) and near (spans with their company) of every row; a written table.
+    """text_id, base (spans), near (spans with their company), held (terms) of every row, written.
 
+    ``near`` and ``held`` are NULL where no entity is.
     ``text_id`` is the text's hash: what is found depends on the text alone.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     based = docs.select(*keep, F.sha2(text, 256).alias("text_id"), text.alias("text"), base_spans(text).alias("base"))
     near = F.transform("base", lambda s: F.struct(F.concat(s["kind"], F.lit(" "), F.lower(s["value"])).alias("entity"), s["start"].alias("start"), company(F.col("text"), s).alias("terms")))
-    return written(based.select(*keep, "text_id", "base", F.when(F.size("base") > 0, near).alias("near")), "scanned")
+    some = F.size("base") > 0
+    return written(
+        based.select(*keep, "text_id", "base", F.when(some, near).alias("near"), F.when(some, terms_of(F.col("text"))).alias("held")),
+        "scanned",
+    )
 
 
 def disclosing(docs: DataFrame, scanned: DataFrame) -> DataFrame:
@@ -166,31 +176,45 @@ def disclosing(docs: DataFrame, scanned: DataFrame) -> DataFrame:
     both = counted.groupBy("entity", "term").agg(
         F.sum("n").alias("d_both"), F.count(F.lit(1)).alias("texts"), F.min("class").alias("class")
     )
-    candidates = written(both.where(F.col("texts") >= SUPPORT), "candidates")
+    often = written(both.where(F.col("texts") >= SUPPORT), "often")
+    n_docs = docs.count()
+    entities = scanned.select("text_id", F.explode("near").alias("near")).select("text_id", "near.entity").distinct()
+    d_entity = written(entities.join(copies, "text_id").groupBy("entity").agg(F.sum("n").alias("d_entity")), "entity_counts")
+    # Documents that hold a term near any entity, then those with an entity that hold it anywhere:
+    # no more than all that hold it. Where even these make the disclosure too small, the term need
+    # not be counted in the corpus, so no common word is.
+    beside = counted.select("term", "text_id", "n").distinct().groupBy("term").agg(F.sum("n").alias("d_near"))
+    d_near = written(beside, "near_counts")
+
+    def disclosed(d_term: str) -> Column:
+        return F.log2(n_docs * F.col("d_both") / (F.col("d_entity") * F.col(d_term)))
+
+    limited = often.join(d_entity, "entity").withColumn("limit", DISCLOSED * F.log2(F.lit(n_docs) / F.col("d_entity")))
+    def counted_in(rows: DataFrame, terms: Column, wanted: DataFrame, name: str) -> DataFrame:
+        """Rows whose ``terms`` hold each wanted term."""
+        held = rows.select(F.explode(terms).alias("term")).join(wanted.select("term").distinct(), "term", "left_semi")
+        return written(held.groupBy("term").agg(F.count(F.lit(1)).alias(name)), name)
+
+    possible = limited.join(d_near, "term").where((F.col("limit") > 0) & (disclosed("d_near") >= F.col("limit")))
+    possible = written(possible.drop("d_near"), "possible")
+    d_held = counted_in(scanned.where("held is not null"), F.col("held"), possible, "d_held")
+    candidates = written(possible.join(d_held, "term").where(disclosed("d_held") >= F.col("limit")).drop("d_held"), "candidates")
     empty = candidates.select("entity", "term", F.col("class").alias("replacement"))
     if candidates.isEmpty():
         return empty
-    n_docs, *per_class = docs.agg(
-        F.count(F.lit(1)), *[F.count(F.when(F.coalesce(F.col("text").rlike(p), F.lit(False)), 1)) for p in CLASSES.values()]
+    per_class = docs.agg(
+        *[F.count(F.when(F.coalesce(F.col("text").rlike(p), F.lit(False)), 1)) for p in CLASSES.values()]
     ).first()
-    wanted = candidates.select("term").distinct()
-    terms = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORDS), F.lit(0)))).alias("term"))
-    d_term = written(terms.join(wanted, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("d_term")), "term_counts")
-    entities = scanned.select("text_id", F.explode("near").alias("near")).select("text_id", "near.entity").distinct()
-    d_entity = written(entities.join(copies, "text_id").groupBy("entity").agg(F.sum("n").alias("d_entity")), "entity_counts")
+    d_term = counted_in(docs, terms_of(F.col("text")), candidates, "d_term")
     with_class = counted.select("entity", "class", "text_id", "n").distinct()
     d_class = written(with_class.groupBy("entity", "class").agg(F.sum("n").alias("d_both_class")), "class_counts")
     total = F.array(*[F.lit(int(c)) for c in per_class])
     position = F.array_position(F.array(*[F.lit(c) for c in CLASSES]), F.col("class")).cast("int")
-    known = (
-        candidates.join(d_term, "term").join(d_entity, "entity").join(d_class, ["entity", "class"])
-        .withColumn("limit", DISCLOSED * F.log2(F.lit(n_docs) / F.col("d_entity")))
-        .withColumn("by_term", F.log2(n_docs * F.col("d_both") / (F.col("d_entity") * F.col("d_term"))))
-        .withColumn("by_class", F.log2(n_docs * F.col("d_both_class") / (F.col("d_entity") * F.greatest(F.element_at(total, position), F.lit(1)))))
-    )
+    by_class = n_docs * F.col("d_both_class") / (F.col("d_entity") * F.greatest(F.element_at(total, position), F.lit(1)))
+    known = candidates.join(d_term, "term").join(d_class, ["entity", "class"]).withColumn("by_class", F.log2(by_class))
     replacement = F.when(F.col("by_class") < F.col("limit"), F.col("class")).otherwise(F.lit(""))
     return written(
-        known.where((F.col("limit") > 0) & (F.col("by_term") >= F.col("limit"))).select("entity", "term", replacement.alias("replacement")),
+        known.where(disclosed("d_term") >= F.col("limit")).select("entity", "term", replacement.alias("replacement")),
         "disclosing",
     )
 
