@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, written
+from .common import written
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
@@ -278,26 +278,19 @@ def masked(text: Column, spans: Column) -> Column:
 def sanitise(docs: DataFrame) -> DataFrame:
     """``docs`` with entities masked by their kind, and disclosing terms generalised or removed.
 
-    Other columns stay; ``n_chars``, if there, becomes the new length. Texts without spans, and
+    Other columns stay; ``n_chars``, if there, becomes the new length. Texts without entities, and
     NULL texts, are unchanged.
     """
-    scanned = scan(docs.select("text"))
-    terms = term_spans(scanned, disclosing(docs.select("text"), scanned))
-    order = ["start", "end", "value"]
-    label = F.transform("base", lambda s: F.struct(*[s[c].alias(c) for c in ("start", "end")], F.upper(s["kind"]).alias("value")))
-    base = scanned.where(F.size("base") > 0).dropDuplicates(["text_id"]).select("text_id", label.alias("base"))
-    added = F.transform(F.coalesce("terms", F.array().cast("array<struct<kind:string,start:int,end:int,value:string>>")), lambda s: F.struct(*[s[c].alias(c) for c in order]))
-    spans = written(base.join(terms, "text_id", "left").select("text_id", F.sort_array(F.concat("base", added)).alias("spans")), "spans")
-    all_, of, found = (free_name(docs, n) for n in ("all_", "of_", "spans_"))
-    wide = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(all_)
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    packed = docs.select(wide, F.sha2(text, 256).alias(of)).join(
-        spans.select(F.col("text_id").alias("text_id_"), F.col("spans").alias(found)), F.col(of) == F.col("text_id_"), "left"
-    )
-    changed = packed.withColumn(
-        all_,
-        F.when(F.col(found).isNull(), F.col(all_)).otherwise(F.col(all_).withField("text", masked(F.col(f"{all_}.text"), F.col(found)))),
-    ).select(f"{all_}.*")
-    if "n_chars" not in docs.columns:
-        return changed
-    return changed.withColumn("n_chars", F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), F.col("n_chars")))
+    wide = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("all")
+    scanned = scan(docs.select(wide, "text"), ("all",))
+    terms = term_spans(scanned, disclosing(docs.select("text"), scanned)).withColumnRenamed("text_id", "of")
+    # Only texts that hold an entity are moved to meet their terms.
+    touched = scanned.where(F.size("base") > 0).join(terms, F.col("text_id") == F.col("of"), "left")
+    none = F.array().cast("array<struct<kind:string,start:int,end:int,value:string>>")
+    masks = F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.upper(s["kind"]).alias("value")))
+    added = F.transform(F.coalesce("terms", none), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value")))
+    changed = F.col("all").withField("text", masked(F.col("all.text"), F.sort_array(F.concat(masks, added))))
+    changed = touched.select(changed.alias("all")).select("all.*")
+    if "n_chars" in docs.columns:
+        changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return scanned.where(F.size("base") == 0).select("all.*").unionByName(changed)
