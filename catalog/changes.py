@@ -79,38 +79,38 @@ def upsert_change_log(s):
 
 
 @query(
-    """e AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, 'old' AS version FROM orders WHERE o_orderstatus <> 'P'),
-    n AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, 'new' AS version FROM orders WHERE o_orderpriority = '1-URGENT')
-    SELECT * FROM e WHERE day NOT IN (SELECT day FROM n) UNION ALL SELECT * FROM n""".replace("e AS (", "WITH e AS (", 1),
+    """e AS (SELECT o_orderkey, o_orderstatus AS brand, CAST(o_orderdate AS DATE) AS day, 'old' AS version FROM orders),
+    n AS (SELECT o_orderkey, o_orderstatus AS brand, CAST(o_orderdate AS DATE) AS day, 'new' AS version FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus <> 'P')
+    SELECT * FROM e WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.day = e.day AND n.brand = e.brand) UNION ALL SELECT * FROM n""".replace("e AS (", "WITH e AS (", 1),
     name="replace_by_date",
 )
 def _replace_by_date(s):
-    """A re-delivered date replaces all rows of that date."""
-    days = s.orders.select("o_orderkey", F.to_date("o_orderdate").alias("day"), "o_orderstatus", "o_orderpriority")
-    old = days.where("o_orderstatus <> 'P'").select("o_orderkey", "day", F.lit("old").alias("version"))
-    new = days.where("o_orderpriority = '1-URGENT'").select("o_orderkey", "day", F.lit("new").alias("version"))
-    return replace_by_date(old, new, "day")
+    """A re-delivered date replaces the rows of that date, of its own brand only."""
+    days = s.orders.select("o_orderkey", F.col("o_orderstatus").alias("brand"), F.to_date("o_orderdate").alias("day"), "o_orderpriority")
+    old = days.select("o_orderkey", "brand", "day", F.lit("old").alias("version"))
+    urgent = days.where("o_orderpriority = '1-URGENT' and brand <> 'P'")
+    return replace_by_date(old, urgent.select("o_orderkey", "brand", "day", F.lit("new").alias("version")), "day", ["brand"])
 
 
 DROP_DAY = dt.date(2000, 7, 20)
 
 
 @query(
-    """new AS (SELECT "No. Order" AS order_no, trim("Merchant SKU") AS sku, CAST(strptime("Tanggal Order", '%d/%m/%Y %H:%M') AS DATE) AS drop_date, 'drop' AS origin
-      FROM own_blibli WHERE strptime("Tanggal Order", '%d/%m/%Y %H:%M') >= DATE '2000-06-01' AND strptime("Tanggal Order", '%d/%m/%Y %H:%M') < DATE '2000-08-01'),
-    old AS (SELECT "No. Order" AS order_no, "Merchant SKU" AS sku, CAST(strptime("Tanggal Order", '%d/%m/%Y %H:%M') AS DATE) AS drop_date, 'table' AS origin FROM own_blibli)
-    SELECT * FROM old WHERE drop_date NOT IN (SELECT drop_date FROM new) UNION ALL SELECT * FROM new""",
+    """new AS (SELECT brand, "No. Order" AS order_no, trim("Merchant SKU") AS sku, CAST(strptime("Tanggal Order", '%d/%m/%Y %H:%M') AS DATE) AS drop_date, 'drop' AS origin
+      FROM own_blibli WHERE brand <> 'SZ' AND strptime("Tanggal Order", '%d/%m/%Y %H:%M') >= DATE '2000-06-01' AND strptime("Tanggal Order", '%d/%m/%Y %H:%M') < DATE '2000-08-01'),
+    old AS (SELECT brand, "No. Order" AS order_no, "Merchant SKU" AS sku, CAST(strptime("Tanggal Order", '%d/%m/%Y %H:%M') AS DATE) AS drop_date, 'table' AS origin FROM own_blibli)
+    SELECT * FROM old WHERE NOT EXISTS (SELECT 1 FROM new WHERE new.drop_date = old.drop_date AND new.brand = old.brand) UNION ALL SELECT * FROM new""",
     "own_blibli",
 )
 def raw_drop_merge(s):
-    """A daily drop merged into the raw table: open months only, replaced by date."""
+    """A daily drop of some brands merged into the raw table: open months only, replaced by date."""
     raw = s.own_blibli
     table = raw.withColumn("drop_date", F.to_date("Tanggal Order", "dd/MM/yyyy HH:mm"))
     merged = merge_drop(
-        table.withColumn("origin", F.lit("table")), raw.withColumn("origin", F.lit("drop")), "blibli", DROP_DAY
+        table.withColumn("origin", F.lit("table")), raw.where("brand <> 'SZ'").withColumn("origin", F.lit("drop")), "blibli", DROP_DAY
     )
     return merged.select(
-        F.col("`No. Order`").alias("order_no"), F.col("`Merchant SKU`").alias("sku"), "drop_date", "origin"
+        "brand", F.col("`No. Order`").alias("order_no"), F.col("`Merchant SKU`").alias("sku"), "drop_date", "origin"
     )
 
 

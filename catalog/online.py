@@ -155,7 +155,7 @@ SPECS: dict[str, dict] = {
             "voucher": "ov", "existing_voucher": "ov * qty_sold",
             "value_after_voucher": "p * qty_sold - (p - n) * qty_sold - ov * qty_sold",
         },
-        "staging_extra": ", avg(CAST(tv AS DOUBLE)) OVER (PARTITION BY order_no) / sum(qty_sold) OVER (PARTITION BY order_no) AS ov",
+        "staging_extra": ", avg(CAST(tv AS DOUBLE)) OVER (PARTITION BY brand, order_no) / sum(qty_sold) OVER (PARTITION BY brand, order_no) AS ov",
     },
     "zalora": {
         "text": {
@@ -214,11 +214,12 @@ shopify_rows AS (SELECT brand, "Name" AS name, "Created at" AS created, "Fulfill
   COALESCE("Shipping Province Name", '') AS province, "Shipping City" AS city, "Shipping Zip" AS zip,
   CAST("Discount Amount" AS DECIMAL(18,2)) AS discount, CAST("Lineitem quantity" AS INT) AS qty,
   CAST("Lineitem price" AS DECIMAL(18,2)) AS price, string_split("Lineitem sku", '.')[1] AS sku FROM {raw}),
-shopify_heads AS (SELECT created, fulfilled, name, email, financial, fulfillment, reference, ship_name, phone, street, province,
+shopify_heads AS (SELECT brand, created, fulfilled, name, email, financial, fulfillment, reference, ship_name, phone, street, province,
   city, zip, sum(discount) AS discount FROM shopify_rows WHERE created IS NOT NULL AND fulfilled IS NOT NULL GROUP BY ALL),
-shopify_sums AS (SELECT name, sum(qty) AS in_order FROM shopify_rows GROUP BY 1),
-shopify_joined AS (SELECT l.brand, l.qty, l.price, l.sku, h.*, t.in_order FROM shopify_heads h JOIN shopify_sums t USING (name)
-  JOIN (SELECT brand, name, qty, price, sku FROM shopify_rows) l USING (name)),
+shopify_sums AS (SELECT brand, name, sum(qty) AS in_order FROM shopify_rows GROUP BY 1, 2),
+shopify_joined AS (SELECT l.qty, l.price, l.sku, h.*, t.in_order FROM shopify_heads h
+  JOIN shopify_sums t ON t.brand = h.brand AND t.name = h.name
+  JOIN shopify_rows l ON l.brand = h.brand AND l.name = h.name),
 """
 
 

@@ -13,14 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lapak.session import configure
-from lapak.sources.readers import read_table, spread_scan
+from lapak.sources.readers import read_table
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 # Fact tables with the columns that nearly identify a row.
-FACTS = {
-    "lineitem": ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"),
-    "events": ("event_id",),
-}
 
 JAVA_TO_STRFTIME = {
     "yyyy": "%Y", "MMMM": "%B", "MMM": "%b", "MM": "%m", "dd": "%d", "HH": "%H", "mm": "%M", "ss": "%S",
@@ -614,8 +610,6 @@ def load(
     if name not in loaded:
         if name in TABLES:
             df = read_table(spark, f"{sf_dir}/{name}.parquet")
-            if name in FACTS:
-                df = spread_scan(df, *FACTS[name])
             # The files carry zone-less times; they are UTC.
             naive = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampNTZType)]
             loaded[name] = df.withColumns({c: F.col(c).cast("timestamp") for c in naive}) if naive else df

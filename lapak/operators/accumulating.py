@@ -27,6 +27,7 @@ MEASURES = ("ordernumber", "quantity", "cust_paid_peritem", "hpp_total")
 EXACT_MEASURES = ("cust_paid_peritem", "hpp_total")
 PERIODS = ("", "_lm", "_ly")
 PERIOD_DATES = {"": "pattern_date", "_lm": "pattern_lm", "_ly": "pattern_last_year"}
+# Column names that readers expect.
 PRODUCT_COLUMNS = (
     "dataareaid", "codebars", "itemid", "umbrellabrand", "subbrand", "world", "category", "subcategory",
 )

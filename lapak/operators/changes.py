@@ -48,6 +48,15 @@ def round_report(df: DataFrame) -> DataFrame:
     return df.withColumns(out)
 
 
+def one_per_key(load: DataFrame, key: Sequence[str]) -> DataFrame:
+    """One row per key: of several the greatest by its other columns, in their order."""
+    others = [F.col(f"`{c}`") for c in load.columns if c not in key]
+    if not others:
+        return load.distinct()
+    best = load.groupBy(*[F.col(f"`{k}`") for k in key]).agg(F.max(F.struct(*others)).alias("__best"))
+    return best.select(*[F.col(f"`{k}`") for k in key], "__best.*").select(*[F.col(f"`{c}`") for c in load.columns])
+
+
 def upsert(
     existing: DataFrame,
     new: DataFrame,
@@ -60,9 +69,11 @@ def upsert(
 
     ``merged`` is the existing table with changed values replaced, ``inserts`` the rows whose
     key is new (their id is given by the target table), ``log`` one row per updated row with the
-    changed values as JSON. Applying the same load again changes nothing.
+    changed values as JSON. Applying the same load again changes nothing. A key that the load
+    repeats counts once (``one_per_key``).
     """
     stamp = F.current_timestamp() if stamp is None else stamp
+    new = one_per_key(new, key)
     values = [c for c in new.columns if c not in key and c != ident and c in existing.columns]
     load = new.select(
         *[F.col(k).alias(f"__k_{k}") for k in key],
@@ -95,11 +106,24 @@ def upsert(
     return Upsert(merged, absent_from(new, existing, list(key), null_safe=True), log)
 
 
-def replace_by_date(existing: DataFrame, arrived: DataFrame, date: str) -> DataFrame:
-    """A re-delivered date replaces all rows of that date; other dates stay."""
-    # At most one row per calendar date, so this side stays small however much arrives.
-    dates = arrived.select(date).distinct()
-    return absent_from(existing, dates, [date], bounded=True).unionByName(arrived, allowMissingColumns=True)
+def replace_by_date(
+    existing: DataFrame, arrived: DataFrame, date: str, scope: Sequence[str] = ()
+) -> DataFrame:
+    """A re-delivered date replaces the rows of that date; other dates stay.
+
+    The rule is the calendar day, also where ``date`` is a timestamp. ``scope`` names what a delivery
+    is complete for (brand, marketplace): rows of another scope on the same day stay. NULL is a
+    scope of its own; existing rows without a date stay.
+    """
+    day = "__day"
+
+    def day_of(df: DataFrame) -> Column:
+        timed = isinstance(df.schema[date].dataType, (T.TimestampType, T.TimestampNTZType))
+        return (F.to_date(date) if timed else F.col(date)).alias(day)
+
+    days = arrived.select(*scope, day_of(arrived)).where(F.col(day).isNotNull()).distinct()
+    kept = absent_from(existing.select("*", day_of(existing)), days, [*scope, day], null_safe=True)
+    return kept.drop(day).unionByName(arrived, allowMissingColumns=True)
 
 
 STORE_VERSION = ("start_date", "end_date", "create_date", "update_date", "current_status")

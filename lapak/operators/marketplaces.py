@@ -51,14 +51,14 @@ NORMALISED = (
 # Seller codes that stand for a barcode.
 SHOPEE_CODES = {
     "BZY23-07FLMASS020MA-L": "0100000005408",
-    "BZY23-07FLMASS020MA-XL": "0100000005415",
     "BZY23-07FLMASS021WH-M": "0100000005446",
     "BZY23-07FLMASS021WH-L": "0100000005453",
-    "BZY23-07FLMASS021WH-XL": "0100000005460",
-    "BZY23-07FLMASS022WH-L": "0100000005507",
     "BZY23-07FLMASS022WH-XXL": "0100000005521",
     "BZY23-07FLMASS023WH-L": "0100000005552",
     "BZY23-07FLMASS024NA-L": "0100000005606",
+    "BZY23-07FLMASS020MA-XL": "0100000005415",
+    "BZY23-07FLMASS021WH-XL": "0100000005460",
+    "BZY23-07FLMASS022WH-L": "0100000005507",
 }
 LAZADA_CODES = {
     "6602762588-1699015282254-2": "1000000055576",
@@ -319,7 +319,7 @@ SHOPIFY_HEADER = (
 def shopify(
     raw: DataFrame, variant: str = "processed", keep_incomplete: bool = False
 ) -> DataFrame:
-    """Header fields stand on an order's first line only.
+    """Header fields stand on an order's first line only; order names start anew in each brand's shop.
 
     An order whose header lacks a field (not yet fulfilled, no payment reference) is left out,
     unless ``keep_incomplete`` groups on the order name alone.
@@ -337,18 +337,19 @@ def shopify(
     name = plain["Name"]
     if keep_incomplete:
         others = [p for p in plain.values() if p != name]
-        headers = source.where(all_present([name])).groupBy(name).agg(
+        headers = source.where(all_present([name])).groupBy("brand", name).agg(
             *[F.max(p).alias(p) for p in others], sum0("order_discount").alias("order_discount")
         )
     else:
-        headers = header_totals(source, list(plain.values()), "order_discount")
-    quantities = source.groupBy(name).agg(sum0("qty_sold").alias("in_order"))
-    headers = keep_facts(headers, quantities, [name])
+        headers = header_totals(source, ["brand", *plain.values()], "order_discount")
+    quantities = source.groupBy("brand", name).agg(sum0("qty_sold").alias("in_order"))
+    headers = keep_facts(headers, quantities, ["brand", name])
     headers = headers.withColumn("voucher", ratio(C("order_discount"), C("in_order")))
-    headers = headers.withColumnRenamed(name, "__name")
+    headers = headers.withColumnsRenamed({name: "__name", "brand": "__brand"})
     details = source.select("brand", name, "qty_sold", "net_sales", "barcode")
     # Same rows as headers joined to their lines; the larger side stays on the left.
-    joined = details.join(headers, F.col(name).eqNullSafe(F.col("__name")), "inner")
+    same = F.col("brand").eqNullSafe(F.col("__brand")) & F.col(name).eqNullSafe(F.col("__name"))
+    joined = details.join(headers, same, "inner")
 
     def head(h: str) -> Column:
         return C(plain[h]) if h != "Name" else C("__name")
@@ -412,7 +413,7 @@ def tokopedia(raw: DataFrame, variant: str = "processed") -> DataFrame:
     existing_net = basic * qty - (basic - net) * qty
     if variant == "staging":
         mean = ratio(F.sum("total_voucher"), F.count("total_voucher"))
-        lines = attach_totals(lines, ["order_no"], {"voucher": ratio(mean, F.sum("qty_sold"))})
+        lines = attach_totals(lines, ["brand", "order_no"], {"voucher": ratio(mean, F.sum("qty_sold"))})
         value = existing_net.cast("double") - C("voucher") * qty
     else:
         lines = lines.withColumn("voucher", ratio(C("total_voucher"), qty))

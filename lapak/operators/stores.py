@@ -29,13 +29,14 @@ PROVINCES = {
 COMPANY_KEYS = {"mpr": 1}
 OTHER_COMPANY_KEY = 2
 
-# ERP heading to dimension column.
+# ERP heading to dimension column.
 ERP_COLUMNS = {
     "Whcode": "WarehouseKey", "OpenStatus": "StoreDynamicsStatus", "Brand": "BrandKey",
     "AxCode": "StoreCode", "MdsCode": "StoreMdsCode", "Sssg": "StoreSssg", "StdName": "StoreName",
     "MainChannel": "StoreMainChannel", "Channel": "StoreChannel", "Region": "StoreRegion",
     "Province": "StoreProvince", "City": "StoreCity", "Address": "StoreAddress", "Sqm": "StoreSqm",
 }
+# Column names that readers expect.
 DIMENSION = (
     "company_key", "store_pos_id", "store_dynamics_id", "warehouse_key", "store_pos_status",
     "store_dynamics_status", "brand_key", "store_code", "store_invoice_code", "store_mds_code",

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import in_month, rebuild_months
 from ..operators.changes import ACCUMULATION_KEY, PROMO_KEY, Upsert, round_report, upsert
+from ..operators.dedup import number_rows
 from ..operators.marketplaces import LAYOUTS, normalise_all, processed_matcher
 from ..operators.products import active_items
 from ..sources.readers import read_table
@@ -65,9 +66,11 @@ def run_pos_report(lake: Lake, as_of: dt.date) -> None:
     )
     report = pos_sales_report(detail.drop("year", "month"), lake.read("erp_staging"))
     deliveries = report.withColumns(
-        {"company": F.col("dataareaid"), "sales_channel": F.col("main_channel"), "head": F.col("so_dept_head")}
-    )
-    write_split(deliveries, lake.path("pos_report"), ["company", "sales_channel", "head"], "parquet")
+        {"company": F.col("dataareaid"), "sales_channel": F.col("main_channel"), "head": F.col("so_dept_head"),
+         "year": F.year("order_create_date"), "month": F.date_format("order_create_date", "MM")}
+    )
+    # The month is part of the path: another month's deliveries stay.
+    write_split(deliveries, lake.path("pos_report"), ["company", "sales_channel", "head", "year", "month"], "parquet")
 
 
 def run_online_detail(lake: Lake, as_of: dt.date) -> list[dt.date]:
@@ -111,14 +114,15 @@ def load_reports(lake: Lake, month: dt.date, version: int) -> dict[str, Upsert]:
         target = lake.path(f"{table}/version={version + 1}")
         merged = result.merged.unionByName(_with_ids(result.inserts, existing))
         merged.write.mode("overwrite").parquet(target)
-        result.log.write.mode("append").parquet(lake.path(f"logging_{table}"))
+        # Below its version, so that a repeated run replaces its own log.
+        result.log.write.mode("overwrite").parquet(lake.path(f"logging_{table}/version={version + 1}"))
         results[table] = result
     return results
 
 
 def _with_ids(inserts: DataFrame, existing: DataFrame) -> DataFrame:
-    """Ids for inserted rows: unique, above those in use, without numbering rows in one task."""
+    """Ids for inserted rows: the next numbers above those in use, without gaps, in row order."""
     # One value, an aggregate of the table.
     last = existing.agg(F.max("id")).first()[0] or 0
-    numbered = inserts.withColumn("id", F.monotonically_increasing_id() + F.lit(last + 1))
+    numbered = number_rows(inserts, inserts.columns, name="__n").withColumn("id", F.col("__n") + F.lit(last))
     return numbered.select(*[F.col(c).cast(existing.schema[c].dataType) for c in existing.columns])

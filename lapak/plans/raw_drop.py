@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from ..functions.dates import in_month, parse_date, previous_month
 from ..functions.text import delete
 from ..operators.changes import replace_by_date
 from ..sources.schemas import EXPORT_DATE_COLUMNS, EXPORT_SKU_COLUMNS
+from ..sources.writers import quarantine
 
 
 def prepare_drop(drop: DataFrame, marketplace: str, as_of: dt.date) -> DataFrame:
@@ -33,7 +35,22 @@ def prepare_drop(drop: DataFrame, marketplace: str, as_of: dt.date) -> DataFrame
     )
 
 
-def merge_drop(existing: DataFrame | None, drop: DataFrame, marketplace: str, as_of: dt.date) -> DataFrame:
-    """The monthly raw rows after a drop: its dates replace the same dates of the table."""
+def undated(drop: DataFrame, marketplace: str) -> DataFrame:
+    """Rows of a drop whose date cannot be read, with the reason; they belong to no month."""
+    column, formats = EXPORT_DATE_COLUMNS[marketplace]
+    return quarantine(drop, {column: parse_date(F.col(f"`{column}`"), *formats).isNotNull()})[1]
+
+
+def merge_drop(
+    existing: DataFrame | None,
+    drop: DataFrame,
+    marketplace: str,
+    as_of: dt.date,
+    scope: Sequence[str] = ("brand",),
+) -> DataFrame:
+    """The monthly raw rows after a drop: its dates replace the same dates of its brand.
+
+    Rows whose date cannot be read are not merged; ``undated`` returns them.
+    """
     prepared = prepare_drop(drop, marketplace, as_of)
-    return prepared if existing is None else replace_by_date(existing, prepared, "drop_date")
+    return prepared if existing is None else replace_by_date(existing, prepared, "drop_date", scope)

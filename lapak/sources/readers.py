@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.values import differs
 from .schemas import ORDER_DOCUMENT, TRANSFER_PAGE
 
 
@@ -22,19 +21,6 @@ def read_table(
     return reader.parquet(*paths)
 
 
-def spread_scan(df: DataFrame, *by: str) -> DataFrame:
-    """The scan, over at least as many tasks as the session runs at once.
-
-    Parquet is split at row groups, so a table in a few large row groups keeps most cores idle
-    through every map-side step. A scan with enough partitions, the normal case for a large
-    table, is returned as it is. ``by`` names columns that together nearly identify a row: rows
-    are spread by their content, so a repeated task puts them in the same place again. Filters
-    and column pruning still reach the files.
-    """
-    wanted = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted, *by)
-
-
 def period_filter(months: Sequence[dt.date], year: str = "year", month: str = "month") -> Column:
     """Predicate on the partition columns, pruned before any file is opened."""
     wanted = F.lit(False)
@@ -115,14 +101,23 @@ def read_offset_export(
 ) -> DataFrame:
     """An export whose header does not stand in the first line.
 
-    Lines above the header and the header itself are dropped by content: a data line has a
-    value in the first column other than the header's name, and at least two columns.
+    The header is the first line of a file whose first two fields have its names; it and all
+    lines above it are dropped, and so are lines without any value. Lines keep their place in the
+    file, so a data line may have empty fields anywhere. A file without that line is kept whole.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     header = list(header_row or columns)
     df = spark.read.schema(schema).option("multiLine", True).option("escape", '"').csv(path)
-    first, second = F.col(f"`{columns[0]}`"), F.col(f"`{columns[1]}`")
-    return df.where(first.isNotNull() & second.isNotNull() & differs(first, header[0]))
+    # A file that may hold line breaks in fields is one task, whose row ids rise with the lines.
+    placed = df.select("*", F.col("_metadata.file_path").alias("__file"), F.monotonically_increasing_id().alias("__line"))
+    named = F.lit(True)
+    for c, h in list(zip(columns, header))[:2]:
+        named = named & F.col(f"`{c}`").eqNullSafe(h)
+    headers = placed.where(named).groupBy("__file").agg(F.min("__line").alias("__header"))
+    marked = placed.join(headers, "__file", "left")
+    filled = F.coalesce(*[F.col(f"`{c}`") for c in columns]).isNotNull()
+    below = F.col("__header").isNull() | (F.col("__line") > F.col("__header"))
+    return marked.where(filled & below).select(*[F.col(f"`{c}`") for c in columns])
 
 
 def description_row(column: str) -> Column:

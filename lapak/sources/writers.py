@@ -13,8 +13,9 @@ def write_months(
 ) -> None:
     """Parquet partitioned by the given keys, year and month; only touched months are replaced.
 
-    Rows are spread over ``files_per_partition`` tasks per month by a hash of their content,
-    so one large month is not written by a single task.
+    Rows are rebalanced over the keys: adaptive execution splits a month that is too large for
+    one task and joins small ones. ``files_per_partition`` above 1 instead spreads every month
+    over so many tasks by a hash of its rows.
     """
     keyed = df.withColumns({"year": F.year(date), "month": F.date_format(date, "MM")})
     parts = [*by, "year", "month"]
@@ -22,7 +23,7 @@ def write_months(
         spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(files_per_partition))
         keyed = keyed.repartition(*parts, spread)
     else:
-        keyed = keyed.repartition(*parts)
+        keyed = keyed.hint("rebalance", *parts)
     (
         keyed.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -32,8 +33,8 @@ def write_months(
 
 
 def write_split(df: DataFrame, path: str, by: Sequence[str], file_format: str = "csv") -> None:
-    """One folder per combination of ``by``, in a single pass over the rows."""
-    writer = df.write.mode("overwrite").partitionBy(*by)
+    """One folder per combination of ``by``, in a single pass; folders not met stay."""
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by)
     if file_format == "csv":
         writer.option("header", True).csv(path)
     else:

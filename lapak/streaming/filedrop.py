@@ -1,8 +1,10 @@
-"""File-drop ingest: newly landed exports replace the dates they carry."""
+"""File-drop ingest: newly landed deliveries replace the dates they carry, within their scope."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -10,14 +12,33 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.joining import keep_facts
 
 
-def newest_delivery(df: DataFrame, date: str, arrived: str = "arrived_at", file: str = "arrived_in") -> DataFrame:
-    """Of several files carrying the same date keep the rows of the newest file.
+def delivery_of(path: str) -> Column:
+    """The delivery that a file belongs to.
+
+    A file is a delivery of its own, but part files of one Spark write, which differ only in
+    their part number, are one.
+    """
+    return F.regexp_replace(F.regexp_replace(path, r"/part-[0-9]+-", "/part-"), r"-c[0-9]+(?=\.)", "")
+
+
+def newest_delivery(
+    df: DataFrame,
+    date: str,
+    scope: Sequence[str] = (),
+    arrived: str = "arrived_at",
+    delivery: str = "delivery",
+) -> DataFrame:
+    """Of several deliveries carrying the same date keep the rows of the newest one.
 
-    The choice is made per date on aggregated (date, file) pairs; rows are never gathered.
+    ``scope`` names what a delivery is complete for, such as brand and marketplace: another
+    scope's rows of that date stay. A delivery is as new as its newest file; of two equally new
+    ones the last by name counts. The choice is made on aggregated keys; rows are never gathered.
     """
-    files = df.groupBy(date).agg(F.max(F.struct(arrived, file)).alias("__newest"))
-    marked = keep_facts(df, files, [date], null_safe=True, bounded=True)
-    return marked.where(F.struct(arrived, file) == F.col("__newest")).drop("__newest")
+    keys = [*scope, date]
+    each = df.groupBy(*keys, delivery).agg(F.max(arrived).alias("__at"))
+    newest = each.groupBy(*keys).agg(F.max(F.struct("__at", delivery)).alias("__newest"))
+    marked = keep_facts(df, newest, keys, null_safe=True)
+    return marked.where(F.col(delivery) == F.col(f"__newest.{delivery}")).drop("__newest")
 
 
 def ingest(
@@ -28,12 +49,13 @@ def ingest(
     schema: T.StructType,
     date: str,
     file_format: str = "csv",
+    scope: Sequence[str] = (),
 ) -> StreamingQuery:
     """Process every file not seen before, then stop.
 
-    ``table`` is partitioned by ``date``; overwriting only the partitions present in a batch is
-    the replace-by-date rule. A batch repeated after a failure writes the same partitions
-    again, so the table ends up the same.
+    ``table`` is partitioned by ``scope`` and ``date``; overwriting only the partitions present in
+    a batch is the replace-by-date rule, and leaves other scopes' rows of a date alone. A batch
+    repeated after a failure writes the same partitions again, so the table ends up the same.
     """
     reader = spark.readStream.schema(schema).format(file_format)
     if file_format == "csv":
@@ -41,16 +63,16 @@ def ingest(
     stream = reader.load(landing).withColumns(
         {
             "arrived_at": F.col("_metadata.file_modification_time"),
-            "arrived_in": F.col("_metadata.file_path"),
+            "delivery": delivery_of("_metadata.file_path"),
         }
     )
 
     def replace_dates(batch: DataFrame, _: int) -> None:
-        kept = newest_delivery(batch, date).drop("arrived_at", "arrived_in")
+        kept = newest_delivery(batch, date, scope).drop("arrived_at", "delivery")
         (
             kept.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(date)
+            .partitionBy(*scope, date)
             .parquet(table)
         )
 

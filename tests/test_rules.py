@@ -265,3 +265,17 @@ def test_upload_monitor(frame):
         "Shopee_July_SZ.xlsx": ("Shopee", "Up To Date", "Late", "Duplicated"),
         "Tik-tok_July_MN.csv": ("Tiktok", "Not Up To Date", "Late", "Not Duplicated"),
     }
+
+
+def test_replace_by_date_keeps_other_scopes(frame):
+    old = frame("brand string, d timestamp, v int", [("A", dt.datetime(2024, 1, 1, 8), 1), ("B", dt.datetime(2024, 1, 1, 9), 2), ("A", None, 3)])
+    new = frame("brand string, d timestamp, v int", [("A", dt.datetime(2024, 1, 1, 20), 4)])
+    assert sorted(r.v for r in replace_by_date(old, new, "d", ["brand"]).collect()) == [2, 3, 4]
+
+
+def test_upsert_takes_a_repeated_key_once(frame):
+    old = frame("id int, k string, v int", [(1, "a", 1)])
+    load = frame("k string, v int", [("a", 2), ("a", 3), ("b", 4), ("b", 4)])
+    result = upsert(old, load, ["k"], "t")
+    assert [tuple(r) for r in result.merged.collect()] == [(1, "a", 3)]
+    assert [tuple(r) for r in result.inserts.collect()] == [("b", 4)]

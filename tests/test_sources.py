@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lapak.operators.nested import order_lines, transfer_lines
 from lapak.sources import readers, writers
-from lapak.streaming.filedrop import ingest, newest_delivery
+from lapak.streaming.filedrop import delivery_of, ingest, newest_delivery
 
 D = dt.date
 
@@ -80,10 +80,33 @@ def test_transfer_pages(spark, tmp_path):
     assert sorted((r.current_page, r.TransferId or "", r.Barcode or "", r.StatusDetail or "") for r in rows) == [(1, "T1", "b", "x"), (1, "T2", "", ""), (2, "", "", "")]
 
 
+def test_late_header_keeps_data_lines_with_empty_fields(spark, tmp_path):
+    path = tmp_path / "tokopedia.csv"
+    path.write_text('Nomor,x\nNomor Invoice,Nomor SKU,Q\nA1,001,4\nA2,,5\n,002,6\nNomor Invoice,Nomor SKU,7\n,,\n"A\n3",,\n')
+    df = readers.read_offset_export(spark, str(path), ["Nomor Invoice", "Nomor SKU", "Q"])
+    assert [tuple(r) for r in df.collect()] == [
+        ("A1", "001", "4"), ("A2", None, "5"), (None, "002", "6"), ("Nomor Invoice", "Nomor SKU", "7"), ("A\n3", None, None),
+    ]
+
+
 def test_newest_delivery(frame):
-    rows = [("d1", 1, "2024-01-01", "f1"), ("d1", 2, "2024-01-02", "f2"), ("d2", 3, "2024-01-01", "f1")]
-    out = newest_delivery(frame("day string, v int, arrived_at string, arrived_in string", rows), "day")
-    assert sorted(r.v for r in out.collect()) == [2, 3]
+    rows = [("d1", "A", 1, "2024-01-01", "f1"), ("d1", "A", 2, "2024-01-02", "f2"), ("d1", "A", 4, "2024-01-03", "f2"),
+            ("d2", "A", 3, "2024-01-01", "f1"), ("d1", "B", 5, "2024-01-01", "f1"), (None, None, 6, "2024-01-01", "f1")]
+    out = newest_delivery(frame("day string, brand string, v int, arrived_at string, delivery string", rows), "day", ["brand"])
+    assert sorted(r.v for r in out.collect()) == [2, 3, 4, 5, 6]
+
+
+def test_part_files_are_one_delivery(frame):
+    names = ["/l/part-00000-aa-bb-c000.snappy.parquet", "/l/part-00001-aa-bb-c001.snappy.parquet", "/l/part-00000-cc-c000.csv", "/l/a-c000.csv", "/l/b.csv"]
+    df = frame("p string", [(n,) for n in names])
+    assert df.select(delivery_of("p").alias("d")).distinct().count() == 4
+
+
+def test_months_of_split_deliveries_stay(frame, spark, tmp_path):
+    for month in (1, 2):
+        df = frame("company string, v int, month int", [("mpr", month, month)])
+        writers.write_split(df, f"{tmp_path}/report", ["company", "month"], "parquet")
+    assert sorted(r.v for r in spark.read.parquet(f"{tmp_path}/report").collect()) == [1, 2]
 
 
 def test_stream_replaces_redelivered_dates(frame, spark, tmp_path):
