@@ -77,8 +77,3 @@ def round_columns(df: DataFrame, names: Iterable[str], digits: int) -> DataFrame
 def fill_from(df: DataFrame, target: str, *sources: str) -> DataFrame:
     """NULLs of ``target`` take the first non-NULL source."""
     return df.withColumn(target, F.coalesce(F.col(target), *[F.col(s) for s in sources]))
-
-
-def prefixed(df: DataFrame, suffix: str, keep: Sequence[str] = ()) -> DataFrame:
-    """Add ``suffix`` to every column but the kept ones, ahead of a join."""
-    return df.toDF(*[c if c in keep else c + suffix for c in df.columns])

@@ -74,26 +74,25 @@ def target_levels(
 def control_total(
     before: DataFrame, before_column: str, after: DataFrame, after_column: str, name: str, digits: int = 2
 ) -> DataFrame:
-    """One row telling whether a measure has the same total before and after a step."""
+    """One row telling whether a measure has the same total before and after a step.
 
-    def total(df: DataFrame, column: str, alias: str) -> DataFrame:
-        return df.agg(F.bround(sum0(column), digits).cast("double").alias(alias)).withColumn(
-            "check_name", F.lit(name)
-        )
-
-    joined = keep_facts(
-        total(before, before_column, "amount_before"),
-        total(after, after_column, "amount_after"),
-        ["check_name"],
-    )
-    return joined.select(
-        "check_name",
+    Both sides go through one aggregate.
+    """
+    rows = two_sided(before.select(F.col(before_column).alias("amount_before")), after.select(F.col(after_column).alias("amount_after")))
+    totals = rows.agg(*[F.bround(sum0(c), digits).cast("double").alias(c) for c in ("amount_before", "amount_after")])
+    return totals.select(
+        F.lit(name).alias("check_name"),
         "amount_before",
         "amount_after",
         (F.col("amount_before") == F.col("amount_after")).alias("is_matched"),
     )
 
 
+def two_sided(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Rows of both frames, the other's columns NULL; shared columns are filled by both."""
+    return before.unionByName(after, allowMissingColumns=True)
+
+
 def processing_log(df: DataFrame, stamp: Column | None = None) -> DataFrame:
     """Rows, quantity and paid value by channel with a processing stamp."""
     stamp = F.current_timestamp() if stamp is None else stamp

@@ -191,10 +191,9 @@ def _with_store_keys(versions: DataFrame, existing: DataFrame) -> DataFrame:
 
     fresh = versions.where("store_key IS NULL").drop("store_key")
     order = ["store_code", *[c for c in fresh.columns if c != "store_code"]]
-    last = existing.agg(F.coalesce(F.max("store_key"), F.lit(0)).alias("__last"))
-    numbered = number_rows(fresh, order, name="__n").withColumn("__one", F.lit(1))
-    keyed = keep_facts(numbered, last.withColumn("__one", F.lit(1)), ["__one"])
-    keyed = keyed.withColumn(
-        "store_key", (F.col("__n") + F.col("__last")).cast(existing.schema["store_key"].dataType)
+    # One value, an aggregate of the table.
+    last = existing.agg(F.max("store_key")).first()[0] or 0
+    keyed = number_rows(fresh, order, name="__n").withColumn(
+        "store_key", (F.col("__n") + F.lit(last)).cast(existing.schema["store_key"].dataType)
     ).select(*existing.columns)
     return versions.where("store_key IS NOT NULL").unionByName(keyed)

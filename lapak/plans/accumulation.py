@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.values import sum0
 from ..operators.accumulating import (
     PERIOD_DATES,
     PERIODS,
@@ -20,9 +20,10 @@ from ..operators.accumulating import (
     unified_lines,
     valid_sales,
 )
-from ..operators.aggregating import control_total
+from ..operators.aggregating import two_sided
 from ..operators.joining import present_in
 from ..operators.products import report_products
+from ..session import stored
 
 
 class AccumulationReport(NamedTuple):
@@ -42,6 +43,58 @@ def on_dates(sales: DataFrame, dates: DataFrame, column: str) -> DataFrame:
     return present_in(sales, named, {"order_create_date": column}, bounded=True)
 
 
+def sales_of_periods(
+    offline: DataFrame, online: DataFrame | None, stores: DataFrame, pattern: DataFrame
+) -> DataFrame:
+    """Sales per company, store, date and barcode on all dates the calendar names, written once.
+
+    Report, dates in use and control totals all start from this table, so both channels are read
+    and summed once. The dates to read come from the calendar: last month and last year need no
+    loop over months, and January finds December of the year before.
+    """
+    sold = None if online is None else online_as_sales(online, stores)
+    named = F.explode(F.array(*PERIOD_DATES.values())).alias("__any")
+    lines = on_dates(unified_lines(valid_sales(offline), sold), pattern.select(named), "__any")
+    return stored(sum_lines(lines), "sold")
+
+
+def period_report(
+    sold: DataFrame, stores: DataFrame, products: DataFrame, pattern: DataFrame
+) -> DataFrame:
+    """The accumulation report of ``sales_of_periods``."""
+    used = present_in(pattern, sold.select("order_create_date").distinct(), {"pattern_date": "order_create_date"}, bounded=True)
+    return sales_accumulation(sold, pattern, used, stores, report_products(products, PRODUCT_COLUMNS))
+
+
+def period_checks(sold: DataFrame, report: DataFrame, pattern: DataFrame) -> DataFrame:
+    """Whether the report's paid value per period is that of the sales: one aggregate for all.
+
+    A sale counts once per period that names its date.
+    """
+    value = "cust_paid_peritem"
+    roles = F.inline(F.array(*[F.struct(F.lit(p).alias("period"), F.col(d).alias("__date")) for p, d in PERIOD_DATES.items()]))
+    # Three rows per calendar date, so broadcast whatever the amount of sales.
+    dates = F.broadcast(pattern.select(roles).distinct())
+    met = sold.join(dates, F.col("order_create_date") == F.col("__date"), "inner")
+    shown = F.inline(F.array(*[F.struct(F.lit(p).alias("period"), F.col(value + p).alias("amount_after")) for p in PERIODS]))
+    rows = two_sided(met.select("period", F.col(value).alias("amount_before")), report.select(shown))
+
+    def total(column: str, period: str) -> Column:
+        return F.bround(sum0(F.when(F.col("period") == period, F.col(column))), 2).cast("double").alias(column)
+
+    checks = [
+        F.struct(F.lit(title).alias("check_name"), total("amount_before", p), total("amount_after", p))
+        for p, title in zip(PERIODS, ("this month", "last month", "last year"))
+    ]
+    totals = rows.agg(F.array(*checks).alias("checks")).select(F.inline("checks"))
+    return totals.withColumn("is_matched", F.col("amount_before") == F.col("amount_after"))
+
+
+def period_promotions(offline: DataFrame, stores: DataFrame, pattern: DataFrame) -> DataFrame:
+    """The promotion report of the calendar's own dates."""
+    return promo_sales(on_dates(valid_sales(offline), pattern, "pattern_date"), stores)
+
+
 def accumulation_report(
     offline: DataFrame,
     online: DataFrame | None,
@@ -49,32 +102,9 @@ def accumulation_report(
     products: DataFrame,
     pattern: DataFrame,
 ) -> AccumulationReport:
-    """Everything the monthly report delivers, from sales lines of all periods.
-
-    The dates to read come from the calendar, so last month and last year need no loop over
-    months, and January finds December of the year before. Lines of all periods are read and
-    summed once.
-    """
-    kept = valid_sales(offline)
-    sold = None if online is None else online_as_sales(online, stores)
-    lines = unified_lines(kept, sold)
-    named = F.array(*PERIOD_DATES.values())
-    lines = on_dates(lines, pattern.select(F.explode(named).alias("__any")), "__any")
-    sold_dates = lines.select("order_create_date").distinct()
-    used = present_in(
-        pattern, sold_dates, {"pattern_date": "order_create_date"}, bounded=True
-    )
-    sold = sum_lines(lines)
-    report = sales_accumulation(
-        sold, pattern, used, stores, report_products(products, PRODUCT_COLUMNS)
-    )
-    value = "cust_paid_peritem"
-    checks = reduce(
-        DataFrame.unionByName,
-        [
-            control_total(on_dates(sold, pattern, PERIOD_DATES[p]), value, report, value + p, name)
-            for p, name in zip(PERIODS, ("this month", "last month", "last year"))
-        ],
+    """Everything the monthly report delivers, from sales lines of all periods."""
+    sold = sales_of_periods(offline, online, stores, pattern)
+    report = period_report(sold, stores, products, pattern)
+    return AccumulationReport(
+        report, period_promotions(offline, stores, pattern), period_checks(sold, report, pattern)
     )
-    promotions = promo_sales(on_dates(kept, pattern, "pattern_date"), stores)
-    return AccumulationReport(report, promotions, checks)

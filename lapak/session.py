@@ -68,6 +68,14 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back: computed once however often it is
+    used, and Spark knows its size."""
+    path = scratch_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back, so its content is fixed."""
     shared_folder(df.sparkSession)
