@@ -78,6 +78,10 @@ def previous_month(day: dt.date) -> dt.date:
     return (day.replace(day=1) - dt.timedelta(days=1)).replace(day=1)
 
 
+def next_month(day: dt.date) -> dt.date:
+    return (day.replace(day=1) + dt.timedelta(days=32)).replace(day=1)
+
+
 def rebuild_months(as_of: dt.date, late_until: int = 5) -> list[dt.date]:
     """Months to rebuild: the previous one on day 1, both until ``late_until``, then this one."""
     this, last = as_of.replace(day=1), previous_month(as_of)

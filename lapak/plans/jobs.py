@@ -10,14 +10,21 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.dates import in_month, rebuild_months
+from ..functions.dates import in_month, next_month, previous_month, rebuild_months
 from ..operators.changes import ACCUMULATION_KEY, PROMO_KEY, Upsert, round_report, upsert
 from ..operators.dedup import number_rows
 from ..operators.marketplaces import LAYOUTS, normalise_all, processed_matcher
 from ..operators.products import active_items
-from ..sources.readers import read_table
+from ..sources.readers import period_filter, read_table
 from ..sources.writers import write_bundle, write_months, write_split
-from .accumulation import AccumulationReport, accumulation_report, month_pattern
+from .accumulation import (
+    AccumulationReport,
+    month_pattern,
+    period_checks,
+    period_promotions,
+    period_report,
+    sales_of_periods,
+)
 from .online_detail import online_sales_detail
 from .pos_detail import pos_sales_detail, pos_sales_report
 
@@ -37,17 +44,35 @@ class Lake:
     def read(self, name: str) -> DataFrame:
         return read_table(self.spark, self.path(name))
 
+    def read_months(self, name: str, months: Sequence[dt.date]) -> DataFrame:
+        """A table's folders of these months, without the folder columns.
+
+        A landed table that has no month folders is read whole; rows are not filtered.
+        """
+        df = self.read(name)
+        if {"year", "month"} <= set(df.columns):
+            df = df.where(period_filter(months)).drop("year", "month")
+        return df
+
 
 def any_month(column: str, months: Sequence[dt.date]) -> Column:
     return reduce(lambda a, b: a | b, [in_month(column, m) for m in months])
 
 
+def calendar_months(pattern: DataFrame) -> list[dt.date]:
+    """Months that any date of these calendar rows falls into."""
+    dates = F.explode(F.array("pattern_date", "pattern_lm", "pattern_last_year")).alias("d")
+    months = pattern.select(dates).where("d is not null").select(F.trunc("d", "month").alias("m"))
+    # A calendar month names a handful of months.
+    return sorted(r.m for r in months.distinct().collect())
+
+
 def run_pos_detail(lake: Lake, as_of: dt.date) -> list[dt.date]:
     """POS sales detail of the months still open on ``as_of``."""
     months = rebuild_months(as_of)
     detail = pos_sales_detail(
-        lake.read("pos_orders").where(any_month("time_created", months)),
-        lake.read("pos_payments").where(any_month("time_created", months)),
+        lake.read_months("pos_orders", months).where(any_month("time_created", months)),
+        lake.read_months("pos_payments", months).where(any_month("time_created", months)),
         lake.read("stores"),
         lake.read("promotions"),
         lake.read("products"),
@@ -61,10 +86,9 @@ def run_pos_detail(lake: Lake, as_of: dt.date) -> list[dt.date]:
 
 def run_pos_report(lake: Lake, as_of: dt.date) -> None:
     """POS report of the open months, one delivery per company, channel and department head."""
-    detail = lake.read("pos_detail").where(
-        any_month("order_create_date", rebuild_months(as_of))
-    )
-    report = pos_sales_report(detail.drop("year", "month"), lake.read("erp_staging"))
+    months = rebuild_months(as_of)
+    detail = lake.read_months("pos_detail", months).where(any_month("order_create_date", months))
+    report = pos_sales_report(detail, lake.read("erp_staging"))
     deliveries = report.withColumns(
         {"company": F.col("dataareaid"), "sales_channel": F.col("main_channel"), "head": F.col("so_dept_head"),
          "year": F.year("order_create_date"), "month": F.date_format("order_create_date", "MM")}
@@ -76,7 +100,9 @@ def run_pos_report(lake: Lake, as_of: dt.date) -> None:
 def run_online_detail(lake: Lake, as_of: dt.date) -> list[dt.date]:
     """Online sales detail of the months still open, from the landed marketplace exports."""
     months = rebuild_months(as_of, ONLINE_LATE_UNTIL)
-    exports = {m: lake.read(f"exports/{m}") for m in LAYOUTS}
+    # Export times carry zones, so a sale may lie in the folder of the month beside its own.
+    around = sorted({n for m in months for n in (previous_month(m), m, next_month(m))})
+    exports = {m: lake.read_months(f"exports/{m}", around) for m in LAYOUTS}
     items = active_items(
         lake.read("legacy_items"), lake.read("item_stops"), ["pulldate", "modifieddatetime", "recid"]
     )
@@ -87,16 +113,24 @@ def run_online_detail(lake: Lake, as_of: dt.date) -> list[dt.date]:
 
 
 def run_accumulation(lake: Lake, month: dt.date) -> AccumulationReport:
-    """The accumulation report of a month with promotions and control totals, as three tables."""
-    report = accumulation_report(
-        lake.read("pos_detail").drop("year", "month"),
-        lake.read("online_detail").drop("year", "month"),
-        lake.read("stores"),
-        lake.read("products"),
-        month_pattern(lake.read("pattern"), month),
-    )
-    write_bundle(report._asdict(), lake.path(f"reports/{month:%Y-%m}"))
-    return report
+    """The accumulation report of a month with promotions and control totals, as three tables.
+
+    Only the months that the calendar names are read. The control totals are taken from the
+    written report, which is not computed again for them.
+    """
+    pattern = month_pattern(lake.read("pattern"), month)
+    months = calendar_months(pattern)
+    offline, stores = lake.read_months("pos_detail", months), lake.read("stores")
+    sold = sales_of_periods(offline, lake.read_months("online_detail", months), stores, pattern)
+    folder = f"reports/{month:%Y-%m}"
+    tables = {
+        "accumulation": period_report(sold, stores, lake.read("products"), pattern),
+        "promotions": period_promotions(offline, stores, pattern),
+    }
+    write_bundle(tables, lake.path(folder))
+    checks = period_checks(sold, lake.read(f"{folder}/accumulation"), pattern)
+    write_bundle({"checks": checks}, lake.path(folder))
+    return AccumulationReport(*[lake.read(f"{folder}/{part}") for part in AccumulationReport._fields])
 
 
 def load_reports(lake: Lake, month: dt.date, version: int) -> dict[str, Upsert]:

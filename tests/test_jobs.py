@@ -1,11 +1,18 @@
-"""The three end-to-end jobs on a lake written from the driver tables."""
+"""The end-to-end jobs on a lake written from the driver tables."""
 
 import datetime as dt
+import os
 
 import pytest
+from pyspark.sql import functions as F
 
-from catalog.shapes import RAW, load
-from lapak.plans import jobs
+from catalog.changes import store_lists
+from catalog.people import attendance
+from catalog.shapes import RAW, Shapes, load
+from lapak.operators.accumulating import online_stores
+from lapak.operators.incentives import attendance_eligibility
+from lapak.operators.online_reports import sales_by_item
+from lapak.plans import jobs, master_jobs, online_jobs
 
 FOLDER = "/root/testdata/sf0.001"
 DAY = dt.date(2000, 8, 3)  # July and August are open
@@ -58,3 +65,121 @@ def test_jobs(spark, lake):
     jobs.load_reports(lake, month, 1)
     assert lake.read("logging_sales_akum").count() == 0
     assert lake.read("sales_akum/version=2").count() == stored.count()
+
+
+def test_scans_are_narrowed_to_months(lake):
+    months = [dt.date(2000, 8, 1)]
+    for table in ("pos_detail", "online_detail"):
+        text = lake.read_months(table, months)._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [" in text and "PartitionFilters: []" not in text
+
+
+def rows_of(df):
+    return sorted(map(repr, df.collect()))
+
+
+def test_online_reports(spark, lake):
+    stores = online_stores(lake.read("stores"))
+    word = F.get(F.split("stdname", " "), F.lit(2)).alias("channel")
+    days = [F.col("target").alias(f"2000-08-0{i}") for i in (1, 2)]
+    stores.select("stdname", F.col("dataareaid").alias("areaid"), "brand", word, *days, F.lit(0).alias("grandtotal")).write.parquet(lake.path("online_targets"))
+    assert online_jobs.run_online_daily(lake, DAY)
+    folder = "online_daily/day=2000-08-03"
+    first = {n: rows_of(lake.read(f"{folder}/{n}")) for n in ("daily", "item", "status", "checks")}
+    sold = lake.read("online_detail").where("date <= '2000-08-02' and sales_status <> 'CANCELED'")
+    assert sum(r.quantity for r in lake.read(f"{folder}/daily").collect()) == sold.agg(F.sum("qty_sold")).first()[0] > 0
+    assert online_jobs.run_online_daily(lake, DAY)
+    assert first == {n: rows_of(lake.read(f"{folder}/{n}")) for n in first}
+    sent = spark.read.option("header", True).csv(lake.path("online_delivery/daily"))
+    assert sent.count() == len(first["daily"])
+
+    online_jobs.run_delivery(lake, DAY)
+    sent = spark.read.option("header", True).csv(lake.path("delivery"))
+    open_lines = lake.read("online_detail").where("date >= '2000-07-01' and date < '2000-09-01'")
+    assert sent.count() == open_lines.where("sales_status <> 'CANCELED'").count()
+    online_jobs.run_settlement(lake, dt.date(2000, 8, 1))
+    settled = spark.read.option("header", True).csv(lake.path("settlement"))
+    per_file = settled.groupBy("brand", "marketplace", "transaction_status").agg(F.count("*").alias("n"), F.max(F.col("no").cast("int")).alias("last"))
+    n = settled.count()
+    assert n > 0 and per_file.where("n <> last").count() == 0
+    online_jobs.run_settlement(lake, dt.date(2000, 8, 1))
+    assert spark.read.option("header", True).csv(lake.path("settlement")).count() == n
+
+    online_jobs.run_online_staging(lake, [dt.date(2000, 7, 1)])
+    staged = lake.read("online_staging")
+    n = staged.count()
+    assert n > 0 and {(r.year, r.month) for r in staged.select("year", "month").distinct().collect()} == {(2000, 7)}
+    online_jobs.run_online_staging(lake, [dt.date(2000, 7, 1)])
+    assert lake.read("online_staging").count() == n
+
+
+def test_gate_holds_reports_back(spark, lake, monkeypatch):
+    monkeypatch.setattr(online_jobs, "sales_by_item", lambda lines: sales_by_item(lines.where("qty_sold > 1")))
+    day = dt.date(2000, 8, 4)
+    assert not online_jobs.run_online_daily(lake, day)
+    assert not os.path.exists(lake.path("online_delivery/daily/day=2000-08-04"))
+
+
+def land(folder, brand, name, rows, when):
+    path = folder / "raw" / brand / "2000" / "August" / name
+    path.parent.mkdir(parents=True, exist_ok=True)
+    head = "Tanggal Pembayaran,Nomor SKU,Jumlah"
+    path.write_text("\n".join([head, *rows]) + "\n")
+    os.utime(path, (when.timestamp(), when.timestamp()))
+
+
+def test_raw_drop(spark, tmp_path):
+    lake = jobs.Lake(spark, str(tmp_path / "lake"))
+    landing = tmp_path / "landing"
+    columns = {"tokopedia": ["Tanggal Pembayaran", "Nomor SKU", "Jumlah"]}
+    noon = dt.datetime(2000, 8, 2, 5, tzinfo=dt.timezone.utc)
+    day = dt.timedelta(days=1)
+    land(landing, "SZ", "tokopedia_old.csv", ["01-08-2000 10:00:00,9,9"], noon - day)
+    land(landing, "SZ", "tokopedia_a.csv", ["01-08-2000 10:00:00,1,1", "02-08-2000 10:00:00,2,1", "?,3,1", "01-01-2000 10:00:00,4,1"], noon)
+    land(landing, "MN", "tokopedia_a.csv", ["01-08-2000 11:00:00,5,1"], noon)
+    land(landing, "MC", "tokopedia_a.csv", ["01-08-2000 11:00:00,6,1"], noon - day)
+    assert online_jobs.run_raw_drop(lake, str(landing), columns, noon.date()) == ["tokopedia"]
+
+    def held():
+        return sorted((r.brand, r["Nomor SKU"], r.Jumlah) for r in lake.read("exports/tokopedia").collect())
+
+    assert held() == [("MN", "5", "1"), ("SZ", "1", "1"), ("SZ", "2", "1")]
+    assert [r.brand for r in lake.read("raw_stale").collect()] == ["MC"]
+    assert [r["Nomor SKU"] for r in lake.read("raw_undated/tokopedia").collect()] == ["3"]
+    online_jobs.run_raw_drop(lake, str(landing), columns, noon.date())
+    assert len(held()) == 3
+    land(landing, "SZ", "tokopedia_b.csv", ["02-08-2000 10:00:00,7,1"], noon + day)
+    online_jobs.run_raw_drop(lake, str(landing), columns, (noon + day).date())
+    assert held() == [("MN", "5", "1"), ("SZ", "1", "1"), ("SZ", "7", "1")]
+
+
+def test_masters_and_incentives(spark, lake):
+    s = Shapes(spark, FOLDER)
+    assert master_jobs.run_fact_sales(lake, DAY) == [dt.date(2000, 7, 1), dt.date(2000, 8, 1)]
+    n = lake.read("fact_sales").count()
+    assert n == lake.read("pos_detail").count()
+    master_jobs.run_fact_sales(lake, DAY)
+    assert lake.read("fact_sales").count() == n
+
+    master_jobs.run_cost_repair(lake)
+    repaired = rows_of(lake.read("products_repaired").select("codebars", "recid", "hpp"))
+    assert len(repaired) == lake.read("products").count()
+    master_jobs.run_cost_repair(lake)
+    assert rows_of(lake.read("products_repaired").select("codebars", "recid", "hpp")) == repaired
+
+    erp, pos = store_lists(s)
+    erp.write.parquet(lake.path("erp_stores"))
+    pos.write.parquet(lake.path("pos_stores"))
+    assert master_jobs.run_store_dimension(lake, DAY) == 0
+    first = lake.read("store_dim/version=0")
+    assert sorted(r.store_key for r in first.collect()) == list(range(1, erp.count() + 1))
+    assert master_jobs.run_store_dimension(lake, DAY, 0) == 1
+    assert rows_of(lake.read("store_dim/version=1").select(*first.columns)) == rows_of(first)
+
+    attendance(s).write.parquet(lake.path("attendance"))
+    s.nation.selectExpr("n_name as full_name", "'Junior Area Manager' as job_position").write.parquet(lake.path("managers"))
+    master_jobs.run_incentives(lake, dt.date(2000, 7, 1))
+    staff = lake.read("incentives/2000-07/staff")
+    assert staff.count() == attendance_eligibility(attendance(s)).count() > 0
+    heads = lake.read("incentives/2000-07/city_heads")
+    assert heads.count() == heads.select("city_head").distinct().count() > 0
