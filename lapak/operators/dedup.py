@@ -11,9 +11,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint
+from ..session import stored
 from .joining import attach_totals, keep_facts
 
+#: Rows that ``number_rows`` sorts in one task, about.
+PIECE_ROWS = 1_000_000
+
 
 def _ranked_one(df: DataFrame, keys: Sequence[str], order: list[Column]) -> DataFrame:
     # ``row_number() = 1`` is applied on each input partition before the shuffle too
@@ -93,17 +96,17 @@ def number_rows(
 ) -> DataFrame:
     """Consecutive numbers from 1 within each group, in ``order``, without a one-task window.
 
-    Rows are range-partitioned on the full order and written out once, so a partition's
-    content is fixed; numbers within a partition are then shifted by the number of rows the
-    group has in earlier partitions.
+    Rows are written, range-partitioned on the full order into pieces of a bounded size, and
+    written again, so a piece's content is fixed; numbers within a piece are then shifted by the
+    number of rows the group has in earlier pieces.
     """
     keys = [*group, *order]
-    pieces = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = checkpoint(
-        df.repartitionByRange(pieces, *[F.col(f"`{c}`") for c in keys]).withColumn(
-            "__piece", F.spark_partition_id()
-        )
-    )
+    rows = stored(df, "unnumbered")
+    # The count comes from the files' footers.
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pieces = max(usual, rows.count() // PIECE_ROWS + 1)
+    ranged = rows.repartitionByRange(pieces, *[F.col(f"`{k}`") for k in keys])
+    ranged = stored(ranged.withColumn("__piece", F.spark_partition_id()), "pieces")
     within = Window.partitionBy("__piece", *group).orderBy(*[F.col(f"`{c}`") for c in keys])
     # One row per piece and group: at most ``pieces`` rows in any window partition.
     earlier = Window.partitionBy(*(group or [F.lit(1)])).orderBy("__piece").rowsBetween(

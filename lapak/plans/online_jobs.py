@@ -26,7 +26,7 @@ from ..operators.online_reports import (
 from ..sources.readers import file_inventory, read_export
 from ..sources.writers import write_bundle, write_months, write_split
 from .jobs import ONLINE_LATE_UNTIL, Lake, any_month, calendar_months
-from .raw_drop import prepare_drop, undated
+from .raw_drop import prepare_drop, undated, write_drop
 
 
 def run_raw_drop(
@@ -53,12 +53,7 @@ def run_raw_drop(
         drop = read_export(lake.spark, found, columns[name])
         parts = F.split(F.col("_metadata.file_path"), "/")
         drop = drop.withColumn("brand", F.url_decode(F.element_at(parts, -4)))
-        merged = prepare_drop(drop, name, as_of)
-        keyed = merged.withColumns({"year": F.year("drop_date"), "month": F.date_format("drop_date", "MM")})
-        by = ["brand", "year", "month", "drop_date"]
-        keyed.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            *by
-        ).parquet(lake.path(f"exports/{name}"))
+        write_drop(prepare_drop(drop, name, as_of), lake.path(f"exports/{name}"))
         undated(drop, name).write.mode("overwrite").parquet(lake.path(f"raw_undated/{name}/{day}"))
     return sorted(paths)
 

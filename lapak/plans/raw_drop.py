@@ -35,6 +35,18 @@ def prepare_drop(drop: DataFrame, marketplace: str, as_of: dt.date) -> DataFrame
     )
 
 
+def write_drop(prepared: DataFrame, path: str, scope: Sequence[str] = ("brand",)) -> None:
+    """Write a prepared drop into the monthly raw table.
+
+    The table is partitioned by scope, month and day, so the days of the drop replace the same
+    days of their scope, nothing else is rewritten, and a repeated run gives the same table.
+    """
+    by = [*scope, "year", "month", "drop_date"]
+    keyed = prepared.withColumns({"year": F.year("drop_date"), "month": F.date_format("drop_date", "MM")})
+    writer = keyed.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*by).parquet(path)
+
+
 def undated(drop: DataFrame, marketplace: str) -> DataFrame:
     """Rows of a drop whose date cannot be read, with the reason; they belong to no month."""
     column, formats = EXPORT_DATE_COLUMNS[marketplace]

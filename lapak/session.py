@@ -1,4 +1,4 @@
-"""Session settings the operators rely on, and lineage cutting."""
+"""Session settings the operators rely on, and tables written between steps."""
 
 from __future__ import annotations
 
@@ -74,9 +74,3 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back, so its content is fixed."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)

@@ -78,17 +78,20 @@ def read_export(
     columns: Sequence[str],
     skip: Column | None = None,
     delimiter: str = ",",
+    multi_line: bool = True,
 ) -> DataFrame:
     """A marketplace export landed as CSV: every column as text, by header name.
 
-    ``skip`` marks rows that are not data, such as a description row under the header.
+    ``skip`` marks rows that are not data, such as a description row under the header. Fields may
+    hold line breaks, so a file is one task; ``multi_line=False`` is for exports without them,
+    whose large files are split over tasks.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     df = (
         spark.read.schema(schema)
         .option("header", True)
         .option("sep", delimiter)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("escape", '"')
         .option("enforceSchema", False)
         .csv(path)

@@ -5,9 +5,12 @@ import re
 import pytest
 
 from __spark_entry__ import queries
+from catalog import all_queries
 from lapak.operators.dedup import latest_per_key
 
 FOLDER = "/root/testdata/sf0.001"
+#: One row for the whole input: totals and the calendar's weight of all its days.
+WHOLE = ("accumulation_checks", "control_totals", "online_daily_check")
 CHECKED = ["sales_accumulation", "pos_sales_detail", "online_sales_detail", "settlement_template", "payment_allocation"]
 
 
@@ -22,6 +25,21 @@ def test_stays_in_the_engine(spark, name):
         assert bad not in text, bad
 
 
+@pytest.mark.parametrize("name", sorted(all_queries()))
+def test_no_query_pairs_all_rows_or_runs_python(spark, name):
+    text = plan(queries()[name](spark, FOLDER))
+    for bad in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "CartesianProduct", "BroadcastNestedLoopJoin", "InPandas"):
+        assert bad not in text, bad
+    if name not in WHOLE:
+        assert "SinglePartition" not in text
+
+
+def test_report_reads_its_lines_once(spark):
+    text = plan(queries()["sales_accumulation"](spark, FOLDER))
+    scans = re.findall(r"FileScan parquet .*", text)
+    assert not any("lineitem" in s or "l_orderkey" in s for s in scans)
+
+
 def test_unread_columns_are_not_scanned(spark):
     text = plan(queries()["mtd_sales"](spark, FOLDER))
     scans = re.findall(r"ReadSchema: struct<([^>]*)>", text)
