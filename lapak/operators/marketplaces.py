@@ -515,8 +515,11 @@ def layout(marketplace: str, raw: DataFrame, variant: str = "processed") -> Data
 def normalise(
     marketplace: str, raw: DataFrame, match: Matcher, variant: str = "processed"
 ) -> DataFrame:
-    """One export to normalised, matched and priced lines."""
-    return match_and_price(layout(marketplace, raw, variant), match)
+    """One export to normalised, matched and priced lines.
+
+    An export file is read by one task, so its lines are spread before they are worked on.
+    """
+    return match_and_price(layout(marketplace, raw.hint("rebalance"), variant), match)
 
 
 def normalise_all(
