@@ -7,8 +7,9 @@ entity and the term, and d(e, t) holding them side by side,
     information of the entity      I(e) = log2(N / d(e))
     disclosure of it by the term   D(e, t) = log2(N d(e, t) / (d(e) d(t))) <= I(e)
 
-A term whose disclosure reaches a share of the entity's information would tell the entity to
-anyone who knows the corpus, even with the entity itself masked. It is replaced by its class
+Few different texts are weak evidence, so the share d(e, t) / d(t) counts with the lower end of its
+confidence interval. A term whose disclosure reaches a share of the entity's information would tell
+the entity to anyone who knows the corpus, even with the entity itself masked. It is replaced by its class
 (number, name, word) if the class discloses less than the threshold, and removed otherwise.
 Everything here is built-in expressions, joins and aggregates.
 """
@@ -44,9 +45,9 @@ _NEEDS = {
 #: Terms, and how far from an entity they count as its company (characters).
 WORDS = r"[\p{L}\p{N}]{3,}"
 NEAR = 60
-#: Share of an entity's information a term may disclose, and in how many different texts it has to
-#: stand beside it: fewer are no estimate.
-DISCLOSED, SUPPORT = 0.85, 3
+#: Share of an entity's information a term may disclose, and the normal quantile of the one-sided
+#: 90 % interval of what few texts show.
+DISCLOSED, SURE = 0.85, 1.2815515655446004
 CLASSES = {"NUMBER": r"\p{N}", "NAME": r"(?<![\p{L}\p{N}])\p{Lu}[\p{L}]{2}", "WORD": r"(?<![\p{L}\p{N}])[\p{Ll}\p{Lo}][\p{L}]{2}"}
 
 
@@ -140,6 +141,16 @@ def terms_of(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(WORDS), F.lit(0)))
 
 
+def certain(held: Column, of: Column) -> Column:
+    """Lower end of Wilson's interval for the share ``held`` / ``of``, as a part of that share.
+
+    It falls as ``of`` grows and nears 1 as both do.
+    """
+    share, z2 = held / of, SURE * SURE
+    half = SURE * F.sqrt(share * (1 - share) / of + z2 / (4 * of * of))
+    return (share + z2 / (2 * of) - half) / (1 + z2 / of) / share
+
+
 def scan(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """text_id, base (spans), near (spans with their company), held (terms) of every row, written.
 
@@ -176,45 +187,51 @@ def disclosing(docs: DataFrame, scanned: DataFrame) -> DataFrame:
     both = counted.groupBy("entity", "term").agg(
         F.sum("n").alias("d_both"), F.count(F.lit(1)).alias("texts"), F.min("class").alias("class")
     )
-    often = written(both.where(F.col("texts") >= SUPPORT), "often")
+    both = written(both, "both")
     n_docs = docs.count()
     entities = scanned.select("text_id", F.explode("near").alias("near")).select("text_id", "near.entity").distinct()
     d_entity = written(entities.join(copies, "text_id").groupBy("entity").agg(F.sum("n").alias("d_entity")), "entity_counts")
     # Documents that hold a term near any entity, then those with an entity that hold it anywhere:
     # no more than all that hold it. Where even these make the disclosure too small, the term need
     # not be counted in the corpus, so no common word is.
-    beside = counted.select("term", "text_id", "n").distinct().groupBy("term").agg(F.sum("n").alias("d_near"))
-    d_near = written(beside, "near_counts")
+    beside = counted.select("term", "text_id", "n").distinct().groupBy("term").agg(
+        F.sum("n").alias("d_term"), F.count(F.lit(1)).alias("t_term")
+    )
+    near_counts = written(beside, "near_counts")
+    # Both factors fall as documents and texts that hold the term are added.
+    disclosed = F.log2(n_docs * F.col("d_both") / (F.col("d_entity") * F.col("d_term")) * certain(F.col("texts"), F.col("t_term")))
 
-    def disclosed(d_term: str) -> Column:
-        return F.log2(n_docs * F.col("d_both") / (F.col("d_entity") * F.col(d_term)))
+    def reaching(pairs: DataFrame, counts: DataFrame) -> DataFrame:
+        """Pairs that by these counts of their term may reach the limit."""
+        return pairs.join(counts, "term").where((F.col("limit") > 0) & (disclosed >= F.col("limit"))).drop("d_term", "t_term")
 
-    limited = often.join(d_entity, "entity").withColumn("limit", DISCLOSED * F.log2(F.lit(n_docs) / F.col("d_entity")))
     def counted_in(rows: DataFrame, terms: Column, wanted: DataFrame, name: str) -> DataFrame:
-        """Rows whose ``terms`` hold each wanted term."""
-        held = rows.select(F.explode(terms).alias("term")).join(wanted.select("term").distinct(), "term", "left_semi")
-        return written(held.groupBy("term").agg(F.count(F.lit(1)).alias(name)), name)
+        """Documents and texts among the rows whose ``terms`` hold each wanted term."""
+        held = rows.select("text_id", F.explode(terms).alias("term")).join(wanted.select("term").distinct(), "term", "left_semi")
+        per_text = held.groupBy("term", "text_id").agg(F.count(F.lit(1)).alias("n"))
+        return written(per_text.groupBy("term").agg(F.sum("n").alias("d_term"), F.count(F.lit(1)).alias("t_term")), name)
 
-    possible = limited.join(d_near, "term").where((F.col("limit") > 0) & (disclosed("d_near") >= F.col("limit")))
-    possible = written(possible.drop("d_near"), "possible")
+    limited = both.join(d_entity, "entity").withColumn("limit", DISCLOSED * F.log2(F.lit(n_docs) / F.col("d_entity")))
+    possible = written(reaching(limited, near_counts), "possible")
     d_held = counted_in(scanned.where("held is not null"), F.col("held"), possible, "d_held")
-    candidates = written(possible.join(d_held, "term").where(disclosed("d_held") >= F.col("limit")).drop("d_held"), "candidates")
+    candidates = written(reaching(possible, d_held), "candidates")
     empty = candidates.select("entity", "term", F.col("class").alias("replacement"))
     if candidates.isEmpty():
         return empty
     per_class = docs.agg(
         *[F.count(F.when(F.coalesce(F.col("text").rlike(p), F.lit(False)), 1)) for p in CLASSES.values()]
     ).first()
-    d_term = counted_in(docs, terms_of(F.col("text")), candidates, "d_term")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    d_term = counted_in(docs.select(F.sha2(text, 256).alias("text_id"), text.alias("text")), terms_of(F.col("text")), candidates, "d_term")
     with_class = counted.select("entity", "class", "text_id", "n").distinct()
     d_class = written(with_class.groupBy("entity", "class").agg(F.sum("n").alias("d_both_class")), "class_counts")
     total = F.array(*[F.lit(int(c)) for c in per_class])
     position = F.array_position(F.array(*[F.lit(c) for c in CLASSES]), F.col("class")).cast("int")
     by_class = n_docs * F.col("d_both_class") / (F.col("d_entity") * F.greatest(F.element_at(total, position), F.lit(1)))
-    known = candidates.join(d_term, "term").join(d_class, ["entity", "class"]).withColumn("by_class", F.log2(by_class))
+    known = reaching(candidates, d_term).join(d_class, ["entity", "class"]).withColumn("by_class", F.log2(by_class))
     replacement = F.when(F.col("by_class") < F.col("limit"), F.col("class")).otherwise(F.lit(""))
     return written(
-        known.where(disclosed("d_term") >= F.col("limit")).select("entity", "term", replacement.alias("replacement")),
+        known.select("entity", "term", replacement.alias("replacement")),
         "disclosing",
     )
 

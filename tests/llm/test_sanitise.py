@@ -97,6 +97,24 @@ def test_disclosing_terms(spark):
     assert spans[13] == "" and spans[12].count("term") == 0 and spans[300].count("term") == 0
 
 
+def test_an_entity_in_one_text_is_weighed(spark):
+    """In a corpus large enough, one text shows what a term gives away; fewer documents do not."""
+    docs = [(i, f"plain words of text again w{i % 40} w{i % 41}", "en", "a", 1, *odd.EXTRA) for i in range(2000)]
+    docs.append((5000, "plain words Quentin again once@mail.example text", "en", "a", 1, *odd.EXTRA))
+    spans = {r.doc_id: r.spans for r in sanitise.find(odd.frame(spark, docs)).collect()}
+    assert spans[5000].split(",") == ["email:26:43", "term:12:19"]
+    few = docs[:100] + docs[-1:]
+    spans = {r.doc_id: r.spans for r in sanitise.find(odd.frame(spark, few)).collect()}
+    assert spans[5000] == "email:26:43"
+
+
+def test_evidence_of_few_texts(spark):
+    rows = spark.createDataFrame([(1, 1), (1, 2), (3, 3), (100, 100), (100, 200)], "k long, n long")
+    parts = [r[0] for r in rows.select(sanitise.certain(rows.k, rows.n)).collect()]
+    assert parts[1] < parts[0] < parts[2] < parts[3] < 1
+    assert parts[0] == pytest.approx(1 / (1 + sanitise.SURE**2)) and parts[4] > 0.85
+
+
 def test_sanitised_documents(spark):
     docs = corpus()
     out = sanitise.sanitise(odd.frame(spark, docs))
