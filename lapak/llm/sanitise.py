@@ -1,16 +1,17 @@
 """Personal data by patterns, and the terms that give it away by corpus co-occurrence.
 
-An e-mail address, network address, card or phone number is a protected entity. A term that stands
-near an entity is held against the corpus: with N documents, d(e) and d(t) of them holding the
-entity and the term, and d(e, t) holding them side by side,
+An e-mail address, network address, card or phone number is a protected entity. Every term of a
+document that holds an entity is held against the corpus: with N documents, d(e) and d(t) of them
+holding the entity and the term, and d(e, t) holding both, wherever they stand,
 
     information of the entity      I(e) = log2(N / d(e))
     disclosure of it by the term   D(e, t) = log2(N d(e, t) / (d(e) d(t))) <= I(e)
 
 Few different texts are weak evidence, so the share d(e, t) / d(t) counts with the lower end of its
 confidence interval. A term whose disclosure reaches a share of the entity's information would tell
-the entity to anyone who knows the corpus, even with the entity itself masked. It is replaced by its class
-(number, name, word) if the class discloses less than the threshold, and removed otherwise.
+the entity to anyone who knows the corpus, even with the entity itself masked. Wherever it stands in a document
+with the entity it is replaced by its class (number, name, word) if the class discloses less than
+the threshold, and removed otherwise.
 Everything here is built-in expressions, joins and aggregates.
 """
 
@@ -42,13 +43,35 @@ _NEEDS = {
     "card": lambda t: F.lit(True),
     "phone": lambda t: F.contains(t, F.lit("+")),
 }
-#: Terms, and how far from an entity they count as its company (characters).
-WORDS = r"[\p{L}\p{N}]{3,}"
-NEAR = 60
+#: Terms of any length: names have two letters, or one in scripts without blanks.
+WORDS = r"[\p{L}\p{N}]++"
+#: Words of a text that are placed in one piece.
+BLOCK = 128
 #: Share of an entity's information a term may disclose, and the normal quantile of the one-sided
 #: 90 % interval of what few texts show.
 DISCLOSED, SURE = 0.85, 1.2815515655446004
-CLASSES = {"NUMBER": r"\p{N}", "NAME": r"(?<![\p{L}\p{N}])\p{Lu}[\p{L}]{2}", "WORD": r"(?<![\p{L}\p{N}])[\p{Ll}\p{Lo}][\p{L}]{2}"}
+CLASSES = {"NUMBER": r"\p{N}", "NAME": r"(?<![\p{L}\p{N}])\p{Lu}", "WORD": r"(?<![\p{L}\p{N}])[\p{L}&&[^\p{Lu}]]"}
+_PLACE = "struct<start:int,end:int,value:string>"
+
+
+def _place(held: Column, pair: Column) -> Column:
+    """``held`` (at, out) with the match of a (gap, value) added."""
+    start = held["at"] + F.length(pair["gap"])
+    end = start + F.length(pair["value"])
+    return F.struct(
+        end.alias("at"),
+        F.concat(held["out"], F.array(F.struct(start.alias("start"), end.alias("end"), pair["value"].alias("value")))).alias("out"),
+    )
+
+
+def _pairs(text: Column, pattern: str) -> Column:
+    """Array of (gap, value): a pattern's matches, each with the text between it and the one before."""
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    return F.arrays_zip(F.slice(F.split(text, pattern, -1), 1, F.size(found)).alias("gap"), found.alias("value"))
+
+
+def _nothing(kind: str) -> Column:
+    return F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{kind}>").alias("out"))
 
 
 def matches(text: Column, pattern: str) -> Column:
@@ -56,20 +79,25 @@ def matches(text: Column, pattern: str) -> Column:
 
     The text between matches and the matches themselves alternate; running lengths are the places.
     """
-    between = F.split(text, pattern, -1)
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    none = F.array().cast("array<struct<start:int,end:int,value:string>>")
+    return F.aggregate(_pairs(text, pattern), _nothing(_PLACE), _place, lambda held: held["out"])
 
-    def step(held: Column, pair: Column) -> Column:
-        start = held["at"] + F.length(pair["gap"])
-        end = start + F.length(pair["value"])
-        return F.struct(
-            end.alias("at"),
-            F.concat(held["out"], F.array(F.struct(start.alias("start"), end.alias("end"), pair["value"].alias("value")))).alias("out"),
-        )
 
-    pairs = F.arrays_zip(F.slice(between, 1, F.size(found)).alias("gap"), found.alias("value"))
-    return F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda held: held["out"])
+def words_at(text: Column) -> Column:
+    """``matches`` of all words. They are placed block by block, as adding to a long array copies it."""
+
+    def moved(block: Column, by: Column) -> Column:
+        return F.transform(block, lambda m: F.struct((m["start"] + by).alias("start"), (m["end"] + by).alias("end"), m["value"].alias("value")))
+
+    def follow(held: Column, block: Column) -> Column:
+        return F.struct((held["at"] + block["at"]).alias("at"), F.concat(held["out"], F.array(moved(block["out"], held["at"]))).alias("out"))
+
+    def whole(pairs: Column) -> Column:
+        last = F.greatest(F.floor((F.size(pairs) - 1) / BLOCK).cast("int"), F.lit(0))
+        blocks = F.transform(F.sequence(F.lit(0), last), lambda b: F.aggregate(F.slice(pairs, b * BLOCK + 1, F.lit(BLOCK)), _nothing(_PLACE), _place))
+        return F.flatten(F.aggregate(blocks, _nothing(f"array<{_PLACE}>"), follow, lambda held: held["out"]))
+
+    # As an argument the pairs are made once, not for every block.
+    return F.transform(F.array(_pairs(text, WORDS)), whole)[0]
 
 
 def _digits(value: Column) -> Column:
@@ -108,26 +136,6 @@ def base_spans(text: Column) -> Column:
     return F.concat(*map(of, KINDS))
 
 
-def company(text: Column, span: Column) -> Column:
-    """Terms (start, end, value) wholly within NEAR characters before or after a span.
-
-    A term that the window cuts is left out, unless the text ends there.
-    """
-
-    def side(first: Column, length: Column, cut_left: Column, cut_right: Column) -> Column:
-        window = F.substring(text, first + 1, length)
-        inside = F.filter(
-            matches(window, WORDS),
-            lambda m: ~(cut_left & (m["start"] == 0)) & ~(cut_right & (m["end"] == F.length(window))),
-        )
-        return F.transform(inside, lambda m: F.struct((m["start"] + first).alias("start"), (m["end"] + first).alias("end"), m["value"].alias("value")))
-
-    before = F.greatest(span["start"] - NEAR, F.lit(0))
-    left = side(before, span["start"] - before, before > 0, F.lit(False))
-    right = side(span["end"], F.lit(NEAR), F.lit(False), F.length(text) > span["end"] + NEAR)
-    return F.concat(left, right)
-
-
 def _term_class(value: Column) -> Column:
     return F.when(value.rlike(r"\p{N}"), "NUMBER").when(value.rlike(r"^\p{Lu}"), "NAME").otherwise("WORD")
 
@@ -136,9 +144,15 @@ def _joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def lowered(text: Column) -> Column:
+    """Lower case, the same for a word as for the text around it: no letter becomes two, and there
+    is one small sigma."""
+    return F.replace(F.lower(F.replace(text, F.lit("İ"), F.lit("i"))), F.lit("ς"), F.lit("σ"))
+
+
 def terms_of(text: Column) -> Column:
     """The different terms of a text."""
-    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(WORDS), F.lit(0)))
+    return F.array_distinct(F.regexp_extract_all(lowered(text), F.lit(WORDS), F.lit(0)))
 
 
 def certain(held: Column, of: Column) -> Column:
@@ -152,102 +166,122 @@ def certain(held: Column, of: Column) -> Column:
 
 
 def scan(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """text_id, base (spans), near (spans with their company), held (terms) of every row, written.
+    """text_id, base (spans), entities (different ones) and text of every row, written.
 
-    ``near`` and ``held`` are NULL where no entity is.
+    ``entities`` and ``text`` are NULL where no entity is.
     ``text_id`` is the text's hash: what is found depends on the text alone.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     based = docs.select(*keep, F.sha2(text, 256).alias("text_id"), text.alias("text"), base_spans(text).alias("base"))
-    near = F.transform("base", lambda s: F.struct(F.concat(s["kind"], F.lit(" "), F.lower(s["value"])).alias("entity"), s["start"].alias("start"), company(F.col("text"), s).alias("terms")))
+    entities = F.array_distinct(F.transform("base", lambda s: F.concat(s["kind"], F.lit(" "), F.lower(s["value"]))))
     some = F.size("base") > 0
     return written(
-        based.select(*keep, "text_id", "base", F.when(some, near).alias("near"), F.when(some, terms_of(F.col("text"))).alias("held")),
+        based.select(*keep, "text_id", "base", F.when(some, entities).alias("entities"), F.when(some, F.col("text")).alias("text")),
         "scanned",
     )
 
 
-def disclosing(docs: DataFrame, scanned: DataFrame) -> DataFrame:
-    """entity, term, replacement: the terms that disclose an entity beyond the threshold.
+def _disclosure(n_docs: int, d_both: Column, texts: Column) -> Column:
+    """Disclosure by d_entity, and d_term and t_term (documents and texts that hold the term).
 
-    Probabilities are shares of all documents. ``replacement`` is the class, or empty to remove.
+    Both factors fall as documents and texts that hold the term are added.
     """
-    near = scanned.select("text_id", "base", F.explode("near").alias("near"))
-    one = near.select("text_id", "base", F.col("near.entity").alias("entity"), F.explode("near.terms").alias("term"))
-    inside = F.exists("base", lambda s: (s["start"] < F.col("term.end")) & (F.col("term.start") < s["end"]))
-    pairs = written(
-        one.where(~inside).groupBy("entity", "text_id", F.lower("term.value").alias("term")).agg(
-            F.min(_term_class(F.col("term.value"))).alias("class")
+    return F.log2(n_docs * d_both / (F.col("d_entity") * F.col("d_term")) * certain(texts, F.col("t_term")))
+
+
+def together(scanned: DataFrame, n_docs: int) -> tuple[DataFrame, DataFrame]:
+    """The different texts with entities, and their pairs of entity and term that may disclose.
+
+    Pairs have text_id, n (documents with the text), entity, d_entity, limit, term, class, and
+    d_term and t_term: the documents and texts with entities that hold the term, no more than all
+    that hold it. Pairs whose disclosure is below the limit even by these, and with the term beside
+    the entity as often as can be, are left out; they need not be counted, so no common word is.
+    """
+    texts = written(
+        scanned.where(F.size("base") > 0).groupBy("text_id").agg(
+            F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("text", "base", "entities")]
         ),
-        "pairs",
-    )
-    # Documents per text: copies count as documents, but not as different texts.
-    copies = written(scanned.where(F.size("base") > 0).groupBy("text_id").agg(F.count(F.lit(1)).alias("n")), "copies")
-    counted = pairs.join(copies, "text_id")
-    both = counted.groupBy("entity", "term").agg(
-        F.sum("n").alias("d_both"), F.count(F.lit(1)).alias("texts"), F.min("class").alias("class")
+        "texts",
     )
-    both = written(both, "both")
+    of_entity = texts.select("text_id", "n", F.explode("entities").alias("entity"))
+    counts = written(of_entity.groupBy("entity").agg(F.sum("n").alias("d_entity"), F.count(F.lit(1)).alias("t_entity")), "entity_counts")
+    weighed = of_entity.join(counts, "entity").withColumn("limit", DISCLOSED * F.log2(F.lit(n_docs) / F.col("d_entity")))
+    weighed = written(weighed.where(F.col("limit") > 0), "weighed")
+    word = F.col("word")
+    words = texts.select("text_id", "n", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(WORDS), F.lit(0)))).alias("word"))
+    terms = written(words.groupBy("text_id", "n", lowered(word).alias("term")).agg(F.min(_term_class(word)).alias("class")), "terms")
+    # The share of the term's documents that hold the entity has to reach (d(e) / N) ** (1 - DISCLOSED),
+    # and is d(e) / d(t) at most.
+    most = (counts.agg(F.max("d_entity")).first()[0] or 0) * max(n_docs, 1) ** (1 - DISCLOSED) * (1 + 1e-9)
+    held = terms.groupBy("term").agg(F.sum("n").alias("d_term"), F.count(F.lit(1)).alias("t_term"))
+    held = written(held.where(F.col("d_term") <= most), "held_counts")
+    upper = _disclosure(n_docs, F.least("d_entity", "d_term"), F.least("t_entity", "t_term"))
+    pairs = terms.join(held, "term").join(weighed.drop("n"), "text_id").where(upper >= F.col("limit")).drop("t_entity")
+    return texts, written(pairs, "pairs")
+
+
+def disclosing(docs: DataFrame, scanned: DataFrame, related: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """entity, term, replacement: the terms that disclose an entity beyond the threshold.
+
+    Probabilities are shares of all documents. ``replacement`` is the class, or empty to remove.
+    ``related`` is what ``together`` gives.
+    """
     n_docs = docs.count()
-    entities = scanned.select("text_id", F.explode("near").alias("near")).select("text_id", "near.entity").distinct()
-    d_entity = written(entities.join(copies, "text_id").groupBy("entity").agg(F.sum("n").alias("d_entity")), "entity_counts")
-    # Documents that hold a term near any entity, then those with an entity that hold it anywhere:
-    # no more than all that hold it. Where even these make the disclosure too small, the term need
-    # not be counted in the corpus, so no common word is.
-    beside = counted.select("term", "text_id", "n").distinct().groupBy("term").agg(
-        F.sum("n").alias("d_term"), F.count(F.lit(1)).alias("t_term")
+    texts, pairs = related or together(scanned, n_docs)
+    # Copies count as documents, but not as different texts.
+    both = pairs.groupBy("entity", "term", "d_entity", "limit", "d_term", "t_term").agg(
+        F.sum("n").alias("d_both"), F.count(F.lit(1)).alias("texts"), F.min("class").alias("class")
     )
-    near_counts = written(beside, "near_counts")
-    # Both factors fall as documents and texts that hold the term are added.
-    disclosed = F.log2(n_docs * F.col("d_both") / (F.col("d_entity") * F.col("d_term")) * certain(F.col("texts"), F.col("t_term")))
-
-    def reaching(pairs: DataFrame, counts: DataFrame) -> DataFrame:
-        """Pairs that by these counts of their term may reach the limit."""
-        return pairs.join(counts, "term").where((F.col("limit") > 0) & (disclosed >= F.col("limit"))).drop("d_term", "t_term")
-
-    def counted_in(rows: DataFrame, terms: Column, wanted: DataFrame, name: str) -> DataFrame:
-        """Documents and texts among the rows whose ``terms`` hold each wanted term."""
-        held = rows.select("text_id", F.explode(terms).alias("term")).join(wanted.select("term").distinct(), "term", "left_semi")
-        per_text = held.groupBy("term", "text_id").agg(F.count(F.lit(1)).alias("n"))
-        return written(per_text.groupBy("term").agg(F.sum("n").alias("d_term"), F.count(F.lit(1)).alias("t_term")), name)
-
-    limited = both.join(d_entity, "entity").withColumn("limit", DISCLOSED * F.log2(F.lit(n_docs) / F.col("d_entity")))
-    possible = written(reaching(limited, near_counts), "possible")
-    d_held = counted_in(scanned.where("held is not null"), F.col("held"), possible, "d_held")
-    candidates = written(reaching(possible, d_held), "candidates")
-    empty = candidates.select("entity", "term", F.col("class").alias("replacement"))
+
+    def reaching(rows: DataFrame) -> DataFrame:
+        return rows.where(_disclosure(n_docs, F.col("d_both"), F.col("texts")) >= F.col("limit"))
+
+    candidates = written(reaching(both), "candidates")
     if candidates.isEmpty():
-        return empty
-    per_class = docs.agg(
-        *[F.count(F.when(F.coalesce(F.col("text").rlike(p), F.lit(False)), 1)) for p in CLASSES.values()]
-    ).first()
+        return candidates.select("entity", "term", F.col("class").alias("replacement"))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    d_term = counted_in(docs.select(F.sha2(text, 256).alias("text_id"), text.alias("text")), terms_of(F.col("text")), candidates, "d_term")
-    with_class = counted.select("entity", "class", "text_id", "n").distinct()
+    per_class = docs.agg(*[F.count(F.when(text.rlike(p), 1)) for p in CLASSES.values()]).first()
+    # Summed before they meet the candidates, so each task sends a term once.
+    all_held = docs.select(F.explode(terms_of(text)).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("d_all"))
+    counted = candidates.join(all_held, "term").withColumns({"d_term": F.col("d_all"), "d_out": F.col("d_all") - F.col("d_term")})
+    # The documents without entities that hold the term are between one text (or none) and as many
+    # as they are. Only where that leaves the decision open are their different texts counted.
+    fewest = F.col("t_term") + F.least("d_out", F.lit(1))
+    open_ = written(reaching(counted.withColumn("t_held", F.col("t_term")).withColumn("t_term", fewest)), "open")
+    open_ = open_.withColumn("t_term", F.col("t_held") + F.col("d_out"))
+    sure = reaching(open_)
+    unsure = written(open_.join(sure.select("entity", "term"), ["entity", "term"], "left_anti"), "unsure")
+    known = sure.select("entity", "term", "class", "d_entity", "limit")
+    if not unsure.isEmpty():
+        hashed = docs.select(F.sha2(text, 256).alias("text_id"), text.alias("text"))
+        rows = hashed.select("text_id", F.explode(terms_of(F.col("text"))).alias("term")).join(unsure.select("term").distinct(), "term", "left_semi")
+        t_all = rows.distinct().groupBy("term").agg(F.count(F.lit(1)).alias("t_all"))
+        exact = reaching(unsure.join(t_all, "term").withColumn("t_term", F.col("t_all")))
+        known = known.unionByName(exact.select("entity", "term", "class", "d_entity", "limit"))
+    classes = F.filter(F.array(*[F.when(F.col("text").rlike(p), F.lit(c)) for c, p in CLASSES.items()]), lambda c: c.isNotNull())
+    with_class = texts.select("n", "entities", classes.alias("classes")).select("n", "entities", F.explode("classes").alias("class"))
+    with_class = with_class.select("n", "class", F.explode("entities").alias("entity"))
     d_class = written(with_class.groupBy("entity", "class").agg(F.sum("n").alias("d_both_class")), "class_counts")
     total = F.array(*[F.lit(int(c)) for c in per_class])
     position = F.array_position(F.array(*[F.lit(c) for c in CLASSES]), F.col("class")).cast("int")
-    by_class = n_docs * F.col("d_both_class") / (F.col("d_entity") * F.greatest(F.element_at(total, position), F.lit(1)))
-    known = reaching(candidates, d_term).join(d_class, ["entity", "class"]).withColumn("by_class", F.log2(by_class))
-    replacement = F.when(F.col("by_class") < F.col("limit"), F.col("class")).otherwise(F.lit(""))
-    return written(
-        known.select("entity", "term", replacement.alias("replacement")),
-        "disclosing",
-    )
+    by_class = F.log2(n_docs * F.col("d_both_class") / (F.col("d_entity") * F.greatest(F.element_at(total, position), F.lit(1))))
+    replacement = F.when(by_class < F.col("limit"), F.col("class")).otherwise(F.lit(""))
+    known = known.join(d_class, ["entity", "class"])
+    return written(known.select("entity", "term", replacement.alias("replacement")), "disclosing")
 
 
-def term_spans(scanned: DataFrame, found: DataFrame) -> DataFrame:
+def term_spans(docs: DataFrame, scanned: DataFrame) -> DataFrame:
     """text_id, terms (kind, start, end, value: the replacement) of texts with disclosing terms."""
-    near = scanned.select("text_id", "base", "near").where(F.size("base") > 0).dropDuplicates(["text_id"])
-    one = near.select("text_id", "base", F.explode("near").alias("near")).select(
-        "text_id", "base", F.col("near.entity").alias("entity"), F.explode("near.terms").alias("t")
-    )
-    inside = F.exists("base", lambda s: (s["start"] < F.col("t.end")) & (F.col("t.start") < s["end"]))
-    hit = one.where(~inside).select("text_id", "entity", "t", F.lower("t.value").alias("term")).join(found, ["entity", "term"])
+    texts, pairs = related = together(scanned, docs.count())
+    hits = pairs.join(disclosing(docs, scanned, related), ["entity", "term"])
+    # For two entities a term is one span; removing goes before generalising.
+    hits = written(hits.groupBy("text_id", "term").agg(F.min("replacement").alias("replacement")), "hits")
+    placed = texts.join(hits.select("text_id").distinct(), "text_id", "left_semi").select("text_id", F.explode(words_at(F.col("text"))).alias("t"))
+    hit = placed.select("text_id", "t", lowered(F.col("t.value")).alias("term")).join(hits, ["text_id", "term"])
     span = F.struct(F.lit(TERM).alias("kind"), F.col("t.start").alias("start"), F.col("t.end").alias("end"), F.col("replacement").alias("value"))
-    # Near two entities a term is one span; removing goes before generalising.
-    single = hit.groupBy("text_id", "t.start").agg(F.min(span).alias("span"))
-    return written(single.groupBy("text_id").agg(F.sort_array(F.collect_list("span")).alias("terms")), "term_spans")
+    spans = hit.groupBy("text_id").agg(F.sort_array(F.collect_list(span)).alias("terms")).join(texts.select("text_id", "base"), "text_id")
+    outside = F.filter("terms", lambda t: ~F.exists("base", lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
+    return written(spans.select("text_id", outside.alias("terms")), "term_spans")
 
 
 def find(docs: DataFrame) -> DataFrame:
@@ -257,7 +291,7 @@ def find(docs: DataFrame) -> DataFrame:
     """
     narrow = docs.select("doc_id", "text")
     scanned = scan(narrow, ("doc_id",))
-    terms = term_spans(scanned, disclosing(narrow, scanned)).withColumnRenamed("text_id", "of")
+    terms = term_spans(narrow, scanned).withColumnRenamed("text_id", "of")
     rows = scanned.join(terms, F.col("text_id") == F.col("of"), "left")
 
     def count(kind: str) -> Column:
@@ -300,7 +334,7 @@ def sanitise(docs: DataFrame) -> DataFrame:
     """
     wide = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("all")
     scanned = scan(docs.select(wide, "text"), ("all",))
-    terms = term_spans(scanned, disclosing(docs.select("text"), scanned)).withColumnRenamed("text_id", "of")
+    terms = term_spans(docs.select("text"), scanned).withColumnRenamed("text_id", "of")
     # Only texts that hold an entity are moved to meet their terms.
     touched = scanned.where(F.size("base") > 0).join(terms, F.col("text_id") == F.col("of"), "left")
     none = F.array().cast("array<struct<kind:string,start:int,end:int,value:string>>")

@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 import re
 
@@ -108,6 +109,42 @@ def test_an_entity_in_one_text_is_weighed(spark):
     assert spans[5000] == "email:26:43"
 
 
+def test_terms_anywhere_in_the_document(spark):
+    """A term counts and is masked however far from the entity, each time, and however short."""
+    plain = [(i, f"plain words of text again w{i % 40} w{i % 41}", "en", "a", 1, *odd.EXTRA) for i in range(2000)]
+    far = "Quentin " + "plain words " * 200 + "once@mail.example " + "text again " * 20 + "quentin, Bo 張偉。李 İlk"
+    copy = "plain words Zebulon " + "of text " * 20 + "two@mail.example"
+    docs = plain + [(i, t, "en", "a", 1, *odd.EXTRA) for i, t in [(5000, far), (5001, copy), (5002, copy), (5003, "")]]
+    spans = {r.doc_id: r.spans for r in sanitise.find(odd.frame(spark, docs)).collect()}
+    terms = [tuple(map(int, s.split(":")[1:])) for s in spans[5000].split(",") if s.startswith("term")]
+    assert [far[a:b] for a, b in terms] == ["Quentin", "quentin", "Bo", "張偉", "李", "İlk"]
+    assert spans[5001] == spans[5002] and "term:12:19" in spans[5001].split(",")
+    masked = {r.doc_id: r.text for r in sanitise.sanitise(odd.frame(spark, docs)).collect()}
+    assert "uentin" not in masked[5000] and "張" not in masked[5000] and masked[0] == plain[0][1]
+
+
+def test_copies_without_entity_are_one_text(spark):
+    """Where documents without entities decide, their different texts are what counts."""
+    words = [f"w{i % 40} w{i % 41} of the text" for i in range(1200)]
+    held = [f"Zebulon t{i}@mail.example of the text w{i}" for i in range(1)] + [f"Zebulon same@mail.example w{i} of the text" for i in range(8)]
+    for others in (["Zebulon alone"] * 2, [f"Zebulon alone w{i}" for i in range(2)]):
+        docs = odd.frame(spark, [(i, t, "en", "a", 1, *odd.EXTRA) for i, t in enumerate(words + held + others)])
+        found = sanitise.disclosing(docs, sanitise.scan(docs.select("text"))).collect()
+        n, texts = len(words + held + others), 9 + len(set(others))
+        share, z2 = 8 / texts, sanitise.SURE**2
+        low = (share + z2 / (2 * texts) - sanitise.SURE * (share * (1 - share) / texts + z2 / (4 * texts**2)) ** 0.5) / (1 + z2 / texts)
+        reached = math.log2(n * 8 / (8 * 11) * low / share) >= sanitise.DISCLOSED * math.log2(n / 8)
+        assert (("email same@mail.example", "zebulon") in {(r.entity, r.term) for r in found}) == reached
+
+
+def test_places_of_words(spark):
+    texts = ["", " ", "a", "é😀b.c  Dd", "x " * (2 * sanitise.BLOCK), " ".join(f"w{i}" for i in range(1000)), "." * 300 + "ab"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = {r.text: [tuple(m) for m in r.at] for r in rows.select("text", sanitise.words_at(rows.text).alias("at")).collect()}
+    for t in texts:
+        assert got[t] == [(m.start(), m.end(), m[0]) for m in re.finditer(r"[^\W_]+", t)]
+
+
 def test_evidence_of_few_texts(spark):
     rows = spark.createDataFrame([(1, 1), (1, 2), (3, 3), (100, 100), (100, 200)], "k long, n long")
     parts = [r[0] for r in rows.select(sanitise.certain(rows.k, rows.n)).collect()]
