@@ -58,8 +58,8 @@ def describe(vectors: np.ndarray, pivots: np.ndarray, nearest: int = NEAREST) ->
 def described(classes: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
     """``classes`` with ``pivots``: the description, nearest first.
 
-    Where a number of components has no pivot in the sample, all such vectors share two made-up
-    ones, so they are compared with each other.
+    Where a number of components has fewer than SHARED pivots in the sample, all such vectors share
+    two made-up ones, so they are compared with each other.
     """
     shared = classes.sparkSession.sparkContext.broadcast(pivots)
 
@@ -71,7 +71,7 @@ def described(classes: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
             sizes = np.array([len(v) for v in batch])
             for d in set(sizes.tolist()):
                 at = np.nonzero(sizes == d)[0]
-                if d not in known:
+                if len(known.get(d, ())) < SHARED:
                     rows = [[-2 * d - 1, -2 * d - 2]] * len(at)
                 else:
                     rows = describe(np.stack([batch.iloc[i] for i in at]), known[d]).tolist()

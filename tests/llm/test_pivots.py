@@ -76,6 +76,14 @@ def test_odd_vectors(spark):
     assert run(spark, []) == []
 
 
+def test_a_length_with_one_pivot(spark):
+    """Two unequal near vectors of a rare length, one of them in the sample."""
+    few = spark.createDataFrame([(1, 1, [0.5, -0.25, 1.0]), (2, 1, [0.5, -0.25, 1.001])], "uid bigint, n bigint, vec array<double>")
+    index = pivots.described(few, {3: np.array([[1.0, 0.0, 0.0]])})
+    links = pivots.index_links(index).where("to is null").collect()
+    assert sorted((r.uid, r.links) for r in links) == [(1, 1), (2, 1)]
+
+
 @pytest.mark.parametrize("longest", [2048, 40])
 def test_against_all_pairs(spark, longest):
     rows = vectors(1, 300, hot=60)
