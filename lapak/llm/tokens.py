@@ -41,7 +41,6 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         vocabulary = self.tokenizer.get_vocab()
         #: Ids that end a piece.
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)

@@ -58,3 +58,14 @@ def test_batches_keep_all_rows():
     assert len(parts) == 2
     empty = pa.RecordBatch.from_pydict({"doc_id": [], "text": pa.array([], pa.string())})
     assert list(tokens.text_batches([empty])) == []
+
+
+def test_special_tokens_as_the_library_has_them():
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(tokens.vocabulary_path())
+    texts = ["<|endoftext|>", "a <|startoftext|> b", "end<|endoftext|>. Next", "<|endoftext|><|endoftext|>!", "<|ENDOFTEXT|> <| endoftext |>", "no, <|none|>"]
+    ids, _ = tokens.WordEncoder(tokens.vocabulary_path()).encode(pa.array(texts))
+    expected = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert ids.tolist() == [i for e in expected for i in e]
+    assert expected[0] == [49407] and 49406 in expected[1]
