@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import classifier, dac, mixing, packing, pivots, quality, sanitise, sharding, simhash, warc
+from . import classifier, dac, mixing, packing, pieces, pivots, quality, sanitise, sharding, simhash, warc
 from .common import table
 
 
@@ -48,11 +48,15 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.piece_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_shard, op2_near_vectors, op3_mix, op4_private, op5_quality, op6_classify, op7_token_ids,
-        op8_warc, op9_simhash, op10_pack,
+        op8_warc, op9_simhash, op10_pack, op12_pieces,
     )
 }
 SQL: dict[str, str] = {}
