@@ -18,7 +18,6 @@ import codecs
 import re
 from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -33,7 +32,7 @@ from .tokens import text_batches, vocabulary_path
 MODEL = "piece_bpe_32k.model"
 BLANK = "▁"
 #: Words and pairs of pieces that a worker remembers, and the longest word it does.
-REMEMBERED, LONGEST = 500_000, 64
+REMEMBERED, LONGEST = 400_000, 64
 NEVER = float("inf")
 #: Bytes of text, or ids, in an Arrow batch.
 BATCH = 4_000_000
@@ -81,7 +80,7 @@ class PieceModel:
         self.joint = {p[k : k + 2] for p in self.rank for k in range(len(p) - 1)}
         alone = "" if any("\n" in p for p in self.joint) else "\n"
         self.cuts = re.compile(f"{BLANK}*[^{BLANK}{alone}]+|{BLANK}+" + ("|\n+" if alone else ""))
-        self._edges()
+        self.automaton = None
         self._decoding()
 
     def _merged(self, text: str) -> tuple[list[str], tuple[str, str] | None]:
@@ -95,12 +94,14 @@ class PieceModel:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts, pair
 
-    def _edges(self) -> None:
+    def grow(self) -> None:
         """Automaton of the pieces that BPE can make, and what stands at their edges as they grow.
 
-        ``rights[id]`` lists (piece, rank) that end where the piece ends, the character first;
+        Only encoding needs them. ``rights[id]`` lists (piece, rank) that end where the piece ends, the character first;
         ``lefts[id]`` those that start where it starts.
         """
+        if self.automaton is not None:
+            return
         self.automaton = ahocorasick.Automaton()
         self.lengths = [len(t) for t in self.texts]
         split: dict[str, tuple[str, str]] = {}
@@ -205,9 +206,10 @@ class PieceEncoder:
 
     def __init__(self, model: PieceModel):
         self.model = model
-        #: Words met lately, and those of the time before.
-        self.words: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+        model.grow()
+        #: Words met lately, and those of the time before, with their ids as bytes.
+        self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.pairs: dict[int, bool] = {}
 
     def prefix_ids(self, text: str) -> list[int]:
@@ -255,7 +257,7 @@ class PieceEncoder:
             return self.model.run(blanks) + ids[1:]
         return self.model.run(blanks - 1) + ids
 
-    def known_ids(self, chunk: str) -> tuple[int, ...]:
+    def known_ids(self, chunk: str) -> bytes:
         """``chunk_ids``, remembered. A last character that no piece joins to the one before is taken by itself."""
         ids = self.words.get(chunk)
         if ids is None:
@@ -264,7 +266,7 @@ class PieceEncoder:
                 if len(chunk) > 1 and chunk[-2] != BLANK and chunk[-2:] not in self.model.joint:
                     ids = self.known_ids(chunk[:-1]) + self.known_ids(chunk[-1]) if len(chunk) <= LONGEST else None
                 if ids is None:
-                    ids = tuple(self.chunk_ids(chunk))
+                    ids = array("i", self.chunk_ids(chunk)).tobytes()
             if len(chunk) <= LONGEST:
                 self.words[chunk] = ids
         return ids
@@ -275,7 +277,7 @@ class PieceEncoder:
             return np.zeros(0, dtype=np.int32)
         if len(self.words) > REMEMBERED:
             self.words, self.older = {}, self.words
-        if len(self.pairs) > 4 * REMEMBERED:
+        if len(self.pairs) > 2 * REMEMBERED:
             self.pairs = {}
         chunks = self.model.cuts.findall(BLANK + text.replace(" ", BLANK))
         out: list = list(map(self.words.get, chunks))
@@ -283,16 +285,23 @@ class PieceEncoder:
         for _ in range(out.count(None)):
             at = out.index(None, at)
             out[at] = self.known_ids(chunks[at])
-        return np.fromiter(chain.from_iterable(out), dtype=np.int32)
+        return np.frombuffer(b"".join(out), dtype=np.int32)
 
 
+_MODELS: dict[str, PieceModel] = {}
 _ENCODERS: dict[str, PieceEncoder] = {}
 
 
+def model(path: str) -> PieceModel:
+    """One per worker process and file, kept for its later tasks."""
+    if path not in _MODELS:
+        _MODELS[path] = PieceModel(path)
+    return _MODELS[path]
+
+
 def encoder(path: str) -> PieceEncoder:
-    """One per worker process and model, kept for its later tasks."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = PieceEncoder(PieceModel(path))
+        _ENCODERS[path] = PieceEncoder(model(path))
     return _ENCODERS[path]
 
 
@@ -329,7 +338,7 @@ def decoded(rows: DataFrame, ids: str = "ids", name: str = "decoded", path: str
     others = [c for c in rows.columns if c != ids]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = encoder(path).model
+        known = model(path)
         for batch in batches:
             lists = batch.column(len(others))
             counts = np.diff(lists.offsets.to_numpy())
@@ -338,7 +347,7 @@ def decoded(rows: DataFrame, ids: str = "ids", name: str = "decoded", path: str
             for first, last in zip(cuts, cuts[1:]):
                 part = lists.slice(first, last - first)
                 flat, ends = part.flatten().to_numpy(), np.cumsum(counts[first:last])
-                texts = [model.decode(flat[e - n : e]) for e, n in zip(ends, counts[first:last])]
+                texts = [known.decode(flat[e - n : e]) for e, n in zip(ends, counts[first:last])]
                 kept = [c.slice(first, last - first) for c in batch.columns[:-1]]
                 yield pa.RecordBatch.from_arrays([*kept, pa.array(texts, pa.string())], names=[*others, name])
 
