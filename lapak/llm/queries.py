@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import classifier, dac, mixing, packing, pieces, pivots, quality, sanitise, sharding, simhash, warc
+from . import classifier, codebooks, collocations, dac, mixing, packing, pieces, pivots, quality, sanitise, sharding, simhash, warc
 from .common import table
 
 
@@ -48,15 +48,23 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codebooks.compress_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.piece_documents(table(spark, sf_dir, "documents"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_shard, op2_near_vectors, op3_mix, op4_private, op5_quality, op6_classify, op7_token_ids,
-        op8_warc, op9_simhash, op10_pack, op12_pieces,
+        op8_warc, op9_simhash, op10_pack, op11_codes, op12_pieces, op13_collocations,
     )
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op11_codes": codebooks.SQL, "op13_collocations": collocations.SQL}
