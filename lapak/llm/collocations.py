@@ -361,7 +361,7 @@ WITH pieces AS (
   SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece
   FROM (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS text FROM documents)
 ), words AS (
-  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), w -> w <> '') AS ws FROM pieces
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS ws FROM pieces
 ), grams AS (
   SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase
   FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM words, range(1, {LONGEST + 1}) t(k) WHERE len(ws) >= k)
