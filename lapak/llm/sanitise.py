@@ -11,7 +11,11 @@ Few different texts are weak evidence, so the share d(e, t) / d(t) counts with t
 confidence interval. A term whose disclosure reaches a share of the entity's information would tell
 the entity to anyone who knows the corpus, even with the entity itself masked. Wherever it stands in a document
 with the entity it is replaced by its class (number, name, word) if the class discloses less than
-the threshold, and removed otherwise.
+the threshold, and removed otherwise. Documents that do not hold the entity keep the term: the rule is
+per document, since there it gives nothing away that the document holds.
+
+Entities that stand in the same texts have the same counts with every term and are one group, so a
+text full of addresses is no product of addresses and words.
 Everything here is built-in expressions, joins and aggregates.
 """
 
@@ -47,6 +51,8 @@ _NEEDS = {
 WORDS = r"[\p{L}\p{N}]++"
 #: Words of a text that are placed in one piece.
 BLOCK = 128
+#: Terms, and bytes of them, that are sent to all tasks to be looked for; more are counted otherwise.
+SENT, SENT_BYTES = 500_000, 16_000_000
 #: Share of an entity's information a term may disclose, and the normal quantile of the one-sided
 #: 90 % interval of what few texts show.
 DISCLOSED, SURE = 0.85, 1.2815515655446004
@@ -172,7 +178,7 @@ def scan(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     ``text_id`` is the text's hash: what is found depends on the text alone.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    based = docs.select(*keep, F.sha2(text, 256).alias("text_id"), text.alias("text"), base_spans(text).alias("base"))
+    based = docs.select(*keep, F.unhex(F.sha2(text, 256)).alias("text_id"), text.alias("text"), base_spans(text).alias("base"))
     entities = F.array_distinct(F.transform("base", lambda s: F.concat(s["kind"], F.lit(" "), F.lower(s["value"]))))
     some = F.size("base") > 0
     return written(
@@ -181,68 +187,102 @@ def scan(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
-def _disclosure(n_docs: int, d_both: Column, texts: Column) -> Column:
-    """Disclosure by d_entity, and d_term and t_term (documents and texts that hold the term).
+def _disclosure(n_docs: int, d_both: Column, texts: Column, d_entity: Column, d_term: Column, t_term: Column) -> Column:
+    """Disclosure by documents with both, with the entity and with the term, and by texts with both and with the term.
 
     Both factors fall as documents and texts that hold the term are added.
     """
-    return F.log2(n_docs * d_both / (F.col("d_entity") * F.col("d_term")) * certain(texts, F.col("t_term")))
+    return F.log2(n_docs * d_both / (d_entity * d_term) * certain(texts, t_term))
+
+
+def _entries(text: Column) -> Column:
+    """Array of (term, class): the different terms of a text with the least of their classes.
+
+    Sorted by term and class, the first of equal terms stays: all of it inside the row.
+    """
+    words = F.array_distinct(F.regexp_extract_all(text, F.lit(WORDS), F.lit(0)))
+    found = F.array_sort(F.transform(words, lambda w: F.struct(lowered(w).alias("term"), _term_class(w).alias("class"))))
+    # As an argument the entries are sorted once, not for every element.
+    return F.transform(F.array(found), lambda e: F.filter(e, lambda x, i: (i == 0) | (F.get(e, i - 1)["term"] != x["term"])))[0]
 
 
-def together(scanned: DataFrame, n_docs: int) -> tuple[DataFrame, DataFrame]:
-    """The different texts with entities, and their pairs of entity and term that may disclose.
+def entity_groups(scanned: DataFrame, n_docs: int) -> tuple[DataFrame, DataFrame]:
+    """Entities with their group, and the groups of each text: text_id, group, d_entity, t_entity, limit.
 
-    Pairs have text_id, n (documents with the text), entity, d_entity, limit, term, class, and
-    d_term and t_term: the documents and texts with entities that hold the term, no more than all
-    that hold it. Pairs whose disclosure is below the limit even by these, and with the term beside
-    the entity as often as can be, are left out; they need not be counted, so no common word is.
+    Entities are one group if the same texts hold them, told by two independent 64-bit sums over the
+    texts' hashes, the number of texts and of documents. The documents and texts that hold one are
+    d_entity and t_entity; an entity that all documents hold tells nothing and has no group.
     """
-    texts = written(
-        scanned.where(F.size("base") > 0).groupBy("text_id").agg(
-            F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("text", "base", "entities")]
-        ),
-        "texts",
+    slim = written(
+        scanned.where(F.size("base") > 0).groupBy("text_id").agg(F.count(F.lit(1)).alias("n"), F.first("entities").alias("entities")), "entities"
     )
-    of_entity = texts.select("text_id", "n", F.explode("entities").alias("entity"))
-    counts = written(of_entity.groupBy("entity").agg(F.sum("n").alias("d_entity"), F.count(F.lit(1)).alias("t_entity")), "entity_counts")
-    weighed = of_entity.join(counts, "entity").withColumn("limit", DISCLOSED * F.log2(F.lit(n_docs) / F.col("d_entity")))
-    weighed = written(weighed.where(F.col("limit") > 0), "weighed")
-    word = F.col("word")
-    words = texts.select("text_id", "n", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(WORDS), F.lit(0)))).alias("word"))
-    terms = written(words.groupBy("text_id", "n", lowered(word).alias("term")).agg(F.min(_term_class(word)).alias("class")), "terms")
+    of_entity = slim.select("text_id", "n", F.explode("entities").alias("entity"))
+    marks = [F.hex(F.bit_xor(F.xxhash64(F.lit(k), "text_id"))) for k in (1, 2)]
+    counts = of_entity.groupBy("entity").agg(F.sum("n").alias("d_entity"), F.count(F.lit(1)).alias("t_entity"), F.concat_ws(":", *marks).alias("texts"))
+    counts = counts.withColumn("limit", DISCLOSED * F.log2(F.lit(n_docs) / F.col("d_entity"))).where(F.col("limit") > 0)
+    counts = written(counts.withColumn("group", F.concat_ws(":", "texts", "d_entity", "t_entity")).drop("texts"), "entity_counts")
+    groups = of_entity.select("text_id", "entity").join(counts, "entity").select("text_id", "group", "d_entity", "t_entity", "limit").distinct()
+    return counts.select("entity", "group"), written(groups, "entity_groups")
+
+
+def together(scanned: DataFrame, n_docs: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The different texts with entities, their groups, their pairs of group and term that may disclose, and the entities.
+
+    Texts have tid, text_id, n (documents with the text), text, base; pairs have tid, n, group,
+    d_entity, limit, term, class, and d_term and t_term: the documents and texts with entities that
+    hold the term, no more than all that hold it. Pairs whose disclosure is below the limit even by
+    these, and with the term beside the entity as often as can be, are left out; they need not be
+    counted, so no common word is. The bound depends on counts alone, so a term is first held
+    against the different counts of its text's entities, and only what passes meets their groups.
+    """
+    entities, groups = entity_groups(scanned, n_docs)
+    kinds = groups.groupBy("text_id").agg(F.collect_set(F.struct("d_entity", "t_entity", "limit")).alias("kinds"))
+    texts = scanned.where(F.size("base") > 0).groupBy("text_id").agg(F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("text", "base")])
+    texts = written(texts.join(kinds, "text_id", "left").withColumn("tid", F.monotonically_increasing_id()), "texts")
+    groups = written(groups.join(texts.select("text_id", "tid", "n"), "text_id").drop("text_id"), "groups")
+    terms = written(texts.select("tid", "n", "kinds", F.explode(_entries(F.col("text"))).alias("e")).select("tid", "n", "kinds", "e.term", "e.class"), "terms")
     # The share of the term's documents that hold the entity has to reach (d(e) / N) ** (1 - DISCLOSED),
     # and is d(e) / d(t) at most.
-    most = (counts.agg(F.max("d_entity")).first()[0] or 0) * max(n_docs, 1) ** (1 - DISCLOSED) * (1 + 1e-9)
+    most = (groups.agg(F.max("d_entity")).first()[0] or 0) * max(n_docs, 1) ** (1 - DISCLOSED) * (1 + 1e-9)
     held = terms.groupBy("term").agg(F.sum("n").alias("d_term"), F.count(F.lit(1)).alias("t_term"))
     held = written(held.where(F.col("d_term") <= most), "held_counts")
-    upper = _disclosure(n_docs, F.least("d_entity", "d_term"), F.least("t_entity", "t_term"))
-    pairs = terms.join(held, "term").join(weighed.drop("n"), "text_id").where(upper >= F.col("limit")).drop("t_entity")
-    return texts, written(pairs, "pairs")
 
+    def may(d_entity: Column, t_entity: Column, limit: Column) -> Column:
+        d_term, t_term = F.col("d_term"), F.col("t_term")
+        return _disclosure(n_docs, F.least(d_entity, d_term), F.least(t_entity, t_term), d_entity, d_term, t_term) >= limit
 
-def disclosing(docs: DataFrame, scanned: DataFrame, related: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
-    """entity, term, replacement: the terms that disclose an entity beyond the threshold.
+    near = terms.where("kinds is not null").join(held, "term").where(F.exists("kinds", lambda k: may(k["d_entity"], k["t_entity"], k["limit"])))
+    pairs = near.drop("kinds", "n").join(groups, "tid").where(may(F.col("d_entity"), F.col("t_entity"), F.col("limit"))).drop("t_entity")
+    return texts, groups, written(pairs, "pairs"), entities
 
-    Probabilities are shares of all documents. ``replacement`` is the class, or empty to remove.
-    ``related`` is what ``together`` gives.
-    """
-    n_docs = docs.count()
-    texts, pairs = related or together(scanned, n_docs)
+
+def _held_by_all(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """term, d_all: the documents that hold each term of ``wanted`` (term, distinct)."""
+    every = docs.select(F.explode(terms_of(F.coalesce(F.col("text").cast("string"), F.lit("")))).alias("term"))
+    n, size = wanted.agg(F.count(F.lit(1)), F.sum(F.octet_length("term"))).first()
+    if n <= SENT and (size or 0) <= SENT_BYTES:
+        return every.join(F.broadcast(wanted), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("d_all"))
+    # Summed before they meet the wanted ones, so each task sends a term once.
+    return every.groupBy("term").agg(F.count(F.lit(1)).alias("d_all")).join(wanted, "term", "left_semi")
+
+
+def _disclosing(docs: DataFrame, n_docs: int, texts: DataFrame, groups: DataFrame, pairs: DataFrame) -> DataFrame:
+    """group, term, replacement: the terms that disclose the entities of a group beyond the threshold."""
     # Copies count as documents, but not as different texts.
-    both = pairs.groupBy("entity", "term", "d_entity", "limit", "d_term", "t_term").agg(
+    both = pairs.groupBy("group", "term", "d_entity", "limit", "d_term", "t_term").agg(
         F.sum("n").alias("d_both"), F.count(F.lit(1)).alias("texts"), F.min("class").alias("class")
     )
 
     def reaching(rows: DataFrame) -> DataFrame:
-        return rows.where(_disclosure(n_docs, F.col("d_both"), F.col("texts")) >= F.col("limit"))
+        columns = [F.col(c) for c in ("d_both", "texts", "d_entity", "d_term", "t_term")]
+        return rows.where(_disclosure(n_docs, *columns) >= F.col("limit"))
 
     candidates = written(reaching(both), "candidates")
     if candidates.isEmpty():
-        return candidates.select("entity", "term", F.col("class").alias("replacement"))
+        return candidates.select("group", "term", F.col("class").alias("replacement"))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     per_class = docs.agg(*[F.count(F.when(text.rlike(p), 1)) for p in CLASSES.values()]).first()
-    # Summed before they meet the candidates, so each task sends a term once.
-    all_held = docs.select(F.explode(terms_of(text)).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("d_all"))
+    all_held = _held_by_all(docs, written(candidates.select("term").distinct(), "wanted"))
     counted = candidates.join(all_held, "term").withColumns({"d_term": F.col("d_all"), "d_out": F.col("d_all") - F.col("d_term")})
     # The documents without entities that hold the term are between one text (or none) and as many
     # as they are. Only where that leaves the decision open are their different texts counted.
@@ -250,36 +290,46 @@ def disclosing(docs: DataFrame, scanned: DataFrame, related: tuple[DataFrame, Da
     open_ = written(reaching(counted.withColumn("t_held", F.col("t_term")).withColumn("t_term", fewest)), "open")
     open_ = open_.withColumn("t_term", F.col("t_held") + F.col("d_out"))
     sure = reaching(open_)
-    unsure = written(open_.join(sure.select("entity", "term"), ["entity", "term"], "left_anti"), "unsure")
-    known = sure.select("entity", "term", "class", "d_entity", "limit")
+    unsure = written(open_.join(sure.select("group", "term"), ["group", "term"], "left_anti"), "unsure")
+    known = sure.select("group", "term", "class", "d_entity", "limit")
     if not unsure.isEmpty():
-        hashed = docs.select(F.sha2(text, 256).alias("text_id"), text.alias("text"))
+        hashed = docs.select(F.unhex(F.sha2(text, 256)).alias("text_id"), text.alias("text"))
         rows = hashed.select("text_id", F.explode(terms_of(F.col("text"))).alias("term")).join(unsure.select("term").distinct(), "term", "left_semi")
         t_all = rows.distinct().groupBy("term").agg(F.count(F.lit(1)).alias("t_all"))
         exact = reaching(unsure.join(t_all, "term").withColumn("t_term", F.col("t_all")))
-        known = known.unionByName(exact.select("entity", "term", "class", "d_entity", "limit"))
+        known = known.unionByName(exact.select("group", "term", "class", "d_entity", "limit"))
     classes = F.filter(F.array(*[F.when(F.col("text").rlike(p), F.lit(c)) for c, p in CLASSES.items()]), lambda c: c.isNotNull())
-    with_class = texts.select("n", "entities", classes.alias("classes")).select("n", "entities", F.explode("classes").alias("class"))
-    with_class = with_class.select("n", "class", F.explode("entities").alias("entity"))
-    d_class = written(with_class.groupBy("entity", "class").agg(F.sum("n").alias("d_both_class")), "class_counts")
+    with_class = texts.select("tid", classes.alias("classes")).select("tid", F.explode("classes").alias("class"))
+    d_class = with_class.join(groups.select("tid", "group", "n"), "tid").groupBy("group", "class").agg(F.sum("n").alias("d_both_class"))
     total = F.array(*[F.lit(int(c)) for c in per_class])
     position = F.array_position(F.array(*[F.lit(c) for c in CLASSES]), F.col("class")).cast("int")
     by_class = F.log2(n_docs * F.col("d_both_class") / (F.col("d_entity") * F.greatest(F.element_at(total, position), F.lit(1))))
     replacement = F.when(by_class < F.col("limit"), F.col("class")).otherwise(F.lit(""))
-    known = known.join(d_class, ["entity", "class"])
-    return written(known.select("entity", "term", replacement.alias("replacement")), "disclosing")
+    known = known.join(written(d_class, "class_counts"), ["group", "class"])
+    return written(known.select("group", "term", replacement.alias("replacement")), "disclosing")
+
+
+def disclosing(docs: DataFrame, scanned: DataFrame) -> DataFrame:
+    """entity, term, replacement: the terms that disclose an entity beyond the threshold.
+
+    Probabilities are shares of all documents. ``replacement`` is the class, or empty to remove.
+    """
+    n_docs = docs.count()
+    texts, groups, pairs, entities = together(scanned, n_docs)
+    return entities.join(_disclosing(docs, n_docs, texts, groups, pairs), "group").select("entity", "term", "replacement")
 
 
 def term_spans(docs: DataFrame, scanned: DataFrame) -> DataFrame:
     """text_id, terms (kind, start, end, value: the replacement) of texts with disclosing terms."""
-    texts, pairs = related = together(scanned, docs.count())
-    hits = pairs.join(disclosing(docs, scanned, related), ["entity", "term"])
+    n_docs = docs.count()
+    texts, groups, pairs, _ = together(scanned, n_docs)
+    hits = pairs.join(_disclosing(docs, n_docs, texts, groups, pairs), ["group", "term"])
     # For two entities a term is one span; removing goes before generalising.
-    hits = written(hits.groupBy("text_id", "term").agg(F.min("replacement").alias("replacement")), "hits")
-    placed = texts.join(hits.select("text_id").distinct(), "text_id", "left_semi").select("text_id", F.explode(words_at(F.col("text"))).alias("t"))
-    hit = placed.select("text_id", "t", lowered(F.col("t.value")).alias("term")).join(hits, ["text_id", "term"])
+    hits = written(hits.groupBy("tid", "term").agg(F.min("replacement").alias("replacement")), "hits")
+    placed = texts.join(hits.select("tid").distinct(), "tid", "left_semi").select("tid", F.explode(words_at(F.col("text"))).alias("t"))
+    hit = placed.select("tid", "t", lowered(F.col("t.value")).alias("term")).join(hits, ["tid", "term"])
     span = F.struct(F.lit(TERM).alias("kind"), F.col("t.start").alias("start"), F.col("t.end").alias("end"), F.col("replacement").alias("value"))
-    spans = hit.groupBy("text_id").agg(F.sort_array(F.collect_list(span)).alias("terms")).join(texts.select("text_id", "base"), "text_id")
+    spans = hit.groupBy("tid").agg(F.sort_array(F.collect_list(span)).alias("terms")).join(texts.select("tid", "text_id", "base"), "tid")
     outside = F.filter("terms", lambda t: ~F.exists("base", lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
     return written(spans.select("text_id", outside.alias("terms")), "term_spans")
 
@@ -292,12 +342,14 @@ def find(docs: DataFrame) -> DataFrame:
     narrow = docs.select("doc_id", "text")
     scanned = scan(narrow, ("doc_id",))
     terms = term_spans(narrow, scanned).withColumnRenamed("text_id", "of")
-    rows = scanned.join(terms, F.col("text_id") == F.col("of"), "left")
+    none = F.array().cast("array<struct<kind:string,start:int,end:int,value:string>>")
+    # Only rows that hold an entity are moved to meet their terms.
+    with_terms = scanned.where(F.size("base") > 0).select("doc_id", "text_id", "base").join(terms, F.col("text_id") == F.col("of"), "left")
+    rows = scanned.where(F.size("base") == 0).select("doc_id", "base", none.alias("terms")).unionByName(with_terms.select("doc_id", "base", "terms"))
 
     def count(kind: str) -> Column:
         return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
-    none = F.array().cast("array<struct<kind:string,start:int,end:int,value:string>>")
     return rows.select(
         "doc_id",
         *map(count, KINDS),

@@ -2,9 +2,11 @@ import hashlib
 import math
 import random
 import re
+from collections import Counter, defaultdict
 
 import odd
 import pytest
+import regex
 
 from lapak.llm import sanitise
 
@@ -180,3 +182,96 @@ def test_odd_documents(spark):
     docs = odd.documents()
     assert sanitise.find(odd.frame(spark)).count() == len(docs)
     assert sorted(map(str, sanitise.sanitise(odd.frame(spark)).collect())) == sorted(map(str, odd.frame(spark).collect()))
+
+
+CLASS_OF_TEXT = {"NUMBER": r"\p{N}", "NAME": r"(?<![\p{L}\p{N}])\p{Lu}", "WORD": r"(?<![\p{L}\p{N}])(?!\p{Lu})\p{L}"}
+
+
+def brute_spans(texts):
+    """Spans of every text by the definition: all pairs of entity and term, all counts in memory."""
+    n = len(texts)
+    low = lambda t: t.replace("İ", "i").lower().replace("ς", "σ")
+    kind = lambda w: "NUMBER" if regex.search(r"\p{N}", w) else "NAME" if regex.match(r"\p{Lu}", w) else "WORD"
+    copies, terms, entities, classes = Counter(t or "" for t in texts), {}, {}, {}
+    for t in copies:
+        words = regex.findall(r"[\p{L}\p{N}]+", t)
+        terms[t] = {}
+        for w in words:
+            terms[t][low(w)] = min(kind(w), terms[t].get(low(w), "Z"))
+        entities[t] = {f"{k} {t[a:b].lower()}" for k, a, b in brute(t)}
+        classes[t] = {c for c, p in CLASS_OF_TEXT.items() if regex.search(p, t)}
+    d_e, d_t, t_t, d_c = Counter(), Counter(), Counter(), Counter()
+    d_et, t_et, d_ec, least = Counter(), Counter(), Counter(), {}
+    for t, k in copies.items():
+        for e in entities[t]:
+            d_e[e] += k
+            d_ec.update({(e, c): k for c in classes[t]})
+            for w, c in terms[t].items():
+                d_et[e, w] += k
+                t_et[e, w] += 1
+                least[e, w] = min(c, least.get((e, w), "Z"))
+        d_c.update({c: k for c in classes[t]})
+        d_t.update({w: k for w in terms[t]})
+        t_t.update(terms[t].keys())
+    found = {}
+    z = sanitise.SURE
+    for (e, w), both in d_et.items():
+        limit = sanitise.DISCLOSED * math.log2(n / d_e[e])
+        share, of = t_et[e, w] / t_t[w], t_t[w]
+        low_end = (share + z * z / (2 * of) - z * math.sqrt(share * (1 - share) / of + z * z / (4 * of * of))) / (1 + z * z / of)
+        if limit > 0 and math.log2(n * both / (d_e[e] * d_t[w])) * 1.0 + math.log2(low_end / share) >= limit:
+            c = least[e, w]
+            found[e, w] = c if math.log2(n * d_ec[e, c] / (d_e[e] * d_c[c])) < limit else ""
+    out = []
+    for t in texts:
+        t = t or ""
+        base = brute(t)
+        hits = defaultdict(list)
+        for e in entities[t]:
+            for w in terms[t]:
+                if (e, w) in found:
+                    hits[w].append(found[e, w])
+        spans = [("term", m.start(), m.end()) for m in regex.finditer(r"[\p{L}\p{N}]+", t)
+                 if low(m[0]) in hits and not any(a < m.end() and m.start() < b for _, a, b in base)]
+        out.append(",".join(f"{k}:{a}:{b}" for k, a, b in [*base, *spans]))
+    return out, found
+
+
+@pytest.mark.parametrize("seed, sure", [(1, 0.1), (2, 0.4), (3, 1.2815515655446004)])
+def test_disclosed_terms_against_memory(spark, monkeypatch, seed, sure):
+    monkeypatch.setattr(sanitise, "SURE", sure)
+    if seed == 2:
+        monkeypatch.setattr(sanitise, "SENT", 0)
+    rng = random.Random(seed)
+    names = ["Zebulon", "zebulon", "Quentin", "ΣΟΦΟΣ", "σοφος", "İlk", "x9", "張偉", "Bo"]
+    texts = []
+    for i in range(500):
+        text = odd.words(rng, rng.randint(0, 25), 80)
+        for k in range(rng.choice([0, 0, 0, 1, 2])):
+            mail = rng.randint(0, 30)
+            text += f" {rng.choice(['mail', 'Mail'])} u{mail}@mail.example" + (f" {names[mail % len(names)]}" if rng.random() < 0.7 else "")
+        if rng.random() < 0.1:
+            text += " " + rng.choice(names)
+        texts += [text] * rng.choice([1, 1, 1, 4])
+    texts += [None, "", "+1 234 567 8901 unique words", "lone@mail.example"]
+    docs = odd.frame(spark, [(i, t, None, None, None, *odd.EXTRA) for i, t in enumerate(texts)])
+    expected, pairs = brute_spans(texts)
+    scanned = sanitise.scan(docs.select("text"))
+    assert {(r.entity, r.term): r.replacement for r in sanitise.disclosing(docs, scanned).collect()} == pairs
+    assert len(pairs) > 20 and {"", "WORD"} <= set(pairs.values()) | {""}
+    got = {r.doc_id: r.spans for r in sanitise.find(docs).collect()}
+    assert [got[i] for i in range(len(texts))] == expected
+
+
+def test_pairs_of_a_text_full_of_addresses_stay_linear(spark):
+    """2,000 addresses and 10,000 words in one text: pairs by group, not by address."""
+    full = " ".join(f"a{i}@mail.example" for i in range(2000)) + " " + " ".join(f"v{i}q" for i in range(10_000))
+    docs = [(i, f"plain words of text again w{i % 40} w{i % 41}", "en", "a", 1, *odd.EXTRA) for i in range(1500)]
+    docs += [(5000, full, "en", "a", 1, *odd.EXTRA), (5001, "a1@mail.example again", "en", "a", 1, *odd.EXTRA)]
+    frame = odd.frame(spark, docs)
+    scanned = sanitise.scan(frame.select("doc_id", "text"), ("doc_id",))
+    _, groups, pairs, entities = sanitise.together(scanned, len(docs))
+    assert entities.count() == 2000 and groups.count() == 3
+    assert pairs.count() < 3 * 14_000
+    spans = {r.doc_id: r.spans for r in sanitise.find(frame).collect()}
+    assert spans[5000].count("term:") == 10_000 and spans[5000].count("email:") == 2000
