@@ -34,8 +34,8 @@ LONGEST, LEAST = 4, 30
 #: A candidate goes where a longer one around it has this share, in percent, of its occurrences.
 COVERED = 80
 SCALE, TOP = 2_000_000, 2000
-#: Words of a text in one block.
-BLOCK = 50_000
+#: Words of a text in one block, and occurrences that are joined at once.
+BLOCK, JOINED = 10_000, 2_000_000
 #: Frequent words or phrases that are looked up in memory, and bytes of such words.
 LOOKUP, LOOKUP_BYTES = 1_000_000, 32_000_000
 #: Bytes of text that are split at once.
@@ -99,7 +99,10 @@ def _blocks_of(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _relation(ids: np.ndarray, counts: np.ndarray, next_block: int) -> pa.RecordBatch:
-    """R1 of texts whose words have ``ids``, -1 for what is not frequent or ends a piece."""
+    """R1 of texts whose words have ``ids``, -1 for what is not frequent or ends a piece.
+
+    ``at`` and ``found`` are NULL: a word's own occurrences are those in front of ``until``.
+    """
     start, end, first = _blocks_of(counts)
     total = np.repeat(np.cumsum(counts), np.maximum(-(-counts // BLOCK), 1))
     beyond = np.minimum(end + LONGEST - 1, total)  # the words that follow a block
@@ -109,11 +112,10 @@ def _relation(ids: np.ndarray, counts: np.ndarray, next_block: int) -> pa.Record
     kept = ids[where] >= 0
     where, owner = where[kept], owner[kept]
     places, words, until = where - first[owner], ids[where], end - first
-    inside = places < until[owner]
-    per, own = np.bincount(owner, minlength=len(start)), np.bincount(owner[inside], minlength=len(start))
+    per, none = np.bincount(owner, minlength=len(start)), pa.nulls(len(start))
     return pa.RecordBatch.from_arrays(
         [pa.array(np.arange(next_block, next_block + len(start))), pa.array(until, pa.int32()), _lists(places, per, pa.int32()),
-         _lists(words, per, pa.int64()), _lists(places[inside], own, pa.int32()), _lists(words[inside], own, pa.int64())], schema=_LISTS
+         _lists(words, per, pa.int64()), none.cast(pa.list_(pa.int32())), none.cast(pa.list_(pa.int64()))], schema=_LISTS
     )
 
 
@@ -123,8 +125,8 @@ def _task_base() -> int:
 
 
 def first_relation(texts: DataFrame, words: DataFrame) -> DataFrame:
-    """R1 in blocks: block, until (the first place behind it), places and words (with what follows
-    the block), at and found (those that start in it). ``words`` has lang, word, id."""
+    """R1 in blocks: block, until (the first place behind it), places and words, with what follows
+    the block. ``words`` has lang, word, id."""
     n, size = words.agg(F.count(F.lit(1)), F.sum(F.octet_length("word"))).first()
     if n <= LOOKUP and (size or 0) <= LOOKUP_BYTES:
         known: dict = {}
@@ -166,29 +168,46 @@ def first_relation(texts: DataFrame, words: DataFrame) -> DataFrame:
     rows = texts.mapInArrow(spell, "block bigint, until int, lang string, place int, word string")
     met = rows.join(words.select("lang", "word", "id"), ["lang", "word"])
     lists = met.groupBy("block", "until").agg(F.sort_array(F.collect_list(F.struct("place", F.col("id").alias("word")))).alias("all"))
-    own = F.filter("all", lambda o: o["place"] < F.col("until"))
-    return written(
-        lists.select("block", "until", F.col("all.place").alias("places"), F.col("all.word").alias("words"), own.place.alias("at"), own.word.alias("found")),
-        "occurrences",
-    )
+    none = [F.lit(None).cast(f"array<{kind}>").alias(n) for n, kind in (("at", "int"), ("found", "bigint"))]
+    return written(lists.select("block", "until", F.col("all.place").alias("places"), F.col("all.word").alias("words"), *none), "occurrences")
+
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches cut to about JOINED occurrences."""
+    for batch in batches:
+        part = np.cumsum(pc.list_value_length(batch["places"]).to_numpy(), dtype=np.int64) // JOINED
+        cuts = [0, *(np.nonzero(np.diff(part))[0] + 1).tolist(), batch.num_rows]
+        for first, last in zip(cuts, cuts[1:]):
+            if last > first:
+                yield batch.slice(first, last - first)
 
-def _adjacent(batch: pa.RecordBatch, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Merge-join of R(k-1) and R1: the numbers of the occurrences in ``found`` that go on, and of the words they go on with.
 
-    Places are moved apart block by block, so one pass serves all blocks of the batch; the third
-    array has the block of each occurrence.
+class Joined:
+    """Merge-join of R(k-1) and R1 in the blocks of a batch: occurrences that go on with a frequent word.
+
+    Places are moved apart block by block, so one pass serves all blocks.
     """
-    wide = pc.list_value_length(batch["places"]).to_numpy()
-    many = pc.list_value_length(batch["at"]).to_numpy()
-    base = np.arange(batch.num_rows, dtype=np.int64) << 32
-    places = batch["places"].flatten().to_numpy() + np.repeat(base, wide)
-    wanted = batch["at"].flatten().to_numpy() + (k - 1) + np.repeat(base, many)
-    if not len(places):
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    to = np.minimum(np.searchsorted(places, wanted), len(places) - 1)
-    met = np.nonzero(places[to] == wanted)[0]
-    return met, to[met], np.repeat(np.arange(batch.num_rows), many)[met]
+
+    def __init__(self, batch: pa.RecordBatch, k: int):
+        self.wide = pc.list_value_length(batch["places"]).to_numpy()
+        self.places, self.words = batch["places"].flatten().to_numpy(), batch["words"].flatten().to_numpy()
+        base = np.arange(batch.num_rows, dtype=np.int64) << 32
+        owner = np.repeat(np.arange(batch.num_rows), self.wide)
+        if k == 2:  # words are their own occurrences, where they start in the block
+            own = self.places < batch["until"].to_numpy()[owner]
+            starts, found, block = self.places[own], self.words[own], owner[own]
+        else:
+            starts, found = batch["at"].flatten().to_numpy(), batch["found"].flatten().to_numpy()
+            block = np.repeat(np.arange(batch.num_rows), pc.list_value_length(batch["at"]).to_numpy())
+        wanted, there = starts + (k - 1) + base[block], self.places + base[owner]
+        if len(there):
+            to = np.minimum(np.searchsorted(there, wanted), len(there) - 1)
+            met = there[to] == wanted
+        else:
+            to, met = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=bool)
+        #: Per occurrence: where it starts, the phrase so far, the word that follows (its number in R1 and id), its block.
+        self.at, self.found, self.to, self.block = starts[met], found[met], to[met], block[met]
+        self.next = self.words[self.to]
 
 
 def _pairs(found: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -204,10 +223,10 @@ def phrase_counts(blocks: DataFrame, k: int) -> DataFrame:
     schema = pa.schema([("prefix", pa.int64()), ("last", pa.int64()), ("f", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            met, to, _ = _adjacent(batch, k)
-            if len(met):
-                columns = _pairs(batch["found"].flatten().to_numpy()[met], batch["words"].flatten().to_numpy()[to])
+        for part in _parts(batches):
+            joined = Joined(part, k)
+            if len(joined.at):
+                columns = _pairs(joined.found, joined.next)
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=schema)
 
     return blocks.mapInArrow(count, "prefix bigint, last bigint, f bigint").groupBy("prefix", "last").agg(F.sum("f").alias("f"))
@@ -245,22 +264,20 @@ def next_relation(blocks: DataFrame, phrases: DataFrame, k: int, longest: int =
         shared = blocks.sparkSession.sparkContext.broadcast(Lookup(*[rows[c].to_numpy(dtype=np.int64) for c in ("prefix", "last", "id")]))
 
         def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                met, to, block = _adjacent(batch, k)
-                all_words = batch["words"].flatten().to_numpy()
-                ids = shared.value(batch["found"].flatten().to_numpy()[met], all_words[to])
+            for part in _parts(batches):
+                joined, n = Joined(part, k), part.num_rows
+                ids = shared.value(joined.found, joined.next)
                 kept = ids >= 0
-                at, block = batch["at"].flatten().to_numpy()[met[kept]], block[kept]
-                after = np.zeros(len(all_words), dtype=bool)
+                after = np.zeros(len(joined.words), dtype=bool)
                 # What is adjacent to an occurrence, if frequent, stands right behind its last word in R1.
                 for step in range(1, longest - k + 1):
-                    behind = to[kept] + step
+                    behind = joined.to[kept] + step
                     after[behind[behind < len(after)]] = True
-                owner = np.repeat(np.arange(batch.num_rows), pc.list_value_length(batch["places"]).to_numpy())
-                many, wide = np.bincount(block, minlength=batch.num_rows), np.bincount(owner[after], minlength=batch.num_rows)
+                many = np.bincount(joined.block[kept], minlength=n)
+                wide = np.bincount(np.repeat(np.arange(n), joined.wide)[after], minlength=n)
                 yield pa.RecordBatch.from_arrays(
-                    [batch["block"], batch["until"], _lists(batch["places"].flatten().to_numpy()[after], wide, pa.int32()),
-                     _lists(all_words[after], wide, pa.int64()), _lists(at, many, pa.int32()), _lists(ids[kept], many, pa.int64())], schema=_LISTS
+                    [part["block"], part["until"], _lists(joined.places[after], wide, pa.int32()), _lists(joined.words[after], wide, pa.int64()),
+                     _lists(joined.at[kept], many, pa.int32()), _lists(ids[kept], many, pa.int64())], schema=_LISTS
                 )
 
         return written(blocks.mapInArrow(look_up, _BLOCKS), "occurrences")
@@ -268,9 +285,9 @@ def next_relation(blocks: DataFrame, phrases: DataFrame, k: int, longest: int =
     starts = pa.schema([("of", pa.int64()), ("start", pa.int32()), ("prefix", pa.int64()), ("last", pa.int64())])
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            met, to, block = _adjacent(batch, k)
-            columns = [batch["block"].to_numpy()[block], *[batch[c].flatten().to_numpy()[i] for c, i in (("at", met), ("found", met), ("words", to))]]
+        for part in _parts(batches):
+            joined = Joined(part, k)
+            columns = [part["block"].to_numpy()[joined.block], joined.at, joined.found, joined.next]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, starts)], schema=starts)
 
     rows = blocks.mapInArrow(spell, "of bigint, start int, prefix bigint, last bigint")

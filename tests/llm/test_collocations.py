@@ -70,6 +70,7 @@ def test_against_memory(spark, monkeypatch, lookup, block):
     """Whatever the blocks, and whether frequent groups are looked up or joined."""
     monkeypatch.setattr(collocations, "LOOKUP", lookup)
     monkeypatch.setattr(collocations, "BLOCK", block)
+    monkeypatch.setattr(collocations, "JOINED", 20 * block)
     docs = corpus()
     assert result(collocations.collocations(frame(spark, docs), 5, 60)) == brute(docs, 5, 60)
 
