@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import string
+import unicodedata
 from collections.abc import Iterable, Iterator, Sequence
 from itertools import repeat
 
@@ -96,13 +97,19 @@ class WordEncoder:
             else:  # a letter that the library sees otherwise
                 self._any_words(part)
 
+    @staticmethod
+    def _ends_in_letter(head: str) -> bool:
+        """Whether the library sees a letter at the end: some, normalised, end in a combining mark,
+        which it joins to the marks behind."""
+        return head.isascii() or unicodedata.normalize("NFC", head).lower()[-1].isalpha()
+
     def _learn(self, new: Sequence[str]) -> None:
         """A word of letters, with marks behind or not, has the ids of its letters and its marks."""
         split, letters, marks, others = [], {}, {}, []
         known = self.index
         for word in new:
             head = word.rstrip(MARKS)
-            if head.isalpha():
+            if head.isalpha() and self._ends_in_letter(head):
                 tail = word[len(head) :]
                 if head.isascii():
                     head = head.lower()
