@@ -35,6 +35,14 @@ LIST = 2048
 COSINE = 0.9
 
 
+def unit(vectors: np.ndarray) -> np.ndarray:
+    """Rows of length 1, in double precision. Divided by their largest component first, no square
+    is too large or too small for a double."""
+    rows = np.asarray(vectors, dtype=np.float64)
+    rows = rows / np.abs(rows).max(axis=1, keepdims=True)
+    return rows / np.linalg.norm(rows, axis=1, keepdims=True)
+
+
 def pivot_sample(classes: DataFrame, seed: int = 3) -> dict[int, np.ndarray]:
     """Unit pivots per number of components."""
     n = classes.count()
@@ -43,7 +51,7 @@ def pivot_sample(classes: DataFrame, seed: int = 3) -> dict[int, np.ndarray]:
     out: dict[int, list] = {}
     for r in rows:
         out.setdefault(len(r.vec), []).append(r.vec)
-    return {d: (v := np.array(vs)) / np.linalg.norm(v, axis=1)[:, None] for d, vs in out.items()}
+    return {d: unit(vs) for d, vs in out.items()}
 
 
 def describe(vectors: np.ndarray, pivots: np.ndarray, nearest: int = NEAREST) -> np.ndarray:
@@ -74,7 +82,7 @@ def described(classes: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
                 if len(known.get(d, ())) < SHARED:
                     rows = [[-2 * d - 1, -2 * d - 2]] * len(at)
                 else:
-                    rows = describe(np.stack([batch.iloc[i] for i in at]), known[d]).tolist()
+                    rows = describe(unit(np.stack([batch.iloc[i] for i in at])), known[d]).tolist()
                 for i, row in zip(at.tolist(), rows):
                     out[i] = row
             yield pd.Series(out)
@@ -83,9 +91,12 @@ def described(classes: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
 
 
 def _lists(rows: DataFrame, longest: int) -> DataFrame:
-    """Postings ``p, q, x, y`` (pivot, second pivot or NULL, tile pair) with the class's columns."""
+    """Postings ``p, q, x, y`` (pivot, second pivot or NULL, tile pair) with the class's columns.
+
+    A class has none under its largest pivot, which is never the smallest of two shared ones.
+    """
     columns = [F.col(c) for c in rows.columns]
-    first = rows.select(*columns, F.explode("pivots").alias("p"))
+    first = rows.select(*columns, F.explode(F.array_remove("pivots", F.array_max("pivots"))).alias("p"))
     # One row per pivot: bounded by the number of pivots.
     sizes = written(first.groupBy("p").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "lists")
     sized = first.join(sizes, "p")
@@ -119,7 +130,7 @@ def compare_list(vectors: np.ndarray, pivots: list[np.ndarray], weight: np.ndarr
     lower = np.zeros(words * 64, dtype=bool)
     lower[: len(names)] = names < p if q is None else (names < q) & (names != p)
     before = np.packbits(lower, bitorder="little").view("<u8")
-    unit = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+    directions = unit(vectors)
     links = np.zeros(n, dtype=np.int64)
     joined: list = []
     label = list(range(n))
@@ -141,7 +152,7 @@ def compare_list(vectors: np.ndarray, pivots: list[np.ndarray], weight: np.ndarr
         near = np.empty(len(i), dtype=bool)
         for k in range(0, len(i), 100_000):
             part = slice(k, k + 100_000)
-            near[part] = np.einsum("ij,ij->i", unit[i[part]], unit[j[part]]) >= least
+            near[part] = np.einsum("ij,ij->i", directions[i[part]], directions[j[part]]) >= least
         i, j = i[near], j[near]
         links += np.bincount(i, weights=weight[j], minlength=n).astype(np.int64) + np.bincount(j, weights=weight[i], minlength=n).astype(np.int64)
         joined += spanning_links(i, j, label)
@@ -188,11 +199,13 @@ def near_vectors(table: DataFrame, least: float = COSINE, longest: int = LIST) -
     are their own component; so is every vector without link. A component's id is its smallest
     vec_id that is not NULL. Repeated rows are linked with one another.
     """
+    # Single precision stays as it is stored, half as large when it is moved; sums are of doubles.
+    kind = "float" if table.schema["embedding"].dataType.simpleString() == "array<float>" else "double"
     rows = written(
         table.select(
             F.monotonically_increasing_id().alias("uid"),
             F.col("vec_id"),
-            F.col("embedding").cast("array<double>").alias("vec"),
+            F.col("embedding").cast(f"array<{kind}>").alias("vec"),
         ).withColumn("usable", usable(F.col("vec"))),
         "vectors",
     )
@@ -218,7 +231,21 @@ def near_vectors(table: DataFrame, least: float = COSINE, longest: int = LIST) -
 
 
 def usable(vec):
-    """Whether a vector has a direction: no NULL or non-finite component, and a finite length above 0."""
-    square = F.aggregate(vec, F.lit(0.0), lambda total, x: total + x * x)
+    """Whether a vector has a direction: all components are finite, and one at least is not 0."""
     sound = F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x))
-    return F.coalesce(sound & (square > 0) & (square < float("inf")), F.lit(False))
+    largest = F.array_max(F.transform(vec, F.abs))
+    return F.coalesce(sound & (largest > 0) & (largest < float("inf")), F.lit(False))
+
+
+SQL = f"""
+WITH RECURSIVE v AS MATERIALIZED (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_max(list_transform(embedding, lambda x: abs(x))) > 0
+), links AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= {COSINE}
+), reached AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b
+), smallest AS (SELECT a, min(b) AS b FROM reached GROUP BY a
+), degrees AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(b, vec_id)) AS component_id, vec_id <= coalesce(b, vec_id) AS kept
+FROM embeddings e LEFT JOIN smallest s ON s.a = e.vec_id LEFT JOIN degrees d ON d.a = e.vec_id
+"""

@@ -67,4 +67,4 @@ QUERIES = {
         op8_warc, op9_simhash, op10_pack, op11_codes, op12_pieces, op13_collocations,
     )
 }
-SQL: dict[str, str] = {"op11_codes": codebooks.SQL, "op13_collocations": collocations.SQL}
+SQL: dict[str, str] = {"op2_near_vectors": pivots.SQL, "op11_codes": codebooks.SQL, "op13_collocations": collocations.SQL}

@@ -124,3 +124,42 @@ def test_recall_at_the_limit():
     shared = np.array([len(np.intersect1d(x, y)) for x, y in zip(one, two)])
     print("recall", (shared >= pivots.SHARED).mean())
     assert (shared >= pivots.SHARED).mean() >= 0.9
+
+
+def test_lengths_whose_squares_no_double_holds(spark):
+    rows = [(1, [1e200, 0.0]), (2, [1e200, 1.0]), (3, [1e-200, 0.0]), (4, [1e-200, 0.0]), (5, [0.0, -1e300]), (6, [5e-324, 5e-324]), (7, [1e-320, 1e-320])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in pivots.near_vectors(df).collect()}
+    assert got == {1: (3, 1), 2: (3, 1), 3: (3, 1), 4: (3, 1), 5: (0, 5), 6: (1, 6), 7: (1, 6)}
+
+
+def beside(rng, v, cosine):
+    """A vector at just this cosine from ``v``."""
+    side = rng.normal(size=len(v))
+    side -= side @ v / (v @ v) * v
+    side *= np.linalg.norm(v) / np.linalg.norm(side)
+    return cosine * v + math.sqrt(1 - cosine * cosine) * side
+
+
+@pytest.mark.parametrize("place", ["alone", "in clusters"])
+@pytest.mark.parametrize("cosine", [0.9005, 0.92, 0.95])
+def test_recall_of_planted_pairs(spark, place, cosine):
+    """Pairs planted beside the given vectors, which hold none, and inside dense clusters of them."""
+    rng = np.random.default_rng(11)
+    given = np.array(pq.read_table("/root/testdata/sf0.1/embeddings.parquet")["embedding"].to_pylist(), dtype=np.float64)
+    if place == "alone":
+        bases, others = given[:600], given[600:]
+    else:  # five centres with 300 vectors around each, pairs beside some of those
+        around = np.concatenate([[beside(rng, c, rng.uniform(0.93, 0.99)) for _ in range(300)] for c in given[:5]])
+        bases, others = around[::3], np.concatenate([given[5:], around])
+    pairs = [(b, beside(rng, b, cosine)) for b in bases]
+    rows = [(i, v.tolist()) for i, v in enumerate([*others, *[v for p in pairs for v in p]])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    classes = df.selectExpr("vec_id as uid", "1L as n", "embedding as vec")
+    index = pivots.described(classes, pivots.pivot_sample(classes)).where(f"uid >= {len(others)}").orderBy("uid").collect()
+    near = [len(set(a.pivots) & set(b.pivots)) >= pivots.SHARED for a, b in zip(index[::2], index[1::2])]
+    print("recall", place, cosine, np.mean(near))
+    assert len(near) == len(pairs) and np.mean(near) >= 0.9
+    if place == "alone":  # of all links, which are the planted ones
+        got = sum(r.n_links for r in pivots.near_vectors(df).collect())
+        assert 0.9 * 2 * len(pairs) <= got <= 2 * len(pairs)
