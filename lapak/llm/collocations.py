@@ -35,11 +35,11 @@ LONGEST, LEAST = 4, 30
 COVERED = 80
 SCALE, TOP = 2_000_000, 2000
 #: Words of a text in one block, and occurrences that are joined at once.
-BLOCK, JOINED = 10_000, 2_000_000
+BLOCK, JOINED = 10_000, 500_000
 #: Frequent words or phrases that are looked up in memory, and bytes of such words.
 LOOKUP, LOOKUP_BYTES = 1_000_000, 32_000_000
 #: Bytes of text that are split at once.
-BATCH = 16_000_000
+BATCH = 8_000_000
 
 _BLOCKS = "block bigint, until int, places array<int>, words array<bigint>, at array<int>, found array<bigint>"
 _LISTS = pa.schema(
@@ -61,6 +61,7 @@ def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
 def by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.Array]]:
     """Texts of one language each, in order."""
     for part in text_batches(batches, BATCH):
+        pa.default_memory_pool().release_unused()
         for lang in part["lang"].unique().to_pylist():
             yield lang, part["text"].filter(pc.equal(part["lang"], lang))
 
@@ -173,8 +174,9 @@ def first_relation(texts: DataFrame, words: DataFrame) -> DataFrame:
 
 
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches cut to about JOINED occurrences."""
+    """Batches cut to about JOINED occurrences; memory of earlier ones is given back."""
     for batch in batches:
+        pa.default_memory_pool().release_unused()
         part = np.cumsum(pc.list_value_length(batch["places"]).to_numpy(), dtype=np.int64) // JOINED
         cuts = [0, *(np.nonzero(np.diff(part))[0] + 1).tolist(), batch.num_rows]
         for first, last in zip(cuts, cuts[1:]):
