@@ -25,14 +25,17 @@ _WORDS = re.compile(WORD_PY)
 SYMBOLS = "#*$%&|<>"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
-#: Statistics and the least standard deviation each is given: smaller differences are not unusual,
-#: even where nearly all documents of a source have the same value.
-FLOORS = {"length": 1.25, "word_length": 0.08, "symbols": 0.25, "dup_lines": 0.1, "repeats": 0.2}
+#: Statistics and the least standard deviation each can have. The estimate counts wherever it is
+#: larger; a floor stands in where three quarters of a source's documents have one and the same value
+#: (mostly no symbols, no repeated lines, no repeated words), whose estimate is zero.
+FLOORS = {"length": 0.25, "word_length": 0.02, "symbols": 0.05, "dup_lines": 0.05, "repeats": 0.1}
+#: Correlations count this much, so that two statistics that go together do not make the determinant vanish.
+HELD = 0.99
 P = len(FLOORS)
 #: Statistics are rounded to this grid, which keeps sums exact and reruns equal.
 GRID = 1024
 #: Share of rows that an estimate rests on, and the chance of a normal row beyond the limit.
-CORE, REJECT = 0.75, 1e-4
+CORE, REJECT = 0.75, 1e-6
 #: Rows a pool needs; smaller sources of a language are pooled, then smaller languages.
 POOL = 200
 STEPS = 12
@@ -143,7 +146,10 @@ def _estimate(n: float, sums: np.ndarray, products: np.ndarray, factor: float) -
     scatter = np.zeros((P, P))
     for (i, j), s in zip(PAIRS, products):
         scatter[i, j] = scatter[j, i] = (s / n - centre[i] * centre[j]) / GRID**2
-    scatter = factor * scatter + np.diag(np.square(list(FLOORS.values())))
+    scatter *= factor
+    own = np.maximum(np.diag(scatter), np.square(list(FLOORS.values())))
+    scatter *= HELD
+    np.fill_diagonal(scatter, own)
     inverse = np.linalg.inv(scatter)
     weights = [float(inverse[i, j] * (1 if i == j else 2)) for i, j in PAIRS]
     # Rounded, so that the last digits of sums in another order do not matter.
@@ -177,7 +183,7 @@ def _starts(rows: DataFrame) -> DataFrame:
     middle = [F.percentile(f"x{i}", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))) for i in range(P)]
     quartiles = rows.groupBy("pool").agg(F.count(F.lit(1)).alias("n"), *[m.alias(f"q{i}") for i, m in enumerate(middle)])
     spread = [F.greatest((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / F.lit(1.349 * GRID), F.lit(0.0)) for i in range(P)]
-    scatter = [s * s + F.lit(f * f) for s, f in zip(spread, FLOORS.values())]
+    scatter = [F.greatest(s * s, F.lit(f * f)) for s, f in zip(spread, FLOORS.values())]
     determinant = F.lit(0.0)
     for s in scatter:
         determinant = determinant + F.log(s)
