@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow.fs as arrow_fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +14,8 @@ from ..session import scratch_folder
 WORD = r"[^\x20\x09-\x0D]+"
 #: The same for Python's ``re``.
 WORD_PY = r"[^\x20\t-\r]+"
+#: Names of file systems that pyarrow knows by another.
+SCHEMES = {"s3a": "s3", "s3n": "s3"}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -31,6 +34,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def file_system(uri: str) -> tuple[arrow_fs.FileSystem, str]:
+    """pyarrow's file system of a path and the path in it. Spark's names of object stores are understood."""
+    for theirs, ours in SCHEMES.items():
+        if uri.startswith(theirs + "://"):
+            uri = ours + uri[len(theirs) :]
+    return arrow_fs.FileSystem.from_uri(uri)
+
+
 def free_name(df: DataFrame, wish: str) -> str:
     """``wish``, lengthened until no column of ``df`` has that name (names ignore case)."""
     taken = {c.lower() for c in df.columns}

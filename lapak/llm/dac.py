@@ -24,13 +24,12 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_folder
 from . import tokens
-from .common import written
+from .common import file_system, written
 
 MAGIC = b"DAC1"
 #: Bits between entries of the rank directory.
@@ -145,7 +144,7 @@ def open_bytes(data: bytes) -> Reader:
 
 def open_file(path: str) -> Reader:
     """A file on any file system that pyarrow knows; bytes are fetched as they are needed."""
-    system, place = arrow_fs.FileSystem.from_uri(path)
+    system, place = file_system(path)
     file = system.open_input_file(place)
 
     def read(at: int, n: int) -> bytes:
@@ -165,7 +164,7 @@ def write_ids(docs: DataFrame, folder: str, path: str) -> DataFrame:
     dealt = narrow.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text", F.spark_partition_id().alias("piece"))
 
     def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, place = arrow_fs.FileSystem.from_uri(folder)
+        system, place = file_system(folder)
         names: list[int | None] = []
         documents: list[np.ndarray] = []
         held = number = piece = 0

@@ -20,12 +20,11 @@ from urllib.parse import quote
 
 import pyarrow as pa
 import zstandard
-from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_folder
-from .common import written
+from .common import file_system, written
 
 # Fixed values of the archive format.
 DICTIONARY_MAGIC = 0x184D2A5D
@@ -252,7 +251,7 @@ def write_archives(found: DataFrame, folder: str) -> DataFrame:
     """
 
     def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, place = arrow_fs.FileSystem.from_uri(folder)
+        system, place = file_system(folder)
         waiting: list[bytes] = []
         held, writer, sink, name = 0, None, None, ""
 
@@ -303,7 +302,7 @@ def read_archives(manifest: DataFrame, folder: str, payloads: bool = True) -> Da
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                system, place = arrow_fs.FileSystem.from_uri(f"{folder}/{row['name']}")
+                system, place = file_system(f"{folder}/{row['name']}")
                 out, held, n = [], 0, 0
                 with system.open_input_stream(place) as stream:
                     for record in read_frames(stream.read):
