@@ -1,18 +1,21 @@
 """Quality of documents: a classifier's evidence with what their site is known for.
 
-A logistic regression on counts of the text gives each document a probability. Sites have two
-levels, host and path. A host's share of good documents is its expected number of them, shrunk
-towards the global share; a path's is shrunk towards its host's: both by beta priors whose weight
-is estimated from how much the shares differ (empirical Bayes). A sparse site says little, a large
-one speaks for itself. The document's log odds and the site's, less the global ones, add up.
+A logistic regression on hashed words and word pairs and on counts of the text gives each document
+a probability. Sites have two levels, host and path. A host's share of good documents is its
+expected number of them, shrunk towards the global share; a path's is shrunk towards its host's:
+both by beta priors whose weight is estimated from how much the shares differ (empirical Bayes). A
+sparse site says little, a large one speaks for itself. The document's log odds and its site's, less
+the global ones, add up; what the site is known for is taken without the document itself, so no
+document counts twice and a lone one has its own evidence only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import HashingTF, NGram, Normalizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +30,9 @@ KEEP = 0.5
 #: Probabilities are held this far from 0 and 1.
 EDGE = 1e-4
 SYMBOLS = r"[#*$%&|<>]"
+#: Width of the hashed words and of the hashed pairs, and the strength of the penalty on weights.
+HASHED, PENALTY = 1 << 14, 1e-4
+COUNTED = ("words", "short", "word_length", "symbols", "numbers", "stops", "variety", "line_variety")
 
 
 def features(text: Column) -> list[Column]:
@@ -48,27 +54,50 @@ def features(text: Column) -> list[Column]:
     ]
 
 
+def _measured(docs: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """``keep``, the words of each text in small letters (``tokens``) and its counts."""
+    t = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    words = F.regexp_extract_all(F.lower(t), F.lit(WORD), F.lit(0)).alias("tokens_")
+    return docs.select(*keep, F.col("doc_id").alias("id_"), words, *[c.alias(f"f_{n}") for c, n in zip(features(F.col("text")), COUNTED)])
+
+
+def _stages() -> list:
+    """Counts, hashed words and hashed pairs as one sparse vector of fixed width.
+
+    A word counts once per text, and both hashed parts have length 1, so a long text weighs no more.
+    """
+    out = [NGram(n=2, inputCol="tokens_", outputCol="pairs_")]
+    for name in ("tokens_", "pairs_"):
+        out.append(HashingTF(numFeatures=HASHED, binary=True, inputCol=name, outputCol=f"{name}hashed"))
+        out.append(Normalizer(inputCol=f"{name}hashed", outputCol=f"{name}unit"))
+    return [*out, VectorAssembler(inputCols=[*[f"f_{n}" for n in COUNTED], "tokens_unit", "pairs_unit"], outputCol="vector_")]
+
+
 def document_evidence(docs: DataFrame, labels: DataFrame, keep: Sequence[str]) -> DataFrame:
     """``keep`` columns of ``docs`` with ``p_document``: the classifier's probability of good.
 
     A document's label is the majority of its rows in ``labels``, a tie or NULL is none. Without
     labels of both kinds the probability is the share of good labels, (good + 1) / (all + 2).
+    Vectors are made as they are needed, of labelled texts to train and of all texts to judge, and
+    not stored.
     """
-    names = ["words", "short", "word_length", "symbols", "numbers", "stops", "variety", "line_variety"]
-    measured = written(docs.select(*keep, F.col("doc_id").alias("id_"), *[c.alias(f"f_{n}") for c, n in zip(features(F.col("text")), names)]), "features")
     vote = F.avg(F.col("quality").cast("double"))
     voted = labels.where("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(vote.alias("vote"))
     known = written(voted.where("vote != 0.5").select(F.col("doc_id").alias("of"), (F.col("vote") > 0.5).cast("double").alias("label")), "labels")
     parts = 1 << 20
-    train = written(measured.join(known, F.col("id_") == F.col("of")).select(*[f"f_{x}" for x in names], "label", "of"), "training")
-    n, good = train.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0.0))).first()
+    met = docs.select(F.col("doc_id").alias("of")).join(known, "of")
+    n, good = met.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0.0))).first()
     if not 0 < good < n:
-        return measured.select(*keep, F.lit((good + 1) / (n + 2)).alias("p_document"))
-    chosen = train.where(F.pmod(F.xxhash64(F.lit(5), "of"), F.lit(parts)) < int(min(1.0, SAMPLE / n) * parts))
-    vectors = VectorAssembler(inputCols=[f"f_{x}" for x in names], outputCol="vector_")
-    model = LogisticRegression(featuresCol="vector_", labelCol="label", probabilityCol="odds_", rawPredictionCol="raw_", predictionCol="said_", regParam=1e-4, maxIter=60).fit(vectors.transform(chosen))
-    said = model.transform(vectors.transform(measured))
-    return said.select(*keep, vector_to_array("odds_")[1].alias("p_document"))
+        return docs.select(*keep, F.lit((good + 1) / (n + 2)).alias("p_document"))
+    chosen = known.where(F.pmod(F.xxhash64(F.lit(5), "of"), F.lit(parts)) < int(min(1.0, SAMPLE / n) * parts))
+    labelled = docs.join(chosen, F.col("doc_id") == F.col("of")).select("doc_id", "text", "label")
+    train = written(_measured(labelled, ("label",)), "training")
+    # Features keep their scale: a rare word is a small number and stays a weak one.
+    model = LogisticRegression(
+        featuresCol="vector_", labelCol="label", probabilityCol="odds_", rawPredictionCol="raw_", predictionCol="said_", regParam=PENALTY, maxIter=60, standardization=False,
+    )
+    fitted = Pipeline(stages=[*_stages(), model]).fit(train)
+    return fitted.transform(_measured(docs, keep)).select(*keep, vector_to_array("odds_")[1].alias("p_document"))
 
 
 def _weight(mean: Column, shares: Column, n: Column) -> list[Column]:
@@ -88,7 +117,8 @@ def _prior_weight(mean: Column) -> Column:
 
 
 def site_posteriors(evidence: DataFrame) -> tuple[DataFrame, float]:
-    """host, path, p_host, p_path of every site, and the global share.
+    """host, path, p_host, p_path of every site, and the global share; with them n and good documents
+    of host and path and the weights of both priors, from which one document can be left out.
 
     ``evidence`` has host, path and p_document. Documents are summed per path before anything is
     moved, so a host with a third of all documents is as many rows as it has paths.
@@ -97,17 +127,27 @@ def site_posteriors(evidence: DataFrame) -> tuple[DataFrame, float]:
     hosts = written(paths.groupBy("host").agg(F.sum("n_path").alias("n_host"), F.sum("good_path").alias("good_host")), "hosts")
     n, good = hosts.agg(F.sum("n_host"), F.sum("good_host")).first()
     if not n:
-        return paths.select("host", "path", F.lit(0.5).alias("p_host"), F.lit(0.5).alias("p_path")), 0.5
+        none = [F.lit(0.5).alias(c) for c in ("p_host", "p_path", "n_host", "good_host", "host_weight", "path_weight")]
+        return paths.select("host", "path", "n_path", "good_path", *none), 0.5
     overall = min(max(good / n, EDGE), 1 - EDGE)
     mean = F.lit(overall)
     spread = hosts.agg(*_weight(mean, F.col("good_host") / F.col("n_host"), F.col("n_host")))
     host_weight = spread.select(_prior_weight(mean)).first()[0]
-    shrunk = hosts.select(F.col("host").alias("host_"), ((F.col("good_host") + host_weight * mean) / (F.col("n_host") + host_weight)).alias("p_host"))
+    shrunk = hosts.select(F.col("host").alias("host_"), "n_host", "good_host", ((F.col("good_host") + host_weight * mean) / (F.col("n_host") + host_weight)).alias("p_host"))
     both = written(paths.join(shrunk, F.col("host").eqNullSafe(F.col("host_"))).drop("host_"), "sites")
     within = both.agg(*_weight(F.col("p_host"), F.col("good_path") / F.col("n_path"), F.col("n_path")))
     path_weight = within.select(_prior_weight(mean)).first()[0]
     p_path = (F.col("good_path") + path_weight * F.col("p_host")) / (F.col("n_path") + path_weight)
-    return written(both.select("host", "path", "p_host", p_path.alias("p_path")), "posteriors"), overall
+    weights = [F.lit(w).cast("double").alias(n) for n, w in (("host_weight", host_weight), ("path_weight", path_weight))]
+    counts = ["n_host", "good_host", "n_path", "good_path"]
+    return written(both.select("host", "path", "p_host", p_path.alias("p_path"), *counts, *weights), "posteriors"), overall
+
+
+def without_itself(overall: float) -> Column:
+    """The path's posterior without the document of the row: its site as its other documents show it."""
+    own = F.col("p_document")
+    host = (F.col("good_host") - own + F.col("host_weight") * F.lit(overall)) / (F.col("n_host") - 1 + F.col("host_weight"))
+    return (F.col("good_path") - own + F.col("path_weight") * host) / (F.col("n_path") - 1 + F.col("path_weight"))
 
 
 def _log_odds(p: Column) -> Column:
@@ -126,7 +166,7 @@ def classify(docs: DataFrame, labels: DataFrame, host: Column, path: Column) ->
     sites, overall = site_posteriors(evidence)
     named = sites.withColumnsRenamed({"host": "h", "path": "p"})
     joined = evidence.join(named, F.col("host").eqNullSafe(F.col("h")) & F.col("path").eqNullSafe(F.col("p")), "left")
-    odds = _log_odds(F.col("p_document")) + _log_odds(F.col("p_path")) - _log_odds(F.lit(overall))
+    odds = _log_odds(F.col("p_document")) + _log_odds(without_itself(overall)) - _log_odds(F.lit(overall))
     good = 1 / (1 + F.exp(-odds))
     return joined.select("doc_id", "p_document", "p_host", "p_path", good.alias("p_good"), (good >= KEEP).alias("kept"))
 
