@@ -272,6 +272,11 @@ STAGING_PROD = """prod AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION
   ORDER BY pulldate DESC, modifieddatetime DESC, recid DESC) AS n FROM products WHERE pullstatus = 'Current') WHERE n = 1)"""
 
 
+def exported(s, raw: str):
+    """An export as ``read_export`` returns it: read by one task, its lines spread."""
+    return getattr(s, raw).hint("rebalance")
+
+
 def _register(marketplace: str) -> None:
     shown = f"{', '.join(SHOWN)}, {', '.join(f'{r(c)} AS {c}' for c in AMOUNTS)}"
     raw = f"raw_{marketplace}"
@@ -283,7 +288,7 @@ def _register(marketplace: str) -> None:
     )
     def run(s):
         match = processed_matcher(s.match_items)
-        return normalise(marketplace, getattr(s, raw), match).select(*SHOWN, *AMOUNTS)
+        return normalise(marketplace, exported(s, raw), match).select(*SHOWN, *AMOUNTS)
 
     @query(
         f"{STAGING_PROD}, {normal_sql(marketplace, raw, 'staging')} SELECT {shown} FROM norm_{marketplace}",
@@ -292,7 +297,7 @@ def _register(marketplace: str) -> None:
     )
     def run_staging(s):
         match = staging_matcher(s.products)
-        return normalise(marketplace, getattr(s, raw), match, "staging").select(*SHOWN, *AMOUNTS)
+        return normalise(marketplace, exported(s, raw), match, "staging").select(*SHOWN, *AMOUNTS)
 
 
 for _m in RAW:

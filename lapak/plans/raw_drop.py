@@ -15,24 +15,45 @@ from ..sources.schemas import EXPORT_DATE_COLUMNS, EXPORT_SKU_COLUMNS
 from ..sources.writers import quarantine
 
 
-def prepare_drop(drop: DataFrame, marketplace: str, as_of: dt.date) -> DataFrame:
-    """Rows of the months that may still change, with a cleaned code and the drop date.
+def cleaned(drop: DataFrame, marketplace: str) -> DataFrame:
+    """A drop with the date of each row (``drop_date``, NULL where it cannot be read) and a cleaned code.
 
-    Until day 30 the current and the previous month are open; on day 31 only the current one.
-    Both periods are chosen by a predicate on the parsed date, without listing the months first.
+    Some exports end their dates with a tab.
     """
     column, formats = EXPORT_DATE_COLUMNS[marketplace]
     sku = EXPORT_SKU_COLUMNS[marketplace]
-    date = parse_date(F.col(f"`{column}`"), *formats)
+    return drop.withColumn("drop_date", parse_date(delete(F.col(f"`{column}`"), "\t"), *formats)).withColumn(sku, delete(F.trim(F.col(f"`{sku}`")), "\n"))
+
+
+def open_rows(rows: DataFrame, as_of: dt.date) -> DataFrame:
+    """Rows of the months that may still change.
+
+    Until day 30 the current and the previous month are open; on day 31 only the current one.
+    Both periods are chosen by a predicate on the parsed date, without listing the months first.
+    """
     months = [as_of] if as_of.day >= 31 else [as_of, previous_month(as_of)]
     open_month = F.lit(False)
     for month in months:
         open_month = open_month | in_month("drop_date", month)
-    return (
-        drop.withColumn("drop_date", date)
-        .where(open_month)
-        .withColumn(sku, delete(F.trim(F.col(f"`{sku}`")), "\n"))
-    )
+    kept = rows.where(open_month)
+    return kept.drop("year", "month") if {"year", "month"} <= set(rows.columns) else kept
+
+
+def prepare_drop(drop: DataFrame, marketplace: str, as_of: dt.date) -> DataFrame:
+    """Rows of the months that may still change, with a cleaned code and the drop date."""
+    return open_rows(cleaned(drop, marketplace), as_of)
+
+
+def write_snapshot(drop: DataFrame, marketplace: str, as_of: dt.date, path: str) -> DataFrame:
+    """All rows of a day's drop as they were delivered, by brand, year and month; read back.
+
+    A second drop of the day replaces the snapshot as a whole.
+    """
+    dated = cleaned(drop, marketplace)
+    keyed = dated.withColumns({"year": F.year("drop_date"), "month": F.date_format("drop_date", "MM")})
+    by = ["brand", "year", "month"]
+    keyed.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*by).parquet(path)
+    return drop.sparkSession.read.schema(keyed.schema).parquet(path)
 
 
 def write_drop(prepared: DataFrame, path: str, scope: Sequence[str] = ("brand",)) -> None:

@@ -79,12 +79,14 @@ def read_export(
     skip: Column | None = None,
     delimiter: str = ",",
     multi_line: bool = True,
+    file: str | None = None,
 ) -> DataFrame:
     """A marketplace export landed as CSV: every column as text, by header name.
 
     ``skip`` marks rows that are not data, such as a description row under the header. Fields may
-    hold line breaks, so a file is one task; ``multi_line=False`` is for exports without them,
-    whose large files are split over tasks.
+    hold line breaks, so a file is read by one task, and its lines are spread before they are worked
+    on; ``multi_line=False`` is for exports without them, whose large files are split over tasks.
+    ``file`` names a column for the path of a row's file.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     df = (
@@ -96,11 +98,15 @@ def read_export(
         .option("enforceSchema", False)
         .csv(path)
     )
-    return df if skip is None else df.where(~F.coalesce(skip, F.lit(False)))
+    if file:
+        df = df.withColumn(file, F.col("_metadata.file_path"))
+    if skip is not None:
+        df = df.where(~F.coalesce(skip, F.lit(False)))
+    return df.hint("rebalance") if multi_line else df
 
 
 def read_offset_export(
-    spark: SparkSession, path: str, columns: Sequence[str], header_row: Sequence[str] | None = None
+    spark: SparkSession, path: str | Sequence[str], columns: Sequence[str], header_row: Sequence[str] | None = None, file: str | None = None
 ) -> DataFrame:
     """An export whose header does not stand in the first line.
 
@@ -110,7 +116,7 @@ def read_offset_export(
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     header = list(header_row or columns)
-    df = spark.read.schema(schema).option("multiLine", True).option("escape", '"').csv(path)
+    df = spark.read.schema(schema).option("multiLine", True).option("escape", '"').csv(path if isinstance(path, str) else list(path))
     # A file that may hold line breaks in fields is one task, whose row ids rise with the lines.
     placed = df.select("*", F.col("_metadata.file_path").alias("__file"), F.monotonically_increasing_id().alias("__line"))
     named = F.lit(True)
@@ -120,7 +126,8 @@ def read_offset_export(
     marked = placed.join(headers, "__file", "left")
     filled = F.coalesce(*[F.col(f"`{c}`") for c in columns]).isNotNull()
     below = F.col("__header").isNull() | (F.col("__line") > F.col("__header"))
-    return marked.where(filled & below).select(*[F.col(f"`{c}`") for c in columns])
+    kept = [F.col(f"`{c}`") for c in columns] + ([F.col("__file").alias(file)] if file else [])
+    return marked.where(filled & below).select(*kept).hint("rebalance")
 
 
 def description_row(column: str) -> Column:
@@ -129,6 +136,21 @@ def description_row(column: str) -> Column:
     return name.isNotNull() & name.try_cast("double").isNull()
 
 
+#: Layouts of dropped exports: title lines above the header, a row of explanations below it (told by a
+#: column that holds numbers); all others start with their header.
+TITLED_EXPORTS = ("tokopedia",)
+DESCRIBED_EXPORTS = {"tiktok": "Quantity"}
+
+
+def read_dropped(spark: SparkSession, marketplace: str, paths: Sequence[str], columns: Sequence[str], file: str = "file") -> DataFrame:
+    """Dropped CSV exports of a marketplace in its own layout, with the path of each row's file."""
+    name = marketplace.lower()
+    if name in TITLED_EXPORTS:
+        return read_offset_export(spark, paths, columns, file=file)
+    skip = description_row(DESCRIBED_EXPORTS[name]) if name in DESCRIBED_EXPORTS else None
+    return read_export(spark, list(paths), columns, skip, file=file)
+
+
 def read_orders(spark: SparkSession, path: str) -> DataFrame:
     """Order documents, one JSON object per line."""
     return spark.read.schema(ORDER_DOCUMENT).json(path)

@@ -2,43 +2,104 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import stored
+
+
+#: Folder name of a month that rows without a date belong to.
+NO_MONTH = "year=__HIVE_DEFAULT_PARTITION__/month=__HIVE_DEFAULT_PARTITION__"
+
+
+def _whole_months(
+    df: DataFrame, path: str, by: Sequence[str], months: Sequence[dt.date | None], file_format: str, **options: object
+) -> None:
+    """Each month's folder (outermost) replaced as a whole by its rows of ``df`` (with year and month).
+
+    A folder that the rows no longer fill vanishes, and so does all of a month without rows. A
+    rebuild names one or two months, so this is as many writes; the rows are computed once. A
+    month's old files go when its write begins: until the job ends, a run that failed is repeated.
+    """
+    if len(months) > 1:
+        df = stored(df, "months")
+    for m in months:
+        own = (F.col("year").isNull() if m is None else F.col("year") == m.year) & (
+            F.col("month").isNull() if m is None else F.col("month").cast("int") == m.month
+        )
+        folder = NO_MONTH if m is None else f"year={m.year}/month={m:%m}"
+        writer = df.where(own).drop("year", "month").write.mode("overwrite").option("partitionOverwriteMode", "static")
+        for name, value in options.items():
+            writer = writer.option(name, value)
+        writer.format(file_format).partitionBy(*by).save(f"{path.rstrip('/')}/{folder}")
+
+
+def _there(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.schema("x int").parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
+
+
+def with_month(df: DataFrame, date: str) -> DataFrame:
+    return df.withColumns({"year": F.year(date), "month": F.date_format(date, "MM")})
+
 
 def write_months(
-    df: DataFrame, path: str, date: str, by: Sequence[str] = (), files_per_partition: int = 1
+    df: DataFrame, path: str, date: str, by: Sequence[str] = (), files_per_partition: int = 1, months: Sequence[dt.date] | None = None
 ) -> None:
-    """Parquet partitioned by the given keys, year and month; only touched months are replaced.
+    """Parquet partitioned by year, month and then ``by``; the months of ``df`` are replaced as a whole.
+
+    ``months`` names the months that are rebuilt: rows of others are not written, and a named month
+    without rows ends up empty. Without it, all months that occur are replaced.
 
     Rows are rebalanced over the keys: adaptive execution splits a month that is too large for
     one task and joins small ones. ``files_per_partition`` above 1 instead spreads every month
     over so many tasks by a hash of its rows.
     """
-    keyed = df.withColumns({"year": F.year(date), "month": F.date_format(date, "MM")})
-    parts = [*by, "year", "month"]
+    keyed = with_month(df, date)
+    parts = ["year", "month", *by]
     if files_per_partition > 1:
         spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(files_per_partition))
         keyed = keyed.repartition(*parts, spread)
     else:
         keyed = keyed.hint("rebalance", *parts)
-    (
-        keyed.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*parts)
-        .parquet(path)
-    )
-
+    # Where a month is one folder, or nothing is there yet, what occurs is replaced in one write.
+    if months is None and (not by or not _there(df.sparkSession, path)):
+        writer = keyed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(*parts).parquet(path)
+        return
+    if months is None:
+        keyed = stored(keyed, "months")
+        # As many rows as months occur.
+        found = keyed.select("year", F.col("month").cast("int").alias("month")).distinct().collect()
+        months = [None if r.year is None else dt.date(r.year, r.month, 1) for r in found]
+    _whole_months(keyed, path, by, months, "parquet")
+
+
+def write_split(
+    df: DataFrame, path: str, by: Sequence[str], file_format: str = "csv", months: Sequence[dt.date] | None = None, whole: bool = False
+) -> None:
+    """One folder per combination of ``by``, in a single pass.
 
-def write_split(df: DataFrame, path: str, by: Sequence[str], file_format: str = "csv") -> None:
-    """One folder per combination of ``by``, in a single pass; folders not met stay."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by)
-    if file_format == "csv":
-        writer.option("header", True).csv(path)
-    else:
-        writer.format(file_format).save(path)
+    Folders not met stay, unless ``months`` names the months that are rebuilt: these, the outermost
+    folders (``df`` has year and month), are replaced as a whole, so what left a month's deliveries
+    leaves no folder behind. ``whole`` replaces all of ``path``.
+    """
+    options = {"header": True} if file_format == "csv" else {}
+    if months is not None:
+        _whole_months(df, path, by, months, file_format, **options)
+        return
+    mode = "static" if whole else "dynamic"
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", mode).options(**options)
+    writer.format(file_format).partitionBy(*by).save(path)
 
 
 def write_bundle(tables: Mapping[str, DataFrame], path: str, file_format: str = "parquet") -> None:

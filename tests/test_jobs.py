@@ -53,6 +53,10 @@ def test_jobs(spark, lake):
     month = dt.date(2000, 7, 1)
     report = jobs.run_accumulation(lake, month)
     checks = {r.check_name: r for r in lake.read("reports/2000-07/checks").collect()}
+    held = lake.read("reports/2000-07/accumulation")
+    for title, period in (("this month", ""), ("last month", "_lm"), ("last year", "_ly")):
+        paid = held.agg(F.sum("cust_paid_peritem" + period)).first()[0] or 0
+        assert checks[title].amount_after == pytest.approx(float(paid)) and checks[title].is_matched
     assert checks["this month"].is_matched and checks["this month"].amount_before > 0
     assert report.accumulation.count() == lake.read("reports/2000-07/accumulation").count() > 0
 
@@ -153,6 +157,38 @@ def test_raw_drop(spark, tmp_path):
     assert held() == [("MN", "5", "1"), ("SZ", "1", "1"), ("SZ", "7", "1")]
 
 
+def test_raw_drop_layouts_and_snapshot(spark, tmp_path):
+    """Title lines and description rows are skipped, a workbook beside a file is left alone, and the day's drop is kept."""
+    lake = jobs.Lake(spark, str(tmp_path / "lake"))
+    folder = tmp_path / "landing" / "raw" / "SZ" / "2000" / "August"
+    folder.mkdir(parents=True)
+    noon = dt.datetime(2000, 8, 2, 5, tzinfo=dt.timezone.utc)
+    files = {
+        "tokopedia_August_SZ.csv": "Laporan\nToko,SZ\n\n\nTanggal Pembayaran,Nomor SKU,Jumlah Produk Dibeli\n01-08-2000 10:00:00,1,1\n01-01-2000 10:00:00,2,1\n,3,x\n",
+        "tiktok_August_SZ.csv": "Created Time,Seller SKU,Quantity\nWhen,Sku of the seller,How many\n01/08/2000 10:00:00\t,7,2\n",
+        "tokopedia_late_SZ.xlsx": "PK binary",
+    }
+    for i, (name, text) in enumerate(files.items()):
+        (folder / name).write_text(text)
+        when = (noon + dt.timedelta(minutes=i)).timestamp()
+        os.utime(folder / name, (when, when))
+    columns = {
+        "tokopedia": ["Tanggal Pembayaran", "Nomor SKU", "Jumlah Produk Dibeli"],
+        "tiktok": ["Created Time", "Seller SKU", "Quantity"],
+    }
+    for _ in range(2):
+        assert online_jobs.run_raw_drop(lake, str(tmp_path / "landing"), columns, noon.date()) == ["tiktok", "tokopedia"]
+        assert [r["Nomor SKU"] for r in lake.read("exports/tokopedia").collect()] == ["1"]
+        assert [(r["Seller SKU"], r.Quantity) for r in lake.read("exports/tiktok").collect()] == [("7", "2")]
+        held = lake.read("raw_snapshot/marketplace=tokopedia/day=2000-08-02").collect()
+        assert sorted((r.brand, r["Nomor SKU"], r.year) for r in held if r.year) == [("SZ", "1", 2000), ("SZ", "2", 2000)]
+        assert [r["Nomor SKU"] for r in lake.read("raw_undated/tokopedia").collect()] == ["3"]
+        rejects = {(r.column, r.reason): r.rows for r in lake.read("raw_rejects/tokopedia").collect()}
+        assert rejects == {("Tanggal Pembayaran", "empty"): 1, ("Jumlah Produk Dibeli", "not a number"): 1}
+    whole = spark.read.parquet(lake.path("raw_snapshot"))
+    assert {(r.marketplace, str(r.day)) for r in whole.select("marketplace", "day").distinct().collect()} == {("tokopedia", "2000-08-02"), ("tiktok", "2000-08-02")}
+
+
 def test_masters_and_incentives(spark, lake):
     s = Shapes(spark, FOLDER)
     assert master_jobs.run_fact_sales(lake, DAY) == [dt.date(2000, 7, 1), dt.date(2000, 8, 1)]
