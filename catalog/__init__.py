@@ -8,7 +8,7 @@ from . import registry
 
 TOPICS = (
     "basics", "scalars", "joins", "aggregates", "pos", "online", "reports", "changes", "people",
-    "nested", "landed",
+    "nested", "landed", "rollups",
 )
 
 

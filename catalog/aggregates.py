@@ -262,6 +262,18 @@ def control_totals(s):
     return control_total(kept, "cust_paid_peritem", unified_sales(kept), "cust_paid_peritem", "offline")
 
 
+@query(
+    f"""t AS (SELECT CAST(round_even(sum(cust_paid_peritem), 2) AS DOUBLE) AS a, CAST(round_even(sum(cust_paid_peritem) FILTER (WHERE promocode <> 'regular'), 2) AS DOUBLE) AS b
+      FROM sales_lines WHERE {VALID})
+    SELECT 'promoted only' AS check_name, a AS amount_before, b AS amount_after, a = b AS is_matched FROM t""",
+    "sales_lines",
+)
+def control_totals_mismatch(s):
+    """A step that loses lines shows in its control total."""
+    kept = valid_sales(s.sales_lines)
+    return control_total(kept, "cust_paid_peritem", unified_sales(kept.where("promocode <> 'regular'")), "cust_paid_peritem", "promoted only")
+
+
 @query(
     f"""SELECT channel, count(*) AS "row", CAST(sum(quantity) AS BIGINT) AS quantity, {r('sum(cust_paid_peritem)')} AS cust_paid_peritem,
       '2024-07-02' AS date_process, '03:04:05' AS time_process FROM sales_lines GROUP BY 1""",

@@ -44,7 +44,9 @@ from lapak.operators.online_reports import (
     sales_by_status,
     settlement_template,
 )
-from lapak.plans.accumulation import accumulation_report
+from lapak.operators.aggregating import observed_write
+from lapak.plans.accumulation import accumulation_report, period_checks, report_totals
+from lapak.session import scratch_folder
 
 from .aggregates import VALID
 from .registry import query, r, rs
@@ -191,10 +193,30 @@ def sales_accumulation(s):
     AKUM_SHAPES,
 )
 def accumulation_checks(s):
-    """Control totals of the three periods."""
+    """Control totals of the three periods, observed as sales and report are written."""
     return report(s).checks
 
 
+@query(
+    f"""{GROUPED},
+    a AS (SELECT {', '.join(f"round_even(sum(cust_paid_peritem{p}), 2) AS a{i}" for i, p in enumerate(PERIODS))} FROM akum),
+    b AS (SELECT {', '.join(f"round_even(sum(cust_paid_peritem{p}) FILTER (WHERE dataareaid = 'mpr'), 2) AS b{i}" for i, p in enumerate(PERIODS))} FROM akum)
+    SELECT n AS check_name, CAST(x AS DOUBLE) AS amount_before, CAST(y AS DOUBLE) AS amount_after, x = y AS is_matched FROM (
+      SELECT 'this month' AS n, a0 AS x, b0 AS y FROM a, b UNION ALL SELECT 'last month', a1, b1 FROM a, b UNION ALL SELECT 'last year', a2, b2 FROM a, b)""",
+    AKUM_SHAPES,
+)
+def accumulation_checks_mismatch(s):
+    """A delivery that holds one company only does not have the report's totals."""
+    spark = s.lineitem.sparkSession
+    whole = report(s).accumulation
+
+    def totals(rows, name: str):
+        path = scratch_folder(spark, name)
+        return observed_write(rows, name, report_totals(), lambda df: df.write.parquet(path))
+
+    return period_checks(spark, totals(whole, "whole"), totals(whole.where("dataareaid = 'mpr'"), "part"))
+
+
 @query(
     f"""p AS (SELECT dataareaid, axcode, order_create_date, promocode, remarks, sum(cust_paid_peritem) AS cust_paid_peritem
       FROM sales_lines WHERE {VALID} GROUP BY 1, 2, 3, 4, 5)
@@ -462,6 +484,19 @@ def online_daily_check(s):
     return daily_totals_agree(sales_by_day(lines), sales_by_item(lines))
 
 
+@query(
+    f"""{DAILY}, t AS (SELECT sum(value_after_voucher) AS a, sum(value_after_voucher) FILTER (WHERE qty_sold > 1) AS b, sum(qty_sold) AS p,
+      sum(qty_sold) FILTER (WHERE qty_sold > 1) AS q FROM daily_in WHERE sales_status <> 'CANCELED')
+    SELECT 'daily vs item' AS check_name, {r('a')} AS sales_daily, {r('b')} AS sales_item, CAST(p AS BIGINT) AS quantity_daily,
+      CAST(q AS BIGINT) AS quantity_item, a = b AND p = q AS is_matched FROM t""",
+    "online_lines",
+)
+def online_daily_check_mismatch(s):
+    """An item report that lacks single pieces does not agree with the daily report."""
+    lines = daily_input(s)
+    return daily_totals_agree(sales_by_day(lines), sales_by_item(lines.where("qty_sold > 1")))
+
+
 SETTLE_KEYS = (
     "brand, marketplace, delivered_date, order_no, sales_status, codebars, basic_price, courier, tracking_no, delivery_fee, recipient_name, "
     "recipient_phone, recipient_address, recipient_district, recipient_city, recipient_postcode"

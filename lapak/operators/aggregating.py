@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import snake
@@ -88,6 +89,25 @@ def control_total(
     )
 
 
+def observed_write(df: DataFrame, name: str, measures: Mapping[str, Column], write: Callable[[DataFrame], None]) -> dict[str, Any]:
+    """Aggregates over exactly the rows that ``write`` writes, collected by the write itself.
+
+    The rows are counted as they go by in the tasks that write them, so a control total costs no
+    second scan. ``write`` must write what it is given in one job without a shuffle of its own: then
+    only results of tasks that were committed count, also where one had to be repeated.
+    """
+    observation = Observation(name)
+    write(df.observe(observation, *[c.alias(n) for n, c in measures.items()]))
+    return observation.get
+
+
+def compared_totals(spark: SparkSession, rows: Sequence[tuple[str, Any, Any]]) -> DataFrame:
+    """check_name, amount_before, amount_after, is_matched of totals that are known already; NULL never matches."""
+    shown = [(n, *[None if v is None else float(v) for v in (a, b)]) for n, a, b in rows]
+    totals = spark.createDataFrame(shown, "check_name string, amount_before double, amount_after double")
+    return totals.withColumn("is_matched", F.coalesce(F.col("amount_before") == F.col("amount_after"), F.lit(False)))
+
+
 def two_sided(before: DataFrame, after: DataFrame) -> DataFrame:
     """Rows of both frames, the other's columns NULL; shared columns are filled by both."""
     return before.unionByName(after, allowMissingColumns=True)

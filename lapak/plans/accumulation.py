@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
+from decimal import Decimal
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.values import sum0
@@ -20,10 +22,12 @@ from ..operators.accumulating import (
     unified_lines,
     valid_sales,
 )
-from ..operators.aggregating import two_sided
-from ..operators.joining import present_in
+from ..operators.aggregating import compared_totals, observed_write
+from ..operators.joining import keep_facts, present_in
 from ..operators.products import report_products
-from ..session import stored
+from ..session import scratch_folder
+
+VALUE = "cust_paid_peritem"
 
 
 class AccumulationReport(NamedTuple):
@@ -45,17 +49,31 @@ def on_dates(sales: DataFrame, dates: DataFrame, column: str) -> DataFrame:
 
 def sales_of_periods(
     offline: DataFrame, online: DataFrame | None, stores: DataFrame, pattern: DataFrame
-) -> DataFrame:
-    """Sales per company, store, date and barcode on all dates the calendar names, written once.
+) -> tuple[DataFrame, dict[str, Decimal]]:
+    """Sales per company, store, date and barcode on all dates the calendar names, written once, and
+    their paid value per period, observed by that write.
 
     Report, dates in use and control totals all start from this table, so both channels are read
     and summed once. The dates to read come from the calendar: last month and last year need no
-    loop over months, and January finds December of the year before.
+    loop over months, and January finds December of the year before. A sale counts once per period
+    that names its date.
     """
     sold = None if online is None else online_as_sales(online, stores)
     named = F.explode(F.array(*PERIOD_DATES.values())).alias("__any")
     lines = on_dates(unified_lines(valid_sales(offline), sold), pattern.select(named), "__any")
-    return stored(sum_lines(lines), "sold")
+    summed = sum_lines(lines)
+    roles = F.inline(F.array(*[F.struct(F.lit(p).alias("__period"), F.col(d).alias("__date")) for p, d in PERIOD_DATES.items()]))
+    # A row per calendar date, so broadcast whatever the amount of sales.
+    played = pattern.select(roles).where("__date is not null").groupBy("__date").agg(F.collect_set("__period").alias("__periods"))
+    marked = keep_facts(summed, played, {"order_create_date": "__date"}, bounded=True)
+    totals = {p: _paid(F.when(F.array_contains("__periods", p), F.col(VALUE))) for p in PERIODS}
+    path = scratch_folder(pattern.sparkSession, "sold")
+    found = observed_write(marked, "sold", totals, lambda df: df.drop("__periods").write.parquet(path))
+    return pattern.sparkSession.read.schema(summed.schema).parquet(path), found
+
+
+def _paid(value: Column) -> Column:
+    return F.bround(sum0(value), 2)
 
 
 def period_report(
@@ -66,28 +84,15 @@ def period_report(
     return sales_accumulation(sold, pattern, used, stores, report_products(products, PRODUCT_COLUMNS))
 
 
-def period_checks(sold: DataFrame, report: DataFrame, pattern: DataFrame) -> DataFrame:
-    """Whether the report's paid value per period is that of the sales: one aggregate for all.
-
-    A sale counts once per period that names its date.
-    """
-    value = "cust_paid_peritem"
-    roles = F.inline(F.array(*[F.struct(F.lit(p).alias("period"), F.col(d).alias("__date")) for p, d in PERIOD_DATES.items()]))
-    # Three rows per calendar date, so broadcast whatever the amount of sales.
-    dates = F.broadcast(pattern.select(roles).distinct())
-    met = sold.join(dates, F.col("order_create_date") == F.col("__date"), "inner")
-    shown = F.inline(F.array(*[F.struct(F.lit(p).alias("period"), F.col(value + p).alias("amount_after")) for p in PERIODS]))
-    rows = two_sided(met.select("period", F.col(value).alias("amount_before")), report.select(shown))
+def report_totals() -> dict[str, Column]:
+    """The report's paid value per period, to be observed by the write of the report."""
+    return {p: _paid(F.col(VALUE + p)) for p in PERIODS}
 
-    def total(column: str, period: str) -> Column:
-        return F.bround(sum0(F.when(F.col("period") == period, F.col(column))), 2).cast("double").alias(column)
 
-    checks = [
-        F.struct(F.lit(title).alias("check_name"), total("amount_before", p), total("amount_after", p))
-        for p, title in zip(PERIODS, ("this month", "last month", "last year"))
-    ]
-    totals = rows.agg(F.array(*checks).alias("checks")).select(F.inline("checks"))
-    return totals.withColumn("is_matched", F.col("amount_before") == F.col("amount_after"))
+def period_checks(spark: SparkSession, sold: Mapping[str, Decimal], report: Mapping[str, Decimal]) -> DataFrame:
+    """Whether the report's paid value per period is that of the sales, from the totals of both writes."""
+    titles = ("this month", "last month", "last year")
+    return compared_totals(spark, [(title, sold[p], report[p]) for p, title in zip(PERIODS, titles)])
 
 
 def period_promotions(offline: DataFrame, stores: DataFrame, pattern: DataFrame) -> DataFrame:
@@ -102,9 +107,12 @@ def accumulation_report(
     products: DataFrame,
     pattern: DataFrame,
 ) -> AccumulationReport:
-    """Everything the monthly report delivers, from sales lines of all periods."""
-    sold = sales_of_periods(offline, online, stores, pattern)
+    """Everything the monthly report delivers, from sales lines of all periods; the report is written once."""
+    sold, before = sales_of_periods(offline, online, stores, pattern)
+    spark = pattern.sparkSession
+    path = scratch_folder(spark, "report")
     report = period_report(sold, stores, products, pattern)
+    after = observed_write(report, "report", report_totals(), lambda df: df.write.parquet(path))
     return AccumulationReport(
-        report, period_promotions(offline, stores, pattern), period_checks(sold, report, pattern)
+        spark.read.schema(report.schema).parquet(path), period_promotions(offline, stores, pattern), period_checks(spark, before, after)
     )

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import in_month, next_month, previous_month, rebuild_months
+from ..operators.aggregating import observed_write
 from ..operators.changes import ACCUMULATION_KEY, PROMO_KEY, Upsert, round_report, upsert
 from ..operators.dedup import number_rows
 from ..operators.marketplaces import LAYOUTS, normalise_all, processed_matcher
@@ -23,6 +24,7 @@ from .accumulation import (
     period_checks,
     period_promotions,
     period_report,
+    report_totals,
     sales_of_periods,
 )
 from .online_detail import online_sales_detail
@@ -80,7 +82,7 @@ def run_pos_detail(lake: Lake, as_of: dt.date) -> list[dt.date]:
         lake.read("brand_margins"),
         as_of,
     )
-    write_months(detail, lake.path("pos_detail"), "order_create_date", by=["dataareaid"])
+    write_months(detail, lake.path("pos_detail"), "order_create_date", by=["dataareaid"], months=months)
     return months
 
 
@@ -93,8 +95,8 @@ def run_pos_report(lake: Lake, as_of: dt.date) -> None:
         {"company": F.col("dataareaid"), "sales_channel": F.col("main_channel"), "head": F.col("so_dept_head"),
          "year": F.year("order_create_date"), "month": F.date_format("order_create_date", "MM")}
     )
-    # The month is part of the path: another month's deliveries stay.
-    write_split(deliveries, lake.path("pos_report"), ["company", "sales_channel", "head", "year", "month"], "parquet")
+    # The open months are replaced as a whole: under a new head no line is delivered twice.
+    write_split(deliveries, lake.path("pos_report"), ["company", "sales_channel", "head"], "parquet", months)
 
 
 def run_online_detail(lake: Lake, as_of: dt.date) -> list[dt.date]:
@@ -108,28 +110,25 @@ def run_online_detail(lake: Lake, as_of: dt.date) -> list[dt.date]:
     )
     lines = normalise_all(exports, processed_matcher(items)).where(any_month("date", months))
     detail = online_sales_detail(lines, lake.read("products"), lake.read("margins"))
-    write_months(detail, lake.path("online_detail"), "date", by=["marketplace"])
+    write_months(detail, lake.path("online_detail"), "date", by=["marketplace"], months=months)
     return months
 
 
 def run_accumulation(lake: Lake, month: dt.date) -> AccumulationReport:
     """The accumulation report of a month with promotions and control totals, as three tables.
 
-    Only the months that the calendar names are read. The control totals are taken from the
-    written report, which is not computed again for them.
+    Only the months that the calendar names are read. The control totals are those of the sales and
+    of the report as both were written: no table is read again for them.
     """
     pattern = month_pattern(lake.read("pattern"), month)
     months = calendar_months(pattern)
     offline, stores = lake.read_months("pos_detail", months), lake.read("stores")
-    sold = sales_of_periods(offline, lake.read_months("online_detail", months), stores, pattern)
+    sold, before = sales_of_periods(offline, lake.read_months("online_detail", months), stores, pattern)
     folder = f"reports/{month:%Y-%m}"
-    tables = {
-        "accumulation": period_report(sold, stores, lake.read("products"), pattern),
-        "promotions": period_promotions(offline, stores, pattern),
-    }
-    write_bundle(tables, lake.path(folder))
-    checks = period_checks(sold, lake.read(f"{folder}/accumulation"), pattern)
-    write_bundle({"checks": checks}, lake.path(folder))
+    report = period_report(sold, stores, lake.read("products"), pattern)
+    after = observed_write(report, "report", report_totals(), lambda df: write_bundle({"accumulation": df}, lake.path(folder)))
+    checks = period_checks(lake.spark, before, after)
+    write_bundle({"promotions": period_promotions(offline, stores, pattern), "checks": checks}, lake.path(folder))
     return AccumulationReport(*[lake.read(f"{folder}/{part}") for part in AccumulationReport._fields])
 
 

@@ -52,17 +52,25 @@ def local_session(app: str = "lapak", cores: int | str = "*", **extra: str) -> S
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: the one the cluster names in ``spark.checkpoint.dir``.
 
-    Where that is unset it is a folder below the warehouse, which is shared as well.
+    Where that is unset it is a folder below the warehouse. On a cluster the warehouse must then be
+    on a shared file system: on a local disk of the driver no executor would find what another wrote.
     """
     context = spark.sparkContext
     folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/lapak-scratch"
+        require_shared(folder, context.master)
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
 
 
+def require_shared(folder: str, master: str) -> None:
+    """Refuse a folder on local disks where executors run on other machines."""
+    if folder.startswith("file:") and not (master == "local" or master.startswith("local[")):
+        raise RuntimeError(f"spark.checkpoint.dir is not set, and {folder} is on local disks: name a shared folder")
+
+
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

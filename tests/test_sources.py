@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lapak.operators.nested import order_lines, transfer_lines
 from lapak.sources import readers, writers
-from lapak.streaming.filedrop import delivery_of, ingest, newest_delivery
+from lapak.streaming.filedrop import compact_ledger, delivery_of, ingest, newest_delivery
 
 D = dt.date
 
@@ -117,3 +117,52 @@ def test_stream_replaces_redelivered_dates(frame, spark, tmp_path):
     frame("day date, v int", [(D(2024, 1, 2), 5), (D(2024, 1, 2), 6)]).coalesce(1).write.mode("append").parquet(landing)
     ingest(spark, landing, table, mark, schema, "day", "parquet").awaitTermination()
     assert sorted(r.v for r in spark.read.parquet(table).collect()) == [1, 5, 6]
+
+
+def drop(frame, spark, root, name, rows):
+    """One delivery lands and is taken in; what the table then holds."""
+    schema = "brand string, day date, v int, at timestamp"
+    frame(schema, rows).coalesce(1).write.parquet(f"{root}/landing/{name}")
+    return take_in(spark, root, frame(schema, []).schema)
+
+
+def take_in(spark, root, schema):
+    ingest(spark, f"{root}/landing/*", f"{root}/table", f"{root}/mark", schema, "day", "parquet", ["brand"], arrived=F.col("at")).awaitTermination()
+    return sorted((r.brand or "", r.day.day, r.v) for r in spark.read.parquet(f"{root}/table").collect())
+
+
+def test_late_delivery_does_not_replace_a_newer_one(frame, spark, tmp_path):
+    def at(day):
+        return dt.datetime(2024, 1, day, 8)
+
+    held = drop(frame, spark, tmp_path, "b", [("A", D(2024, 1, 1), 1, at(5)), ("A", D(2024, 1, 2), 2, at(5)), (None, D(2024, 1, 1), 3, at(5))])
+    assert held == [("", 1, 3), ("A", 1, 1), ("A", 2, 2)]
+    # Older, and seen later: only what nobody delivered since counts.
+    rows = [("A", D(2024, 1, 1), 90, at(3)), ("A", D(2024, 1, 3), 4, at(3)), ("B", D(2024, 1, 1), 5, at(3)), (None, D(2024, 1, 1), 91, at(3))]
+    held = drop(frame, spark, tmp_path, "a", rows)
+    assert held == [("", 1, 3), ("A", 1, 1), ("A", 2, 2), ("A", 3, 4), ("B", 1, 5)]
+    # Newer than the late one and older than the first.
+    held = drop(frame, spark, tmp_path, "c", [("A", D(2024, 1, 2), 92, at(4)), ("A", D(2024, 1, 3), 6, at(4))])
+    assert held == [("", 1, 3), ("A", 1, 1), ("A", 2, 2), ("A", 3, 6), ("B", 1, 5)]
+    compact_ledger(spark, f"{tmp_path}/table_ledger")
+    assert spark.read.parquet(f"{tmp_path}/table_ledger").count() == 5
+    held = drop(frame, spark, tmp_path, "d", [("A", D(2024, 1, 2), 93, at(4)), ("A", D(2024, 1, 1), 7, at(6))])
+    assert held == [("", 1, 3), ("A", 1, 7), ("A", 2, 2), ("A", 3, 6), ("B", 1, 5)]
+
+
+def test_a_repeated_batch_writes_the_same(frame, spark, tmp_path):
+    """The table and the ledger are as after one run if a batch is run again from its checkpoint."""
+    import shutil
+
+    def at(day):
+        return dt.datetime(2024, 1, day, 8)
+
+    drop(frame, spark, tmp_path, "a", [("A", D(2024, 1, 1), 1, at(5)), ("A", D(2024, 1, 2), 2, at(5))])
+    once = drop(frame, spark, tmp_path, "b", [("A", D(2024, 1, 1), 3, at(6)), ("A", D(2024, 1, 2), 4, at(4))])
+    entries = sorted(map(str, spark.read.parquet(f"{tmp_path}/table_ledger").collect()))
+    # As after a failure: the batch was planned and written, its commit is missing.
+    shutil.copytree(f"{tmp_path}/mark", f"{tmp_path}/again", ignore=lambda d, names: [n for n in names if d.endswith("commits") and n.strip(".").startswith("1")])
+    schema = spark.read.parquet(f"{tmp_path}/landing/a").schema
+    ingest(spark, f"{tmp_path}/landing/*", f"{tmp_path}/table", f"{tmp_path}/again", schema, "day", "parquet", ["brand"], arrived=F.col("at")).awaitTermination()
+    assert sorted((r.brand, r.day.day, r.v) for r in spark.read.parquet(f"{tmp_path}/table").collect()) == once == [("A", 1, 3), ("A", 2, 2)]
+    assert sorted(map(str, spark.read.parquet(f"{tmp_path}/table_ledger").collect())) == entries
