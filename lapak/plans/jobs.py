@@ -17,7 +17,8 @@ from ..operators.dedup import number_rows
 from ..operators.marketplaces import LAYOUTS, normalise_all, processed_matcher
 from ..operators.products import active_items
 from ..sources.readers import period_filter, read_table
-from ..sources.writers import write_bundle, write_months, write_split
+from ..session import stored
+from ..sources.writers import there, write_bundle, write_months, write_split
 from .accumulation import (
     AccumulationReport,
     month_pattern,
@@ -132,18 +133,60 @@ def run_accumulation(lake: Lake, month: dt.date) -> AccumulationReport:
     return AccumulationReport(*[lake.read(f"{folder}/{part}") for part in AccumulationReport._fields])
 
 
+#: Report tables: the part of the monthly report they are loaded from, and their key.
+REPORT_TABLES = {"sales_akum": ("accumulation", ACCUMULATION_KEY), "sales_promo": ("promotions", PROMO_KEY)}
+
+
+def _written_at(report: DataFrame) -> Column:
+    """When a report's files were written: the same for a load that is repeated."""
+    found = report.agg(F.max("_metadata.file_modification_time").cast("string")).first()[0]
+    return F.lit(found).cast("timestamp")
+
+
+def load_report_months(lake: Lake, month: dt.date) -> dict[str, int]:
+    """Upsert a month's written reports into report tables kept by month (``<table>_by_month``); returns changed rows per table.
+
+    Only the months that a load holds are read, merged and rewritten: other months' files stay. The
+    log of a load, if it changed anything, is written before the table, under the load's month and
+    the time of its report. A load that is repeated finds nothing to change and leaves both as they are.
+    """
+    changed = {}
+    for table, (part, key) in REPORT_TABLES.items():
+        report = lake.read(f"reports/{month:%Y-%m}/{part}")
+        new = stored(round_report(report), "load")
+        # As many rows as months are loaded, usually one.
+        months = [r.m for r in new.select(F.trunc("order_create_date", "month").alias("m")).where("m is not null").distinct().collect()]
+        name = f"{table}_by_month"
+        path = lake.path(name)
+        if there(lake.spark, path):
+            held = lake.read(name)
+            last = held.agg(F.max("id")).first()[0] or 0
+            existing = held.where(period_filter(months)).drop("year", "month") if months else held.limit(0).drop("year", "month")
+        else:
+            last, existing = 0, new.limit(0).select(F.lit(0).cast("long").alias("id"), "*")
+        result = upsert(existing, new, key, table, stamp=_written_at(report))
+        merged = stored(result.merged.unionByName(_with_ids(result.inserts, existing, last)), "merged")
+        log = stored(result.log, "log")
+        changed[table] = log.count()
+        if changed[table]:
+            log.write.mode("overwrite").parquet(lake.path(f"logging_{name}/load={month:%Y-%m}/at={log.first().timestamp:%Y%m%d%H%M%S}"))
+        if not merged.isEmpty():
+            write_months(merged, path, "order_create_date")
+    return changed
+
+
 def load_reports(lake: Lake, month: dt.date, version: int) -> dict[str, Upsert]:
     """Upsert a month's written reports into the report tables, as a new version of each.
 
     Version ``version`` is read and ``version + 1`` written, so nothing read is overwritten. New
-    rows get ids above the largest one in use.
+    rows get ids above the largest one in use. The log has the time of the report, so a repeated
+    run writes the same log.
     """
-    loads = {"sales_akum": ("accumulation", ACCUMULATION_KEY), "sales_promo": ("promotions", PROMO_KEY)}
     results = {}
-    for table, (part, key) in loads.items():
+    for table, (part, key) in REPORT_TABLES.items():
         existing = lake.read(f"{table}/version={version}")
-        new = round_report(lake.read(f"reports/{month:%Y-%m}/{part}"))
-        result = upsert(existing, new, key, table)
+        report = lake.read(f"reports/{month:%Y-%m}/{part}")
+        result = upsert(existing, round_report(report), key, table, stamp=_written_at(report))
         target = lake.path(f"{table}/version={version + 1}")
         merged = result.merged.unionByName(_with_ids(result.inserts, existing))
         merged.write.mode("overwrite").parquet(target)
@@ -153,9 +196,9 @@ def load_reports(lake: Lake, month: dt.date, version: int) -> dict[str, Upsert]:
     return results
 
 
-def _with_ids(inserts: DataFrame, existing: DataFrame) -> DataFrame:
+def _with_ids(inserts: DataFrame, existing: DataFrame, last: int | None = None) -> DataFrame:
     """Ids for inserted rows: the next numbers above those in use, without gaps, in row order."""
-    # One value, an aggregate of the table.
-    last = existing.agg(F.max("id")).first()[0] or 0
+    if last is None:  # one value, an aggregate of the table
+        last = existing.agg(F.max("id")).first()[0] or 0
     numbered = number_rows(inserts, inserts.columns, name="__n").withColumn("id", F.col("__n") + F.lit(last))
     return numbered.select(*[F.col(c).cast(existing.schema[c].dataType) for c in existing.columns])

@@ -38,7 +38,8 @@ def _whole_months(
         writer.format(file_format).partitionBy(*by).save(f"{path.rstrip('/')}/{folder}")
 
 
-def _there(spark: SparkSession, path: str) -> bool:
+def there(spark: SparkSession, path: str) -> bool:
+    """Whether a table has been written at ``path``."""
     try:
         spark.read.schema("x int").parquet(path)
     except AnalysisException as e:
@@ -72,7 +73,7 @@ def write_months(
     else:
         keyed = keyed.hint("rebalance", *parts)
     # Where a month is one folder, or nothing is there yet, what occurs is replaced in one write.
-    if months is None and (not by or not _there(df.sparkSession, path)):
+    if months is None and (not by or not there(df.sparkSession, path)):
         writer = keyed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(*parts).parquet(path)
         return
@@ -102,6 +103,17 @@ def write_split(
     writer.format(file_format).partitionBy(*by).save(path)
 
 
+def write_bucketed(df: DataFrame, name: str, path: str, keys: Sequence[str], buckets: int) -> DataFrame:
+    """A table of the catalog whose rows lie in ``buckets`` by a hash of ``keys``, sorted by them.
+
+    Tables bucketed alike on a key are joined and summed on it without a shuffle, however often.
+    The number of buckets is the parallelism of such a join: choose it by the largest table.
+    """
+    writer = df.repartition(buckets, *keys).write.mode("overwrite").option("path", path)
+    writer.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def write_bundle(tables: Mapping[str, DataFrame], path: str, file_format: str = "parquet") -> None:
     """A report of several named tables, one folder each."""
     for name, df in tables.items():

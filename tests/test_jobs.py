@@ -71,6 +71,32 @@ def test_jobs(spark, lake):
     assert lake.read("sales_akum/version=2").count() == stored.count()
 
 
+def test_reports_are_loaded_by_month(spark, lake):
+    """Files of other months keep their names; a repeated load changes nothing; a changed report is logged once."""
+    jobs.run_accumulation(lake, dt.date(2000, 8, 1))
+    jobs.run_accumulation(lake, dt.date(1990, 1, 1))  # a month without sales loads nothing
+    for month in (dt.date(1990, 1, 1), dt.date(2000, 8, 1), dt.date(2000, 7, 1)):
+        jobs.load_report_months(lake, month)
+
+    def files(table):
+        return {m: sorted(os.listdir(lake.path(f"{table}/year=2000/month={m}"))) for m in ("08", "07") if os.path.isdir(lake.path(f"{table}/year=2000/month={m}"))}
+
+    august, held = files("sales_akum_by_month").get("08"), lake.read("sales_akum_by_month")
+    n = held.count()
+    assert n == held.select("id").distinct().count() == lake.read("reports/2000-08/accumulation").count() + lake.read("reports/2000-07/accumulation").count()
+    ids = rows_of(held.select("id", "axcode", "order_create_date"))
+    assert jobs.load_report_months(lake, dt.date(2000, 7, 1)) == {"sales_akum": 0, "sales_promo": 0}
+    report = lake.read("reports/2000-07/accumulation")
+    changed = report.withColumn("quantity", F.col("quantity") + F.when(F.col("quantity") > 5, 1).otherwise(0))
+    changed = spark.createDataFrame(changed.collect(), report.schema)
+    changed.write.mode("overwrite").parquet(lake.path("reports/2000-07/accumulation"))
+    counts = jobs.load_report_months(lake, dt.date(2000, 7, 1))
+    assert counts == {"sales_akum": changed.where("quantity > 6").count(), "sales_promo": 0}
+    assert lake.read("logging_sales_akum_by_month/load=2000-07").count() == counts["sales_akum"] > 0
+    assert files("sales_akum_by_month").get("08") == august
+    assert rows_of(lake.read("sales_akum_by_month").select("id", "axcode", "order_create_date")) == ids
+
+
 def test_scans_are_narrowed_to_months(lake):
     months = [dt.date(2000, 8, 1)]
     for table in ("pos_detail", "online_detail"):

@@ -13,8 +13,10 @@ from lapak.operators.reconcile import differing_scopes, reconcile
 from lapak.operators.rejects import DATES, NUMBERS, checked, reject_report, write_checked
 from lapak.plans import rollups
 from lapak.plans.jobs import Lake
+from lapak.session import require_shared
 from lapak.sources import writers
 from lapak.sources.readers import read_dropped
+from lapak.streaming.inventory import inventory, list_new_files
 
 D = dt.date
 
@@ -256,3 +258,52 @@ def test_only_differing_scopes_are_joined(frame):
     schema = "c string, k string, q bigint"
     plan = reconcile(frame(schema, [("a", "x", 1)]), frame(schema, [("a", "x", 2)]), ["c"], ["k"], ["q"])._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("LeftSemi") == 2 and plan.count("FullOuter") >= 2
+
+
+# Inventory
+
+
+def test_inventory_lists_only_what_is_new(spark, tmp_path):
+    landing, table = tmp_path / "landing", str(tmp_path / "inventory")
+    for day in ("01", "02"):
+        folder = landing / day
+        folder.mkdir(parents=True)
+        (folder / f"a_{day}.csv").write_text("x")
+        (folder / "note.txt").write_text("y")
+        list_new_files(spark, str(landing), table, str(tmp_path / "mark"), "*.csv").awaitTermination()
+    list_new_files(spark, str(landing), table, str(tmp_path / "mark"), "*.csv").awaitTermination()
+    rows = inventory(spark, table).collect()
+    assert sorted((r.path.split("/")[-1], r.length, r.listed_in) for r in rows) == [("a_01.csv", 1, 0), ("a_02.csv", 1, 1)]
+    assert all(r.modified is not None for r in rows)
+
+
+# Tables that lie together
+
+
+def test_bucketed_tables_are_joined_without_a_shuffle(spark, tmp_path):
+    """Totals of a transaction on its lines: neither the lines nor the payments move."""
+    lines = spark.range(3000).selectExpr("concat('t', id % 400) as transaction_id", "id as line", "cast(id as decimal(18,2)) as v")
+    payments = spark.range(900).selectExpr("concat('t', id % 450) as transaction_id", "cast(1 as decimal(18,2)) as paid")
+    plain = lines.join(payments.groupBy("transaction_id").agg(F.sum("paid").alias("paid")), "transaction_id", "left")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        a = writers.write_bucketed(lines, "bucketed_lines", f"{tmp_path}/lines", ["transaction_id"], 8)
+        b = writers.write_bucketed(payments, "bucketed_payments", f"{tmp_path}/payments", ["transaction_id"], 8)
+        paid = b.groupBy("transaction_id").agg(F.sum("paid").alias("paid"))
+        totals = a.groupBy("transaction_id").agg(F.sum("v").alias("total"))
+        joined = a.join(paid, "transaction_id", "left")
+        for df in (joined, a.join(totals, "transaction_id").join(paid, "transaction_id", "left")):
+            assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+        assert rows_of(joined.select("transaction_id", "line", "v", "paid")) == rows_of(plain.select("transaction_id", "line", "v", "paid"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        spark.sql("DROP TABLE IF EXISTS bucketed_lines")
+        spark.sql("DROP TABLE IF EXISTS bucketed_payments")
+
+
+def test_a_local_scratch_folder_is_refused_on_a_cluster():
+    require_shared("file:/data/spark-warehouse/x", "local[8]")
+    require_shared("s3a://lake/scratch", "yarn")
+    with pytest.raises(RuntimeError):
+        require_shared("file:/data/spark-warehouse/x", "spark://host:7077")
