@@ -10,7 +10,7 @@ from lapak.operators.dedup import latest_per_key
 
 FOLDER = "/root/testdata/sf0.001"
 #: One row for the whole input: totals and the calendar's weight of all its days.
-WHOLE = ("accumulation_checks", "control_totals", "online_daily_check")
+WHOLE = ("accumulation_checks", "control_totals", "online_daily_check", "control_totals_mismatch", "online_daily_check_mismatch", "export_rejects")
 CHECKED = ["sales_accumulation", "pos_sales_detail", "online_sales_detail", "settlement_template", "payment_allocation"]
 
 
