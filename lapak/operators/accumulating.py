@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,6 +47,12 @@ PROMO_STORE_COLUMNS = (
     "dataareaid", "channel", "brand", "groupstore", "axcode", "stdname", "sqm", "sssg",
     "so_dept_head", "area_head", "city_head",
 )
+#: The rows' own grain; the rest of ``DAY_GRAIN`` follows from the date.
+STORE_ROW = ("dataareaid", "axcode", *ROW_ORDER)
+REPORT_COLUMNS = (
+    *STORE_COLUMNS, "target", "target_daily", *(c for c in DAY_GRAIN if c not in ("dataareaid", "axcode")),
+    *(m + s for s in PERIODS for m in MEASURES),
+)
 REPORT_WORDS = {
     "ordernumber": "orders", "cust_paid_peritem": "sales", "_ly": "_last_year", "_lm": "_last_month",
 }
@@ -214,38 +220,52 @@ def sales_accumulation(
     """
     days = date_dimension(calendar_pattern(pattern)).drop("pattern_date")
     calendar = keep_facts(calendar_pattern(used), days, ["id"], bounded=True).drop("id")
+    dates = [c for c in calendar.columns if c not in PERIOD_DATES.values()]
     attributes = [c for c in PRODUCT_COLUMNS if c not in ("dataareaid", "codebars")]
-    detailed = keep_facts(_in_roles(sold, calendar), products, ["dataareaid", "codebars"])
-    grouped = group_sum(detailed.fillna("Undetected", attributes), DAY_GRAIN, **_role_sums())
-    return with_targets(grouped, stores)
+    # Each sale meets its product before it takes its roles, so a third of the rows is shuffled for it.
+    detailed = keep_facts(sold, products, ["dataareaid", "codebars"]).fillna("Undetected", attributes)
+    met = _in_roles(detailed, calendar.select(*PERIOD_DATES.values()))
+    grouped = group_sum(met, STORE_ROW, **_role_sums())
+    # What follows from the date is attached to the sums; a date's calendar rows agree on it.
+    dated = calendar.select(F.col("pattern_date").alias("order_create_date"), *dates).distinct()
+    return _targets_on_first_rows(grouped, first_rows(met), dated, stores)
 
 
-def with_targets(grouped: DataFrame, stores: DataFrame) -> DataFrame:
-    """Store attributes and targets on accumulated rows.
+def first_rows(met: DataFrame) -> DataFrame:
+    """The first row of each store and day in ``ROW_ORDER``, and whether it is the first of the store.
 
-    The daily target spreads the store target by day weight. Targets repeat on every row of a
-    store (and day), so each is kept on its first row only.
+    Found by minima, which tasks take before the shuffle: no row with its sums is moved, and no window
+    holds a store or a day.
     """
-    joined = keep_facts(
-        grouped, stores.select(*STORE_COLUMNS, "target"), ["dataareaid", "axcode"]
-    )
+    within = [c for c in ROW_ORDER if c != "order_create_date"]
+    store = ["dataareaid", "axcode"]
+    day = met.where(all_present(STORE_ROW)).groupBy(*store, "order_create_date").agg(F.min(F.struct(*within)).alias("__row"))
+    begun = day.groupBy(*store).agg(F.min("order_create_date").alias("__begun"))
+    led = keep_facts(day, begun, store, null_safe=False)
+    return led.select(*store, "order_create_date", "__row.*", (F.col("order_create_date") == F.col("__begun")).alias("__of_store"))
+
+
+def _targets_on_first_rows(grouped: DataFrame, firsts: DataFrame, dated: DataFrame, stores: DataFrame) -> DataFrame:
+    """Store attributes on accumulated rows, the daily target on the first row of a store and day, the
+    target on the first of a store, 0 on the others.
+
+    The rows' keys are complete, so the first rows are joined where the sums were grouped.
+    """
+    copy = F.row_number().over(Window.partitionBy("dataareaid", "axcode").orderBy(*[c for c in (*STORE_COLUMNS, "target") if c not in ("dataareaid", "axcode")]))
+    # A store that the master names twice has its targets once.
+    named = stores.select(*STORE_COLUMNS, "target").withColumn("__copy", copy)
+    marked = keep_facts(grouped, firsts, list(STORE_ROW), null_safe=False, flag="__of_day")
+    joined = keep_facts(keep_facts(marked, dated, ["order_create_date"], bounded=True), named, ["dataareaid", "axcode"])
+    once = F.coalesce(F.col("__copy"), F.lit(1)) == 1
     daily = ratio("target", "month_score") * F.col("day_score")
-    report = derepeat(
-        joined.withColumn("target_daily", daily),
+    zero = F.lit(0)
+    report = joined.withColumns(
         {
-            "target_daily": ["dataareaid", "axcode", "order_create_date"],
-            "target": ["dataareaid", "axcode"],
-        },
-        ROW_ORDER,
-        spread=["order_create_date"],
-    )
-    return report.select(
-        *STORE_COLUMNS,
-        "target",
-        "target_daily",
-        *[c for c in DAY_GRAIN if c not in ("dataareaid", "axcode")],
-        *[m + s for s in PERIODS for m in MEASURES],
+            "target_daily": F.when(F.col("__of_day") & once, daily).otherwise(zero.cast("double")),
+            "target": F.when(F.coalesce(F.col("__of_store"), F.lit(False)) & once, F.col("target")).otherwise(zero.cast(stores.schema["target"].dataType)),
+        }
     )
+    return report.select(*REPORT_COLUMNS)
 
 
 def promo_sales(offline: DataFrame, stores: DataFrame) -> DataFrame:
