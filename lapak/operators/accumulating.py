@@ -199,14 +199,19 @@ def _role_sums() -> dict[str, Column]:
     return {m + p: sum0(F.when(F.col("role") == p, F.col(m))) for p in PERIODS for m in MEASURES}
 
 
-def align_periods(sold: DataFrame, pattern: DataFrame) -> DataFrame:
+def align_periods(sold: DataFrame, pattern: DataFrame, by: Sequence[str] = ("codebars",)) -> DataFrame:
     """Sales of a date beside those of its counterparts, in one pass over ``sold``.
 
     A sale is summed into the columns of each role its date plays. The result is that of
     outer-joining three separately prepared frames, without preparing or joining them.
+    For totals of a coarser grain (``by`` empty: of a store's day) the sales are summed to it
+    before they take their roles; sales without a barcode are left out all the same.
     """
+    if "codebars" not in by:
+        known = sold.where(F.col("codebars").isNotNull())
+        sold = group_sum(known, ["dataareaid", "axcode", "order_create_date", *by], *MEASURES)
     met = _in_roles(sold, calendar_pattern(pattern))
-    return group_sum(met, ["dataareaid", "axcode", "id", "codebars"], **_role_sums())
+    return group_sum(met, ["dataareaid", "axcode", "id", *by], **_role_sums())
 
 
 def sales_accumulation(
