@@ -2,14 +2,22 @@
 
 import datetime as dt
 import glob
+from decimal import Decimal
 
 from pyspark.sql import functions as F
 
 from catalog import nested
-from catalog.shapes import Shapes
-from lapak.operators.accumulating import sales_accumulation
+from catalog.shapes import RAW, Shapes
+from lapak.operators.accumulating import align_periods, sales_accumulation
+from lapak.operators.dedup import number_rows
+from lapak.operators.joining import keep_facts
+from lapak.operators.marketplaces import normalise, processed_matcher
+from lapak.operators.online_reports import settlement_template
 from lapak.operators.open_documents import known_and_unknown, read_documents
-from lapak.plans.pos_detail import with_products
+from lapak.operators.payments import order_value
+from lapak.operators.products import match_online_codes, refresh_online
+from lapak.plans.pos_detail import PAID_BY, _paid_orders, with_products
+from lapak.session import stored
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -65,3 +73,105 @@ def test_report_has_no_window_over_its_rows(spark):
     text = logical(sales_accumulation(sold, s.pattern, s.pattern, s.stores, products))
     windows = [line for line in text.splitlines() if "Window [" in line]
     assert windows and all("itemid" not in w for w in windows)
+
+
+def test_orders_of_one_marketplace_are_chosen_before_the_lines(spark):
+    s = Shapes(spark, FOLDER)
+    for market in RAW:
+        some = s.sold_on(market).online_base
+        whole = s.online_base.where(F.col("marketplace") == market.upper())
+        assert some.exceptAll(whole).isEmpty() and whole.exceptAll(some).isEmpty(), market
+
+
+def test_intermediate_tables_are_written_small(spark):
+    table = stored(spark.range(10), "small")
+    assert table.inputFiles() and all(f.endswith(".zstd.parquet") for f in table.inputFiles())
+
+
+def test_numbered_rows_are_shuffled_once(frame):
+    rows = frame("g string, v int", [("a", 2), ("a", 1), ("b", 5), (None, 3), ("a", None), ("b", 5)])
+    out = number_rows(rows, ["v"], ["g"])
+    assert "Window [" not in logical(out)
+    got = sorted(((r.g or "", r.v or 0, r.no) for r in out.collect()))
+    assert got == [("", 3, 1), ("a", 0, 1), ("a", 1, 2), ("a", 2, 3), ("b", 5, 1), ("b", 5, 2)]
+
+
+def test_settled_lines_are_grouped_once(spark):
+    text = logical(settlement_template(Shapes(spark, FOLDER).online_lines))
+    assert "Join Inner" not in text and "settled" not in text
+
+
+def test_days_are_summed_before_they_take_roles(frame):
+    day = [dt.date(2024, 3, d) for d in range(1, 4)]
+    sold = frame(
+        "dataareaid string, axcode string, order_create_date date, codebars string, ordernumber long, quantity long, cust_paid_peritem decimal(18,2), hpp_total decimal(18,2)",
+        [(a, "1", d, c, n, q, Decimal(p), Decimal(h)) for a, d, c, n, q, p, h in (
+            ("a", day[0], "x", 1, 2, 3, 4), ("a", day[0], "y", 1, None, 3, 4), ("a", day[1], None, 9, 9, 9, 9), ("a", day[1], "x", 5, 6, 7, 8), (None, day[1], "x", 1, 1, 1, 1))],
+    )
+    pattern = frame("pattern_date date, pattern_lm date, pattern_last_year date", [(day[1], day[0], day[0]), (day[0], day[2], day[2])])
+    fine = align_periods(sold, pattern)
+    keys = ["dataareaid", "axcode", "id"]
+    names = [c for c in fine.columns if c not in (*keys, "codebars")]
+    expected = fine.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in names])
+    got = align_periods(sold, pattern, by=())
+    assert sorted(tuple(r) for r in got.select(*keys, *names).collect()) == sorted(tuple(r) for r in expected.select(*keys, *names).collect())
+
+
+def test_prices_are_worked_out_after_the_match(spark):
+    s = Shapes(spark, FOLDER)
+    seen = []
+
+    def match(lines):
+        seen.append(lines.columns)
+        return processed_matcher(s.match_items)(lines)
+
+    for market in RAW:
+        normalise(market, getattr(s, f"raw_{market}"), match)
+    assert len(seen) == 7 and not any("value_after_voucher" in columns for columns in seen)
+
+
+def test_long_files_are_not_spread(spark):
+    s = Shapes(spark, FOLDER)
+    s._loaded["lineitem"] = s.lineitem.repartition(64).localCheckpoint()
+    assert "Rebalance" not in logical(s.spread("lineitem").lineitem)
+    assert "Rebalance" in logical(Shapes(spark, FOLDER).spread("lineitem").lineitem)
+
+
+ITEM = (
+    "dataareaid string, codebars string, itemid string, umbrellabrand string, alucode string, season string, world string,"
+    " category string, subcategory string, pricecategory string, yearmonth date, hpp decimal(18,2), basicprice decimal(18,2)"
+)
+
+
+def test_lines_meet_items_and_master_in_one_join(frame):
+    day, now = dt.date(2024, 2, 1), dt.datetime(2024, 2, 1)
+    items = frame(ITEM, [(c, b, f"i{c}{b}", "u", a, "s", "w", "c", "sub", "p", day, None if h is None else Decimal(h), Decimal(9)) for c, b, a, h in (
+        ("mgl", "0111", "A1", 5), ("mgl", None, "A2", 6), ("mgl", "222", "A3", None), ("mpr", "0333", "A4", 7), ("mpr", "0111", "A5", 8))])
+    master = frame(
+        "dataareaid string, codebars string, variantnumber string, itemid string, umbrellabrand string, subbrand string, alucode string, season string, monthyear date,"
+        " world string, category string, subcategory string, hpp decimal(18,2), basicprice decimal(18,2), pullstatus string, pulldate timestamp, modifieddatetime timestamp, recid int",
+        [(c, b, f"v{i}", f"m{i}", "u", "sb", "a", "s", day, "w", "c", f"n{i}", Decimal(h), Decimal(3), "Current", now, now, i) for i, (c, b, h) in enumerate((
+            ("mgl", "0111", 0), ("mgl", None, 2), ("mpr", "0333", 3), ("mpr", "0444", 4), ("mpr", "00555", 5), ("mpr", None, 6), ("mgl", "0444", 7), ("mpr", "0", 8), (None, "0444", 9)))],
+    )
+    codes = ["A1", "0111", "111", "A2", "A3", "222", "0222", "333", "0333", "00333", "444", "0444", "0555", "00555", "", "0", "x", None]
+    lines = frame("brand string, barcode string, qty_sold int", [(b, c, i) for b in ("SZ", "MN", None) for i, c in enumerate(codes)])
+
+    def rows(df):
+        return sorted(map(str, df.select(sorted(df.columns)).collect()))
+
+    apart = refresh_online(match_online_codes(lines, items), master)
+    together = refresh_online(match_online_codes(lines, items, master), master)
+    assert rows(together) == rows(apart) and together.count() == 54
+
+
+def test_value_and_payments_of_an_order_meet_its_lines_once(frame):
+    lines = frame("line int, transaction_id string, order_id string, store_branch_id long, order_product_quantity int, order_product_total decimal(18,2)", [
+        (i, t, o, s, q, None if v is None else Decimal(v)) for i, (t, o, s, q, v) in enumerate((
+            ("t", "o", 1, 2, 5), ("t", "o", 1, -1, 9), ("u", "o", 1, 1, 6), ("t", "o", None, 1, None), ("t", None, 1, 1, 7), (None, None, None, 1, 8),
+            ("t", "p", 1, 1, None), ("t", "q", 1, -1, 3), ("t", "r", 1, None, 3)))])
+    paid = frame("transaction_id string, order_id string, store_branch_id long, cust int", [("t", "o", 1, 1), ("t", "o", 1, 2), ("t", "o", None, 3), ("t", None, 1, 4), ("t", "q", 1, 5)])
+    apart = keep_facts(lines, order_value(lines, "order_transaction_price"), ["order_id"], null_safe=False)
+    apart = keep_facts(apart, paid, list(PAID_BY), null_safe=False)
+    once = keep_facts(lines, _paid_orders(lines, paid), list(PAID_BY))
+    assert once.dtypes == apart.dtypes
+    assert sorted(map(str, once.collect())) == sorted(map(str, apart.collect()))
