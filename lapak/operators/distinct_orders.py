@@ -44,10 +44,14 @@ def order_numbers(
 def order_bitmaps(lines: DataFrame, numbers: DataFrame, by: Sequence[str], order: str = "ordernumber") -> DataFrame:
     """``by``, bucket and bits: the orders of each group. Lines without an order have none.
 
-    A hot store's or day's lines are set into bits where they lie; what is shuffled are bitmaps.
+    What is shuffled are a group's distinct numbers, short rows of which a bitmap takes at most
+    32,768 however hot the group, and not a bitmap of 4 KB for each line or two.
     """
     met = lines.select(*by, order).join(numbers.select(F.col(order), NUMBER), order)
-    return met.groupBy(*by, F.bitmap_bucket_number(NUMBER).alias(BUCKET)).agg(F.bitmap_construct_agg(F.bitmap_bit_position(NUMBER)).alias(BITS))
+    bucket, place = F.bitmap_bucket_number(NUMBER), F.bitmap_bit_position(NUMBER)
+    single = met.select(*by, bucket.alias(BUCKET), place.alias("__place")).distinct()
+    gathered = single.repartition(*[F.col(f"`{c}`") for c in (*by, BUCKET)])
+    return gathered.groupBy(*by, BUCKET).agg(F.bitmap_construct_agg("__place").alias(BITS))
 
 
 def merged(bitmaps: DataFrame, **by: Column | str) -> DataFrame:

@@ -10,6 +10,7 @@ from catalog import nested
 from catalog.shapes import RAW, Shapes
 from lapak.operators.accumulating import align_periods, sales_accumulation
 from lapak.operators.dedup import number_rows
+from lapak.operators.distinct_orders import distinct_orders, order_bitmaps
 from lapak.operators.joining import keep_facts
 from lapak.operators.marketplaces import normalise, processed_matcher
 from lapak.operators.online_reports import settlement_template
@@ -175,3 +176,13 @@ def test_value_and_payments_of_an_order_meet_its_lines_once(frame):
     once = keep_facts(lines, _paid_orders(lines, paid), list(PAID_BY))
     assert once.dtypes == apart.dtypes
     assert sorted(map(str, once.collect())) == sorted(map(str, apart.collect()))
+
+
+def test_bitmaps_are_made_where_their_numbers_were_gathered(frame):
+    lines = frame("k string, ordernumber string", [("a", "1"), ("a", "1"), ("a", "2"), (None, "1"), ("b", "3"), ("b", None)])
+    numbers = frame("ordernumber string, order_no long", [("1", 1), ("2", 40000), ("3", 3)])
+    bits = order_bitmaps(lines, numbers, ["k"])
+    plan = bits._jdf.queryExecution().executedPlan().toString()
+    above = plan.split("REPARTITION_BY_COL")[0]
+    assert "bitmap_construct_agg" in above and "Exchange" in plan and "ENSURE_REQUIREMENTS" not in above
+    assert sorted((r.k or "", r.ordernumber) for r in distinct_orders(bits, k="k").collect()) == [("", 1), ("a", 2), ("b", 1)]
