@@ -229,22 +229,27 @@ def sales_accumulation(
     attributes = [c for c in PRODUCT_COLUMNS if c not in ("dataareaid", "codebars")]
     # Each sale meets its product before it takes its roles, so a third of the rows is shuffled for it.
     detailed = keep_facts(sold, products, ["dataareaid", "codebars"]).fillna("Undetected", attributes)
-    met = _in_roles(detailed, calendar.select(*PERIOD_DATES.values()))
-    grouped = group_sum(met, STORE_ROW, **_role_sums())
+    roles = calendar.select(*PERIOD_DATES.values())
+    # A store's sales of a product are put together before they take their roles too: the sums of a day then
+    # need no other shuffle where the rows need not be put together by all keys.
+    placed = detailed.repartition("dataareaid", "axcode", *attributes)
+    grouped = group_sum(_in_roles(placed, roles), STORE_ROW, **_role_sums())
     # What follows from the date is attached to the sums; a date's calendar rows agree on it.
     dated = calendar.select(F.col("pattern_date").alias("order_create_date"), *dates).distinct()
-    return _targets_on_first_rows(grouped, first_rows(met), dated, stores)
+    return _targets_on_first_rows(grouped, first_rows(detailed, roles), dated, stores)
 
 
-def first_rows(met: DataFrame) -> DataFrame:
+def first_rows(detailed: DataFrame, calendar: DataFrame) -> DataFrame:
     """The first row of each store and day in ``ROW_ORDER``, and whether it is the first of the store.
 
     Found by minima, which tasks take before the shuffle: no row with its sums is moved, and no window
-    holds a store or a day.
+    holds a store or a day. The first row of a date is found before the date takes its roles.
     """
     within = [c for c in ROW_ORDER if c != "order_create_date"]
     store = ["dataareaid", "axcode"]
-    day = met.where(all_present(STORE_ROW)).groupBy(*store, "order_create_date").agg(F.min(F.struct(*within)).alias("__row"))
+    date = [*store, "order_create_date"]
+    least = detailed.where(all_present(STORE_ROW)).groupBy(*date).agg(F.min(F.struct(*within)).alias("__row"))
+    day = _in_roles(least, calendar).where(all_present(date)).groupBy(*date).agg(F.min("__row").alias("__row"))
     begun = day.groupBy(*store).agg(F.min("order_create_date").alias("__begun"))
     led = keep_facts(day, begun, store, null_safe=False)
     return led.select(*store, "order_create_date", "__row.*", (F.col("order_create_date") == F.col("__begun")).alias("__of_store"))

@@ -15,6 +15,7 @@ from ..operators.accumulating import (
     PERIOD_DATES,
     PERIODS,
     PRODUCT_COLUMNS,
+    SALES_GRAIN,
     online_as_sales,
     promo_sales,
     sales_accumulation,
@@ -25,7 +26,7 @@ from ..operators.accumulating import (
 from ..operators.aggregating import compared_totals, observed_write
 from ..operators.joining import keep_facts, present_in
 from ..operators.products import report_products
-from ..session import scratch_folder
+from ..session import grouped_where_they_are, scratch_folder
 
 VALUE = "cust_paid_peritem"
 
@@ -61,17 +62,24 @@ def sales_of_periods(
     sold = None if online is None else online_as_sales(online, stores)
     named = F.explode(F.array(*PERIOD_DATES.values())).alias("__any")
     lines = on_dates(unified_lines(valid_sales(offline), sold), pattern.select(named), "__any")
-    summed = sum_lines(lines)
+    # Put together by the grain once, for the distinct orders and for the sums.
+    summed = sum_lines(lines.repartition(*SALES_GRAIN))
     roles = F.inline(F.array(*[F.struct(F.lit(p).alias("__period"), F.col(d).alias("__date")) for p, d in PERIOD_DATES.items()]))
     # A row per calendar date, so broadcast whatever the amount of sales.
     played = pattern.select(roles).where("__date is not null").groupBy("__date").agg(F.collect_set("__period").alias("__periods"))
     marked = keep_facts(summed, played, {"order_create_date": "__date"}, bounded=True)
     totals = {p: _paid(F.when(F.array_contains("__periods", p), F.col(VALUE))) for p in PERIODS}
     path = scratch_folder(pattern.sparkSession, "sold")
-    found = observed_write(marked, "sold", totals, lambda df: df.drop("__periods").write.parquet(path))
+    with grouped_where_they_are(pattern.sparkSession):
+        found = observed_write(marked, "sold", totals, lambda df: write_small(df.drop("__periods"), path))
     return pattern.sparkSession.read.schema(summed.schema).parquet(path), found
 
 
+def write_small(df: DataFrame, path: str) -> None:
+    """Tables that are read again right away are written in zstd."""
+    df.write.option("compression", "zstd").parquet(path)
+
+
 def _paid(value: Column) -> Column:
     return F.bround(sum0(value), 2)
 
@@ -112,7 +120,8 @@ def accumulation_report(
     spark = pattern.sparkSession
     path = scratch_folder(spark, "report")
     report = period_report(sold, stores, products, pattern)
-    after = observed_write(report, "report", report_totals(), lambda df: df.write.parquet(path))
+    with grouped_where_they_are(spark):
+        after = observed_write(report, "report", report_totals(), lambda df: write_small(df, path))
     return AccumulationReport(
         spark.read.schema(report.schema).parquet(path), period_promotions(offline, stores, pattern), period_checks(spark, before, after)
     )

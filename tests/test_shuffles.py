@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from catalog import nested
 from catalog.shapes import RAW, Shapes
-from lapak.operators.accumulating import align_periods, sales_accumulation
+from lapak.operators.accumulating import SALES_GRAIN, align_periods, sales_accumulation, sum_lines
 from lapak.operators.dedup import number_rows
 from lapak.operators.distinct_orders import distinct_orders, order_bitmaps
 from lapak.operators.joining import keep_facts
@@ -18,7 +18,7 @@ from lapak.operators.open_documents import known_and_unknown, read_documents
 from lapak.operators.payments import order_value
 from lapak.operators.products import match_online_codes, refresh_online
 from lapak.plans.pos_detail import PAID_BY, _paid_orders, with_products
-from lapak.session import stored
+from lapak.session import ALL_KEYS, grouped_where_they_are, stored
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -186,3 +186,43 @@ def test_bitmaps_are_made_where_their_numbers_were_gathered(frame):
     above = plan.split("REPARTITION_BY_COL")[0]
     assert "bitmap_construct_agg" in above and "Exchange" in plan and "ENSURE_REQUIREMENTS" not in above
     assert sorted((r.k or "", r.ordernumber) for r in distinct_orders(bits, k="k").collect()) == [("", 1), ("a", 2), ("b", 1)]
+
+
+def exchanges(df):
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
+
+
+def test_settings_of_a_write_are_put_back(spark):
+    before = {name: spark.conf.get(name) for name in ALL_KEYS}
+    try:
+        with grouped_where_they_are(spark):
+            assert {spark.conf.get(name) for name in ALL_KEYS} == {"false"}
+            raise KeyError
+    except KeyError:
+        pass
+    assert {name: spark.conf.get(name) for name in ALL_KEYS} == before
+
+
+def test_sales_are_put_together_once_for_orders_and_sums(spark):
+    s = Shapes(spark, FOLDER)
+    lines = s.landed("sales_lines").sales_lines.select(*SALES_GRAIN, "ordernumber", "quantity", "cust_paid_peritem", "hpp_total")
+    with grouped_where_they_are(spark):
+        assert len(exchanges(sum_lines(lines.repartition(*SALES_GRAIN)))) == 1
+    assert len(exchanges(sum_lines(lines))) == 2
+
+
+def test_sums_of_the_report_are_not_shuffled(spark):
+    s = Shapes(spark, FOLDER)
+    sold = s.sales_lines.select(
+        "dataareaid", "axcode", "order_create_date", "codebars", F.lit(1).alias("ordernumber"), "quantity", "cust_paid_peritem", "hpp_total"
+    )
+    products = s.products.select("dataareaid", "codebars", "itemid", "umbrellabrand", "subbrand", "world", "category", "subcategory")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with grouped_where_they_are(spark):
+            found = exchanges(sales_accumulation(sold, s.pattern, s.pattern, s.stores, products))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert found and not any("order_create_date" in e and "itemid" in e for e in found)
