@@ -13,9 +13,8 @@ from ..functions.columns import rename_all, report_title
 from ..functions.numbers import ratio
 from ..functions.text import part_of
 from ..functions.values import all_present, differs, is_in, sum0, zero_if_null
-from .aggregating import group_sum, running_total
+from .aggregating import group_sum, running_total, two_sided
 from .calendar import calendar_pattern, date_dimension, shift_dates
-from .dedup import derepeat
 from .joining import full_outer, keep_facts, present_in
 
 # Fixed values.
@@ -385,18 +384,34 @@ def per_day_comparison(wide: DataFrame, pattern: DataFrame, stores: DataFrame) -
 
 
 def category_year_report(report: DataFrame, months: DataFrame) -> DataFrame:
-    """Accumulated rows beside the store-category year, shown once per store and category."""
+    """Accumulated rows beside the store-category year, shown once per store and category.
+
+    The year and the first date of a store and category are one short row, which meets the rows of that
+    date: they are shuffled once, and a window holds a category's rows of one date only. A year that has
+    no rows keeps its own.
+    """
     keys = ["dataareaid", "axcode", "umbrellabrand", "subbrand", "category"]
-    year = group_sum(
-        months, keys, **{f"{m}_ytd": sum0(m) for m in ("cust_paid_peritem", "cust_paid_peritem_ly")}
-    )
-    joined = full_outer(report, year, keys)
-    return derepeat(
-        joined,
-        {"cust_paid_peritem_ytd": keys, "cust_paid_peritem_ly_ytd": keys},
-        ROW_ORDER,
-        spread=["order_create_date"],
+    measures = ("cust_paid_peritem", "cust_paid_peritem_ly")
+    dates = report.select(*keys, F.struct("order_create_date").alias("__begun"))
+    paid = months.where(all_present(keys)).select(*keys, F.lit(True).alias("__paid"), *measures)
+    year = two_sided(dates, paid).groupBy(*keys).agg(
+        F.min("__begun").alias("__begun"), F.max("__paid").alias("__paid"), *[sum0(m).alias(f"{m}_ytd") for m in measures]
     )
+    shown = [f"{m}_ytd" for m in measures]
+    year = year.select(
+        *keys, "__begun.order_create_date", F.lit(True).alias("__year"), F.col("__begun").isNull().alias("__alone"),
+        *[F.when(F.col("__paid"), F.col(c)).alias(c) for c in shown],
+    )
+    rows = two_sided(report.withColumn("__year", F.lit(False)), year)
+    within = [c for c in ROW_ORDER if c not in (*keys, "order_create_date")]
+    window = Window.partitionBy(*keys, "order_create_date").orderBy("__year", *within)
+    whole = window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    first = F.col("__year") | ((F.row_number().over(window) == 1) & F.max("__year").over(whole))
+    rows = rows.withColumns({"__first": first, **{c: F.max(c).over(whole) for c in shown}})
+    rows = rows.where(~F.col("__year") | F.col("__alone"))
+    zero = {c: F.lit(0).cast(year.schema[c].dataType) for c in shown}
+    once = [F.when(F.col("__first"), F.col(c)).otherwise(zero[c]).alias(c) for c in shown]
+    return rows.select(*keys, *[c for c in report.columns if c not in keys], *once)
 
 
 def titled(report: DataFrame) -> DataFrame:

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 
 from catalog import nested
 from catalog.shapes import RAW, Shapes
-from lapak.operators.accumulating import SALES_GRAIN, align_periods, sales_accumulation, sum_lines
-from lapak.operators.dedup import number_rows
+from lapak.operators.accumulating import ROW_ORDER, SALES_GRAIN, align_periods, category_year_report, sales_accumulation, sum_lines
+from lapak.operators.aggregating import group_sum
+from lapak.operators.dedup import derepeat, number_rows
 from lapak.operators.distinct_orders import distinct_orders, order_bitmaps
-from lapak.operators.joining import keep_facts
+from lapak.operators.joining import full_outer, keep_facts
 from lapak.operators.marketplaces import normalise, processed_matcher
 from lapak.operators.online_reports import settlement_template
 from lapak.operators.open_documents import known_and_unknown, read_documents
@@ -226,3 +227,27 @@ def test_sums_of_the_report_are_not_shuffled(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert found and not any("order_create_date" in e and "itemid" in e for e in found)
+
+
+def test_category_years_are_shown_once_with_one_shuffle_of_the_rows(frame):
+    day = [dt.date(2024, 3, d) for d in range(1, 5)]
+    schema = (
+        "dataareaid string, axcode string, order_create_date date, itemid string, umbrellabrand string, subbrand string, world string,"
+        " category string, subcategory string, cust_paid_peritem decimal(18,2), cust_paid_peritem_ly decimal(18,2)"
+    )
+
+    def rows(*some):
+        return frame(schema, [(c, "1", d, i, "u", "s", "w", k, sub, v and Decimal(v), v and Decimal(v + 1)) for c, d, i, k, sub, v in some])
+
+    report = rows(
+        ("a", day[1], "x", "k", "z", 1), ("a", day[1], "x", "k", "y", 2), ("a", day[2], "b", "k", "y", 3), ("a", day[0], "z", "m", "y", 4),
+        ("a", None, "q", "m", "y", 5), ("a", day[3], "q", None, "y", 6), ("a", day[3], None, None, "y", None), ("b", day[0], "x", "k", "y", 7), (None, day[0], "x", "k", "y", 8),
+    )
+    months = rows(("a", day[0], "x", "k", "y", 10), ("a", day[1], "x", "k", "y", 20), ("a", day[1], "x", "m", "y", None), ("c", day[1], "x", "k", "y", 30), ("a", day[1], "x", None, "y", 40))
+    keys = ["dataareaid", "axcode", "umbrellabrand", "subbrand", "category"]
+    year = group_sum(months, keys, **{f"{m}_ytd": F.coalesce(F.sum(m), F.lit(0)) for m in ("cust_paid_peritem", "cust_paid_peritem_ly")})
+    apart = derepeat(full_outer(report, year, keys), {"cust_paid_peritem_ytd": keys, "cust_paid_peritem_ly_ytd": keys}, ROW_ORDER, spread=["order_create_date"])
+    once = category_year_report(report, months)
+    assert len(exchanges(once)) == 2
+    assert once.columns == apart.columns
+    assert sorted(map(str, once.collect())) == sorted(map(str, apart.collect()))
