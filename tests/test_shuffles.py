@@ -251,3 +251,27 @@ def test_category_years_are_shown_once_with_one_shuffle_of_the_rows(frame):
     assert len(exchanges(once)) == 2
     assert once.columns == apart.columns
     assert sorted(map(str, once.collect())) == sorted(map(str, apart.collect()))
+
+
+def test_documents_are_worked_out_once(spark, tmp_path):
+    (tmp_path / "a.json").write_text(
+        '{"id": "1", "n": 1, "x": {"k": [1, "q"]}, "s": {"v": 2.50, "y": null}}\n{"id": 7, "n": "no", "s": null, "t": "2024"}\n'
+        '{"ID": "a", "id": null}\n[{"id": "in"}]\n[1]\n"text"\nnull\n{}\nbroken\n'
+    )
+    schema = "id string, n int, s struct<v:decimal(18,2)>, t string"
+    read = read_documents(spark, str(tmp_path))
+    whole = known_and_unknown(read, schema)
+    # As the whole document's text is read.
+    plain = read.where("document is not null").select(F.from_json(F.to_json("document"), schema).alias("k")).select("k.*")
+
+    def rows(df):
+        return sorted(map(str, df.collect()))
+
+    assert rows(whole.drop("unknown_fields")) == rows(plain) and len(rows(plain)) == 8
+    some = known_and_unknown(read, schema, ["id", "t"])
+    assert some.columns == ["id", "t", "unknown_fields"]
+    shown = F.transform("unknown_fields", lambda f: F.struct(f["path"], F.to_json(f["value"])))
+    assert rows(some.select("id", "t", shown)) == rows(whole.select("id", "t", shown))
+    text = logical(some.select("id", F.explode("unknown_fields")))
+    assert text.count("parseJson") == 1 and text.count("map_entries") == 2
+    assert [r.broken for r in read.where("document is null").collect()] == ["broken"]
