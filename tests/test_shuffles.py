@@ -6,7 +6,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from catalog import nested
+from catalog import nested, pos
 from catalog.shapes import RAW, Shapes
 from lapak.operators.accumulating import ROW_ORDER, SALES_GRAIN, align_periods, category_year_report, sales_accumulation, sum_lines
 from lapak.operators.aggregating import group_sum
@@ -18,7 +18,7 @@ from lapak.operators.online_reports import settlement_template
 from lapak.operators.open_documents import known_and_unknown, read_documents
 from lapak.operators.payments import order_value
 from lapak.operators.products import match_online_codes, refresh_online
-from lapak.plans.pos_detail import PAID_BY, _paid_orders, with_products
+from lapak.plans.pos_detail import PAID_BY, _paid_orders, pos_sales_report, staging_sync, with_products, with_staging
 from lapak.session import ALL_KEYS, grouped_where_they_are, stored
 
 FOLDER = "/root/testdata/sf0.001"
@@ -275,3 +275,36 @@ def test_documents_are_worked_out_once(spark, tmp_path):
     text = logical(some.select("id", F.explode("unknown_fields")))
     assert text.count("parseJson") == 1 and text.count("map_entries") == 2
     assert [r.broken for r in read.where("document is null").collect()] == ["broken"]
+
+
+def test_payments_of_a_transaction_meet_its_lines_once(frame):
+    lines = frame("line int, transaction_id string, order_id string, order_product_quantity int, order_product_total decimal(18,2)", [
+        (i, t, o, q, None if v is None else Decimal(v)) for i, (t, o, q, v) in enumerate((
+            ("t", "o", 2, 5), ("t", "o", -1, 9), ("u", "o", 1, 6), ("t", None, 1, 7), (None, "o", 1, 8), (None, None, 1, 8), ("t", "p", -1, 3), ("t", "q", None, 3)))])
+    paid = frame("transaction_id string, order_id string, cust int", [("t", "o", 1), ("t", "o", 2), ("t", None, 3), (None, "o", 4), ("t", "p", None)])
+    by = ["transaction_id", "order_id"]
+    apart = keep_facts(lines, order_value(lines), ["order_id"], null_safe=False)
+    apart = keep_facts(apart, paid, by, null_safe=False, flag="__paid")
+    once = keep_facts(lines, _paid_orders(lines, paid, by, "total_transaction_price", "__paid"), by)
+    assert once.columns == apart.columns
+    assert sorted(map(str, once.collect())) == sorted(map(str, apart.collect()))
+
+
+def test_the_erp_is_met_while_lines_are_narrow(spark, frame):
+    lines = frame("ordernumber string, barcode string, dataareaid string, quantity int", [("1", "a", "m", 1), ("1", None, "m", 2), (None, "b", None, 3), ("2", "a", "m", None)])
+    staging = frame(
+        "dataareaid string, transnumber string, barcode string, stagingnumber string, quantity int, subtotaldetail decimal(18,2), pullstatus string",
+        [("m", "1", "a", "s1", 1, None, "Current"), ("m", "1", "a", "s2", 2, None, "Current"), ("m", "1", None, "s3", 3, None, "Current"),
+         (None, None, "b", "s4", 3, None, "Current"), ("m", "2", "a", "s5", 1, None, "Old")],
+    )
+    met = with_staging(lines, staging, {c: c for c in ("ordernumber", "barcode", "dataareaid")})
+    assert sorted(map(str, staging_sync(met, staging).collect())) == sorted(map(str, staging_sync(lines, staging).collect()))
+    s = Shapes(spark, FOLDER)
+    stamp = F.lit("2024-07-02 03:04:05").cast("timestamp")
+    early, late = (pos_sales_report(pos.detail(s, given), s.erp_staging, stamp) for given in (s.erp_staging, None))
+    assert early.columns == late.columns
+    assert early.exceptAll(late).isEmpty() and late.exceptAll(early).isEmpty()
+    # The order's lines meet the ERP below the join with the products.
+    joins = [line for line in logical(early).splitlines() if "Join LeftOuter" in line]
+    depth = [i for i, line in enumerate(joins) if "__k_ordernumber" in line]
+    assert depth and depth[0] > next(i for i, line in enumerate(joins) if "__k_product_barcode" in line)
