@@ -251,6 +251,10 @@ def test_category_years_are_shown_once_with_one_shuffle_of_the_rows(frame):
     assert len(exchanges(once)) == 2
     assert once.columns == apart.columns
     assert sorted(map(str, once.collect())) == sorted(map(str, apart.collect()))
+    # Of rows that are the same one shows both years, as in SQL.
+    twice = category_year_report(report.union(report), months).where("axcode = '1' and dataareaid = 'a' and category = 'k'")
+    years = [(r.cust_paid_peritem_ytd, r.cust_paid_peritem_ly_ytd) for r in twice.collect()]
+    assert len(years) == 6 and sorted(y for y in years if y != (0, 0)) == [(Decimal(30), Decimal(32))]
 
 
 def test_documents_are_worked_out_once(spark, tmp_path):
