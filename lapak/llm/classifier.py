@@ -13,13 +13,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, NGram, Normalizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_folder
 from .common import WORD, written
 
 #: Labelled documents used for training, at most on average (a share of the labels by hash).
@@ -97,6 +98,11 @@ def document_evidence(docs: DataFrame, labels: DataFrame, keep: Sequence[str]) -
         featuresCol="vector_", labelCol="label", probabilityCol="odds_", rawPredictionCol="raw_", predictionCol="said_", regParam=PENALTY, maxIter=60, standardization=False,
     )
     fitted = Pipeline(stages=[*_stages(), model]).fit(train)
+    # Read back, the model is without its training summary, which holds the session: where a write was
+    # observed before, that cannot be sent to the tasks.
+    path = scratch_folder(train.sparkSession, "model")
+    fitted.write().save(path)
+    fitted = PipelineModel.load(path)
     return fitted.transform(_measured(docs, keep)).select(*keep, vector_to_array("odds_")[1].alias("p_document"))
 
 
